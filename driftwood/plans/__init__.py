@@ -1,6 +1,6 @@
 """Registered queries over the driver tables; importing this package fills REGISTRY."""
 
-from . import features  # noqa: F401
+from . import columns, features, tables  # noqa: F401
 from .registry import REGISTRY, Query, query
 
 __all__ = ["REGISTRY", "Query", "query"]
