@@ -34,12 +34,15 @@ def asof_join(spine: DataFrame, features: DataFrame,
               spine_keys: str | Sequence[str], feature_keys: str | Sequence[str] | None,
               spine_ts: str, feature_ts: str,
               feature_names: Sequence[str] | None = None,
-              prefix: str = "", bucket_days: int = 7) -> DataFrame:
+              prefix: str = "", bucket_days: int = 7,
+              spine_bucket: str | None = None, feature_bucket: str | None = None) -> DataFrame:
     """Left as-of join. Equality counts (feature ts == as-of ts matches).
 
     NULL key or NULL as-of time in the spine gives NULL features; feature rows with NULL key or
     time never match. Duplicate spine rows survive. The feature table's own time column is not
     returned. ``feature_names`` defaults to every non-key, non-time feature column.
+    ``spine_bucket``/``feature_bucket`` name precomputed, order-compatible bucket columns to use
+    instead of day buckets (for non-time order keys such as ranks).
     """
     skeys = _as_list(spine_keys)
     fkeys = _as_list(feature_keys) if feature_keys is not None else skeys
@@ -60,13 +63,15 @@ def asof_join(spine: DataFrame, features: DataFrame,
             .where(F.lit(True) if not fkeys else
                    F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in fkeys)))
             .select(*[F.col(k).alias(kc) for k, kc in zip(fkeys, key_cols)],
-                    F.col(feature_ts).alias(_T), payload.alias(_PAYLOAD)))
-    feat = feat.withColumn(_BKT, time_bucket(F.col(_T), bucket_days))
+                    F.col(feature_ts).alias(_T), payload.alias(_PAYLOAD),
+                    (F.col(feature_bucket) if feature_bucket else time_bucket(F.col(feature_ts), bucket_days))
+                    .cast("long").alias(_BKT)))
 
     spine_cols = spine.columns
     sp = spine.select(*[F.col(k).alias(kc) for k, kc in zip(skeys, key_cols)],
-                      F.col(spine_ts).alias(_T), F.struct(*[F.col(c) for c in spine_cols]).alias("__dw_row"))
-    sp = sp.withColumn(_BKT, time_bucket(F.col(_T), bucket_days))
+                      F.col(spine_ts).alias(_T), F.struct(*[F.col(c) for c in spine_cols]).alias("__dw_row"),
+                      (F.col(spine_bucket) if spine_bucket else time_bucket(F.col(spine_ts), bucket_days))
+                      .cast("long").alias(_BKT))
 
     # Level 1: running last feature inside each (key, bucket), features before spine on equal time.
     unioned = (feat.select(*key_cols, _BKT, _T, F.lit(0).alias(_SIDE), _PAYLOAD,

@@ -1,6 +1,6 @@
 """Registered queries over the driver tables; importing this package fills REGISTRY."""
 
-from . import columns, features, modeling, serving, tables  # noqa: F401
+from . import columns, features, modeling, monitor, serving, streams, tables  # noqa: F401
 from .registry import REGISTRY, Query, query
 
 __all__ = ["REGISTRY", "Query", "query"]
