@@ -20,6 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .asof import asof_join
 from .prefix import running_sums
 
@@ -46,13 +47,17 @@ def value_counts(long: DataFrame, keys: Sequence[str], value_col: str = "value")
             .groupBy(*keys, F.col(value_col).alias("v")).agg(F.count(F.lit(1)).alias("c")))
 
 
-def ecdf_distances(cur: DataFrame, ref: DataFrame, cur_keys: Sequence[str], ref_keys: Sequence[str]) -> DataFrame:
+def ecdf_distances(cur: DataFrame, ref: DataFrame, cur_keys: Sequence[str], ref_keys: Sequence[str],
+                   wasserstein: bool = True) -> DataFrame:
     """KS statistic and W1 between current groups and their reference.
 
     cur: (cur_keys..., v, c); ref: (ref_keys..., v, c), one row per distinct value; ref_keys is
     a subset of cur_keys. Returns cur_keys + n_cur, n_ref, ks_statistic, wasserstein_distance.
     """
     C, K = list(cur_keys), list(ref_keys)
+    # The aggregated value tables and the grids below are each read several times; they are
+    # materialised once in the shared checkpoint folder instead of being re-derived per use.
+    cur, ref = cut_lineage(cur), cut_lineage(ref)
     n_ref = ref.groupBy(*K).agg(F.sum("c").alias("n_ref"), F.max("v").alias("vmax_ref"))
     n_cur = cur.groupBy(*C).agg(F.sum("c").alias("n_cur"))
 
@@ -64,13 +69,13 @@ def ecdf_distances(cur: DataFrame, ref: DataFrame, cur_keys: Sequence[str], ref_
     g1 = g1.withColumn("f_le", F.col("cum_c_ref") / F.col("n_ref")).withColumn(
         "term", F.col("f_le") * F.coalesce(F.col("next_v") - F.col("v"), F.lit(0.0)))
     g2 = running_sums(g1, K, "v", ["term"])
-    L = g2.select(*K, "v", "c_ref", "n_ref", "vmax_ref",
-                  (F.col("cum_c_ref") - F.col("c_ref")).alias("cum_lt"), F.col("cum_c_ref").alias("cum_le"),
-                  (F.col("cum_term") - F.col("term")).alias("G"))
+    L = cut_lineage(g2.select(*K, "v", "c_ref", "n_ref", "vmax_ref",
+                              (F.col("cum_c_ref") - F.col("c_ref")).alias("cum_lt"),
+                              F.col("cum_c_ref").alias("cum_le"), (F.col("cum_term") - F.col("term")).alias("G")))
 
     # Current ECDF per group.
     cw = running_sums(cur, C, "v", ["c"], with_next=True).join(n_cur, C)
-    cw = cw.withColumn("a", F.col("cum_c") / F.col("n_cur"))
+    cw = cut_lineage(cw.withColumn("a", F.col("cum_c") / F.col("n_cur")))
     at_v = L.select(*K, "v", "n_ref", "vmax_ref", (F.col("cum_le") / F.col("n_ref")).alias("f_le_v"),
                     (F.col("cum_lt") / F.col("n_ref")).alias("f_lt_v"), F.col("G").alias("g_p"))
     at_next = L.select(*K, F.col("v").alias("next_v"), (F.col("cum_lt") / F.col("n_ref")).alias("f_lt_next"),
@@ -83,6 +88,10 @@ def ecdf_distances(cur: DataFrame, ref: DataFrame, cur_keys: Sequence[str], ref_
     d_next = F.when(F.col("next_v").isNotNull(), F.abs(F.col("a") - F.col("f_lt_next"))).otherwise(F.lit(0.0))
     d_head = F.when(first, F.col("f_lt_v")).otherwise(F.lit(0.0))
     j = j.withColumn("d", F.greatest(d_here, d_next, d_head))
+    if not wasserstein:
+        return j.groupBy(*C).agg(F.max("d").alias("ks_statistic"),
+                                 F.lit(None).cast("double").alias("wasserstein_distance"),
+                                 F.first("n_cur").alias("n_cur"), F.first("n_ref").alias("n_ref"))
 
     # Interval [p, q) with constant current ECDF a; the last interval runs to the reference max.
     last = F.col("next_v").isNull()

@@ -96,10 +96,12 @@ def _long(df: DataFrame, cols: Sequence[str], ts_col: str | None, granularity: s
 
 def drift_metrics(df: DataFrame, baseline: DataFrame | None, numeric: Sequence[str],
                   categorical: Sequence[str] = (), ts_col: str = "ts", granularity: str = "1 day",
-                  drift_type: str = "BASELINE") -> DataFrame:
+                  drift_type: str = "BASELINE",
+                  metrics: Sequence[str] = ("count_delta", "ks", "wasserstein", "psi")) -> DataFrame:
     """drift_type BASELINE: every window against ``baseline``; CONSECUTIVE: against the previous
     window. Output: window, granularity, column_name, data_type, drift_type, count_delta,
-    ks_test{statistic,pvalue}, wasserstein_distance, population_stability_index."""
+    ks_test{statistic,pvalue}, wasserstein_distance, population_stability_index. Metrics left
+    out of ``metrics`` are NULL and cost nothing."""
     numeric, categorical = list(numeric), list(categorical)
     types = dict(df.dtypes)
     cur_n = _long(df, numeric, ts_col, granularity, "double") if numeric else None
@@ -126,18 +128,27 @@ def drift_metrics(df: DataFrame, baseline: DataFrame | None, numeric: Sequence[s
         raise ValueError(drift_type)
 
     parts = []
+    want = set(metrics)
+    null = F.lit(None).cast("double")
     if numeric:
-        dist = D.ecdf_distances(D.value_counts(cur_n, C), D.value_counts(ref_n, K), C, K)
-        edges = exact_quantiles(ref_n, K, "value", DECILES).select(*K, F.array_distinct("quantiles").alias("edges"))
-        psi = D.psi_numeric(cur_n, ref_n, C, K, edges)
-        cnt = _count_delta(cur_n, ref_n, C, K)
-        parts.append(cnt.join(dist.drop("n_cur", "n_ref"), C, "left").join(psi, C, "left"))
+        part = _count_delta(cur_n, ref_n, C, K)
+        if want & {"ks", "wasserstein"}:
+            dist = D.ecdf_distances(D.value_counts(cur_n, C), D.value_counts(ref_n, K), C, K,
+                                    wasserstein="wasserstein" in want)
+            part = part.join(dist.drop("n_cur", "n_ref"), C, "left")
+        else:
+            part = part.withColumn("ks_statistic", null).withColumn("wasserstein_distance", null)
+        if "psi" in want:
+            edges = exact_quantiles(ref_n, K, "value", DECILES).select(*K, F.array_distinct("quantiles").alias("edges"))
+            part = part.join(D.psi_numeric(cur_n, ref_n, C, K, edges), C, "left")
+        else:
+            part = part.withColumn("population_stability_index", null)
+        parts.append(part)
     if categorical:
-        psi_c = D.psi_categorical(cur_c, ref_c, C, K)
-        cnt_c = _count_delta(cur_c, ref_c, C, K)
-        parts.append(cnt_c.join(psi_c, C, "left")
-                     .withColumn("ks_statistic", F.lit(None).cast("double"))
-                     .withColumn("wasserstein_distance", F.lit(None).cast("double")))
+        part = _count_delta(cur_c, ref_c, C, K)
+        part = (part.join(D.psi_categorical(cur_c, ref_c, C, K), C, "left") if "psi" in want
+                else part.withColumn("population_stability_index", null))
+        parts.append(part.withColumn("ks_statistic", null).withColumn("wasserstein_distance", null))
     cols = [*C, "count_delta", "n_cur", "n_ref", "ks_statistic", "wasserstein_distance", "population_stability_index"]
     out = parts[0].select(*cols)
     for p in parts[1:]:

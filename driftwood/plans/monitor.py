@@ -167,8 +167,8 @@ res AS (SELECT cnt.w AS window_start, cnt.column_name, cnt.count_delta, round(ks
 _BASE_WHERE = f"ts < TIMESTAMP '{BASELINE_END}'"
 
 
-def _drift(t):
-    return PR.drift_metrics(monitored(t), baseline(t), NUMERIC, [], "ts", "1 day", "BASELINE")
+def _drift(t, metrics=("count_delta", "ks", "wasserstein", "psi")):
+    return PR.drift_metrics(monitored(t), baseline(t), NUMERIC, [], "ts", "1 day", "BASELINE", metrics)
 
 
 def _flat_drift(d):
@@ -180,25 +180,28 @@ def _flat_drift(d):
 
 @query("drift_ks", f"WITH {_drift_sql(_BASE_WHERE)} SELECT window_start, column_name, ks_statistic, ks_pvalue FROM res")
 def drift_ks(spark, sf_dir):
-    return _flat_drift(_drift(Tables(spark, sf_dir))).select("window_start", "column_name", "ks_statistic", "ks_pvalue")
+    d = _drift(Tables(spark, sf_dir), ("ks",))
+    return _flat_drift(d).select("window_start", "column_name", "ks_statistic", "ks_pvalue")
 
 
 @query("drift_wasserstein",
        f"WITH {_drift_sql(_BASE_WHERE)} SELECT window_start, column_name, wasserstein_distance FROM res")
 def drift_wasserstein(spark, sf_dir):
-    return _flat_drift(_drift(Tables(spark, sf_dir))).select("window_start", "column_name", "wasserstein_distance")
+    d = _drift(Tables(spark, sf_dir), ("wasserstein",))
+    return _flat_drift(d).select("window_start", "column_name", "wasserstein_distance")
 
 
 @query("drift_psi",
        f"WITH {_drift_sql(_BASE_WHERE)} SELECT window_start, column_name, population_stability_index FROM res")
 def drift_psi(spark, sf_dir):
-    return _flat_drift(_drift(Tables(spark, sf_dir))).select("window_start", "column_name",
-                                                             "population_stability_index")
+    return _flat_drift(_drift(Tables(spark, sf_dir), ("psi",))).select("window_start", "column_name",
+                                                                       "population_stability_index")
 
 
 @query("drift_count_delta", f"WITH {_drift_sql(_BASE_WHERE)} SELECT window_start, column_name, count_delta FROM res")
 def drift_count_delta(spark, sf_dir):
-    return _flat_drift(_drift(Tables(spark, sf_dir))).select("window_start", "column_name", "count_delta")
+    return _flat_drift(_drift(Tables(spark, sf_dir), ("count_delta",))).select("window_start", "column_name",
+                                                                               "count_delta")
 
 
 @query("drift_severity", f"""
@@ -209,7 +212,7 @@ SELECT window_start, column_name, population_stability_index,
 FROM res
 """)
 def drift_severity(spark, sf_dir):
-    d = _drift(Tables(spark, sf_dir))
+    d = _drift(Tables(spark, sf_dir), ("psi",))
     return d.select(F.col("window.start").alias("window_start"), "column_name",
                     _r6(F.col("population_stability_index")).alias("population_stability_index"),
                     D.psi_severity(F.col("population_stability_index")).alias("severity"))
@@ -269,7 +272,8 @@ SELECT w AS window_start, column_name, round(max(abs(fa - fb)), 6) AS ks_statist
 FROM e GROUP BY w, column_name
 """)
 def drift_consecutive(spark, sf_dir):
-    d = PR.drift_metrics(monitored(Tables(spark, sf_dir)), None, NUMERIC, [], "ts", "1 day", "CONSECUTIVE")
+    d = PR.drift_metrics(monitored(Tables(spark, sf_dir)), None, NUMERIC, [], "ts", "1 day", "CONSECUTIVE",
+                         ("ks", "wasserstein"))
     return d.select(F.col("window.start").alias("window_start"), "column_name",
                     _r6(F.col("ks_test.statistic")).alias("ks_statistic"),
                     _r6(F.col("wasserstein_distance")).alias("wasserstein_distance"))
@@ -289,7 +293,7 @@ FROM j GROUP BY w
 """)
 def drift_psi_categorical(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    d = PR.drift_metrics(monitored(t), baseline(t), [], CATEGORICAL, "ts", "1 day", "BASELINE")
+    d = PR.drift_metrics(monitored(t), baseline(t), [], CATEGORICAL, "ts", "1 day", "BASELINE", ("psi",))
     return d.select(F.col("window.start").alias("window_start"), "column_name",
                     _r6(F.col("population_stability_index")).alias("population_stability_index"))
 
