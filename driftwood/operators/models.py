@@ -183,10 +183,14 @@ def linear_attribution(df: DataFrame, model: LinearModel, means: dict[str, float
     return out
 
 
-def permuted_column(df: DataFrame, col: str, id_col: str, seed: int = 7, n_buckets: int = 1024) -> DataFrame:
-    """Replace ``col`` with a seeded permutation of its values. Rows are spread over
-    ``n_buckets`` hash buckets; inside a bucket, values are reassigned by a second hash order,
-    so no window ever spans the whole table."""
+def permuted_column(df: DataFrame, col: str, id_col: str, seed: int = 7, n_buckets: int | None = None,
+                    rows_per_bucket: int = 1_000_000) -> DataFrame:
+    """Replace ``col`` with a seeded permutation of its values. Rows are spread over hash
+    buckets of about ``rows_per_bucket`` rows (count-sized unless ``n_buckets`` is given);
+    inside a bucket, values are reassigned by a second hash order, so no window partition
+    grows with the table."""
+    if n_buckets is None:
+        n_buckets = max(1, -(-df.count() // rows_per_bucket))
     b = F.floor(F.conv(F.substring(hash_text(seed, id_col), 1, 8), 16, 10).cast("double")
                 / F.lit(4294967296.0) * F.lit(n_buckets)).cast("int")
     d = df.withColumn("__dw_b", b)
