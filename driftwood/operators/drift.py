@@ -68,7 +68,8 @@ def ecdf_distances(cur: DataFrame, ref: DataFrame, cur_keys: Sequence[str], ref_
     g1 = running_sums(grid, K, "v", ["c_ref"], with_next=True).join(n_ref, K)
     g1 = g1.withColumn("f_le", F.col("cum_c_ref") / F.col("n_ref")).withColumn(
         "term", F.col("f_le") * F.coalesce(F.col("next_v") - F.col("v"), F.lit(0.0)))
-    g2 = running_sums(g1, K, "v", ["term"])
+    # the integral G is needed only for W1; KS-only runs skip that second prefix pass
+    g2 = running_sums(g1, K, "v", ["term"]) if wasserstein else g1.withColumn("cum_term", F.col("term"))
     L = cut_lineage(g2.select(*K, "v", "c_ref", "n_ref", "vmax_ref",
                               (F.col("cum_c_ref") - F.col("c_ref")).alias("cum_lt"),
                               F.col("cum_c_ref").alias("cum_le"), (F.col("cum_term") - F.col("term")).alias("G")))
