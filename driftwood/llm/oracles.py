@@ -6,11 +6,11 @@ SQL["op3_minhash"] = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(string_split_regex(
            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-           '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents),
 s AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i+4], ' '))) END AS s
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) END AS s
   FROM w),
 n AS (SELECT doc_id, len(s)::BIGINT AS n FROM s),
 e AS (SELECT doc_id, unnest(s) AS g FROM s),
