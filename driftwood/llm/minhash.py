@@ -7,9 +7,10 @@ ROWS slots make a band key. A bucket (equal band key) is a star: its edges go fr
 so a bucket of g members gives g - 1 candidates. Candidates are confirmed on the full sets.
 
 A star can hide a link between two members that are both unlike the hub. Buckets whose members are
-still in different components after a star round get a second star around another hub, and what is left
+still in different components after a star round get further stars around other hubs, and what is left
 is compared exactly: every pair of one bucket that lies in different components, is near enough in
-size and was not compared before.
+size and was not compared before. Before that, nodes go of whose shingles over a quarter occur in no
+other node of these buckets: they cannot reach the similarity with any of them.
 
 Defined results: null or wordless text has an empty set and is linked with nothing; equal sets are one class
 before any bucket is made; a repeated doc_id with equal text is one node; rows with a null doc_id are never
@@ -31,6 +32,8 @@ from .common import WordHashes, bounded_batches, components, materialize, mix64,
 SLOTS, ROWS = 240, 5
 #: (1 - 0.75 ** 5) ** 48 < 3e-6: the chance that a pair at the threshold shares no bucket.
 BANDS = SLOTS // ROWS
+#: Star rounds around other hubs, at most; what they leave is compared exactly, so this only moves work.
+STAR_ROUNDS = 4
 _ORDERS = np.random.default_rng(20240).permuted(np.tile(np.arange(SLOTS), (SLOTS, 1)), axis=1)
 _EDGES = (np.arange(SLOTS, dtype=object) * (2**64 // SLOTS)).astype(np.uint64)
 
@@ -70,6 +73,15 @@ def _sketches(k: int):
     return run
 
 
+def _shingles(k: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cache = WordHashes()
+        for pdf in batches:
+            yield pd.DataFrame({"node": pdf["node"],
+                                "shingles": [shingle_set(t, cache, k).view(np.int64) for t in pdf["text"]]})
+    return run
+
+
 def _confirm(k: int, percent: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache, sets = WordHashes(), {}
@@ -134,38 +146,60 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = confirm(tried, "nd-links")
     groups = materialize(components(links, "nd-comp"), "nd-groups")
 
-    def open_buckets(groups: DataFrame) -> DataFrame:
-        """Members, with their component, of the buckets that still hold more than one component."""
-        marked = (members.select("key", "node", "n").join(groups, "node", "left")
+    def reopen(rows: DataFrame, groups: DataFrame) -> DataFrame:
+        """Of bucket rows those, with their component, whose bucket still holds more than one component."""
+        marked = (rows.select("key", "node", "n").join(groups, "node", "left")
                   .withColumn("component", F.coalesce("component", "node")))
         mixed = (marked.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"),
                                            F.count(F.lit(1)).alias("size"))
                  .where("x < y and size > 2").select("key"))
         return materialize(marked.join(mixed, "key"), "nd-open")
 
-    # a second star round, around another hub
-    left = open_buckets(groups)
-    hubs = left.groupBy("key").agg(F.max(F.struct(F.xxhash64("node").alias("r"), "node", "n", "component")).alias("h"))
-    again = (left.join(hubs, "key").where((F.col("component") != F.col("h.component")) & near(F.col("n"), F.col("h.n")))
-             .select(F.least("node", "h.node").alias("a"), F.greatest("node", "h.node").alias("b")).distinct()
-             .join(tried, ["a", "b"], "left_anti"))
-    again = materialize(again, "nd-again")
-    more = confirm(again, "nd-more")
-    if not more.isEmpty():
-        groups = materialize(components(links.union(more), "nd-comp"), "nd-groups")
+    def prune(left: DataFrame) -> DataFrame:
+        """Without nodes that cannot have a link: of their shingles more than the allowed part are in no
+        other node of these buckets."""
+        nodes = left.select("node", "n").distinct()
+        own = (texts.join(nodes, "node", "left_semi").dropDuplicates(["node"])
+               .mapInPandas(_shingles(k), "node long, shingles array<long>")
+               .select("node", F.explode("shingles").alias("s")))
+        alone = (own.groupBy("s").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("node")).where("c = 1")
+                 .groupBy("node").agg(F.count(F.lit(1)).alias("u")))
+        able = (nodes.join(alone, "node", "left")
+                .where((F.col("n") - F.coalesce("u", F.lit(0))) * 100 >= F.col("n") * percent).select("node"))
+        out = materialize(left.join(able, "node"), "nd-able")
+        release(left)
+        return out
+
+    # more star rounds, each around other hubs, while they find links
+    left = prune(reopen(members, groups))
+    scratch = [links, tried]
+    for turn in range(STAR_ROUNDS):
+        hubs = left.groupBy("key").agg(F.max(F.struct(
+            F.xxhash64("node", "key", F.lit(turn)).alias("r"), "node", "n", "component")).alias("h"))
+        again = (left.join(hubs, "key")
+                 .where((F.col("component") != F.col("h.component")) & near(F.col("n"), F.col("h.n")))
+                 .select(F.least("node", "h.node").alias("a"), F.greatest("node", "h.node").alias("b")).distinct())
+        again = materialize(again.join(tried, ["a", "b"], "left_anti"), "nd-again")
+        more = confirm(again, "nd-more")
+        scratch += [again, more]
+        tried = tried.union(again)
+        if more.isEmpty():
+            break
+        links = links.union(more)
+        groups = materialize(components(links, "nd-comp"), "nd-groups")
+        still = reopen(left, groups)
         release(left)
-        left = open_buckets(groups)
+        left = still
     # whatever is still apart in one bucket is compared pair by pair
     other = left.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("component").alias("c"))
     rest = (left.join(other, "key").where((F.col("node") < F.col("b")) & (F.col("component") != F.col("c"))
                                           & near(F.col("n"), F.col("m")))
-            .select(F.col("node").alias("a"), "b").distinct()
-            .join(tried.union(again), ["a", "b"], "left_anti"))
+            .select(F.col("node").alias("a"), "b").distinct().join(tried, ["a", "b"], "left_anti"))
     rest = materialize(rest, "nd-rest")
     last = confirm(rest, "nd-last")
     if not last.isEmpty():
-        groups = materialize(components(links.union(more).union(last), "nd-comp"), "nd-groups")
-    release(reps, members, left, tried, again, rest, links, more, last)
+        groups = materialize(components(links.union(last), "nd-comp"), "nd-groups")
+    release(reps, members, left, rest, last, *scratch)
     labelled = classes.join(groups, "node", "left").select("hi", "lo", "n_shingles",
                                                            F.coalesce("component", "node").alias("c"))
     return (sketched.select("doc_id", "n_shingles", "hi", "lo").join(labelled, ["hi", "lo", "n_shingles"], "left")
