@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import atexit
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import new_table_path
 
@@ -152,4 +153,19 @@ def components(links: DataFrame, name: str = "components", max_rounds: int = 40)
     return edges.select(F.col("b").alias("node"), F.col("a").alias("component")).union(own)
 
 
-LONG = T.LongType()
+def consecutive(batches: Iterator[pd.DataFrame], by: list[str]) -> Iterator[pd.DataFrame]:
+    """The groups of rows with equal ``by`` in sorted batches, each whole, also across batches."""
+    rest = None
+    for pdf in batches:
+        if rest is not None:
+            pdf = pd.concat([rest, pdf], ignore_index=True)
+        if not len(pdf):
+            continue
+        keys = pdf[by].to_numpy()
+        cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+        edges = [0, *cuts.tolist()]
+        for a, b in zip(edges, edges[1:]):
+            yield pdf.iloc[a:b]
+        rest = pdf.iloc[edges[-1]:]
+    if rest is not None and len(rest):
+        yield rest

@@ -8,8 +8,7 @@ so a bucket of g members gives g - 1 candidates. Candidates are confirmed on the
 
 A star can hide a link between two members that are both unlike the hub. Buckets whose members are
 still in different components after a star round get further stars around other hubs, and what is left
-is compared exactly: every pair of one bucket that lies in different components, is near enough in
-size and was not compared before. Before that, nodes go of whose shingles over a quarter occur in no
+is compared exactly, blocks of a bucket against each other, giving only the links. Before that, nodes go of whose shingles over a quarter occur in no
 other node of these buckets: they cannot reach the similarity with any of them.
 
 Defined results: null or wordless text has an empty set and is linked with nothing; equal sets are one class
@@ -27,13 +26,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, bounded_batches, components, materialize, mix64, release, shingle_set
+from .common import WordHashes, bounded_batches, components, consecutive, materialize, mix64, release, shingle_set
 
 SLOTS, ROWS = 240, 5
 #: (1 - 0.75 ** 5) ** 48 < 3e-6: the chance that a pair at the threshold shares no bucket.
 BANDS = SLOTS // ROWS
 #: Star rounds around other hubs, at most; what they leave is compared exactly, so this only moves work.
-STAR_ROUNDS = 4
+STAR_ROUNDS = 2
+#: Documents of a bucket that one task holds from each side when it compares them exactly.
+BLOCK = 128
 _ORDERS = np.random.default_rng(20240).permuted(np.tile(np.arange(SLOTS), (SLOTS, 1)), axis=1)
 _EDGES = (np.arange(SLOTS, dtype=object) * (2**64 // SLOTS)).astype(np.uint64)
 
@@ -103,6 +104,40 @@ def _confirm(k: int, percent: int):
     return run
 
 
+def _blocks(k: int, percent: int):
+    def links(nodes: np.ndarray, comps: np.ndarray, sets: list[np.ndarray]) -> pd.DataFrame:
+        n = np.array([len(s) for s in sets])
+        codes, at, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        shared = times[at] > 1
+        rank = (np.cumsum(times > 1) - 1)[at[shared]]
+        owner = np.repeat(np.arange(len(sets)), n)[shared]
+        inter = np.zeros((len(sets), len(sets)), np.float32)
+        for start in range(0, int((times > 1).sum()), 4096):
+            part = (rank >= start) & (rank < start + 4096)
+            m = np.zeros((len(sets), 4096), np.float32)
+            m[owner[part], rank[part] - start] = 1
+            inter += m @ m.T
+        near = (100 * inter >= percent * (n[:, None] + n[None, :] - inter)) & (comps[:, None] != comps[None, :])
+        a, b = np.nonzero(np.triu(near, 1))
+        return pd.DataFrame({"a": np.minimum(nodes[a], nodes[b]), "b": np.maximum(nodes[a], nodes[b])})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cache, known = WordHashes(), {}
+
+        def of(node, text):
+            if node not in known:
+                if len(known) >= 8 * BLOCK:
+                    known.clear()
+                known[node] = shingle_set(text, cache, k)
+            return known[node]
+
+        for group in consecutive(batches, ["key", "i", "j"]):
+            if group["component"].nunique() > 1:
+                yield links(group["node"].to_numpy(), group["component"].to_numpy(),
+                            [of(a, t) for a, t in zip(group["node"], group["text"])])
+    return run
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
                     percent: int = 75) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: classes of documents linked at ``percent`` similarity or more."""
@@ -190,16 +225,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         still = reopen(left, groups)
         release(left)
         left = still
-    # whatever is still apart in one bucket is compared pair by pair
-    other = left.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("component").alias("c"))
-    rest = (left.join(other, "key").where((F.col("node") < F.col("b")) & (F.col("component") != F.col("c"))
-                                          & near(F.col("n"), F.col("m")))
-            .select(F.col("node").alias("a"), "b").distinct().join(tried, ["a", "b"], "left_anti"))
-    rest = materialize(rest, "nd-rest")
-    last = confirm(rest, "nd-last")
+    # whatever is still apart in one bucket is compared exactly, block against block inside a task
+    sizes = left.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("nb"))
+    own = (left.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int"))
+           .withColumn("p", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+           .select("key", F.least("own", "p").alias("i"), F.greatest("own", "p").alias("j"), "node", "component"))
+    have = materialize(texts.join(left.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]),
+                       "nd-left-texts")
+    last = materialize(own.join(have, "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+                       .mapInPandas(_blocks(k, percent), "a long, b long").distinct(), "nd-last")
+    release(have)
     if not last.isEmpty():
         groups = materialize(components(links.union(last), "nd-comp"), "nd-groups")
-    release(reps, members, left, rest, last, *scratch)
+    release(reps, members, left, last, *scratch)
     labelled = classes.join(groups, "node", "left").select("hi", "lo", "n_shingles",
                                                            F.coalesce("component", "node").alias("c"))
     return (sketched.select("doc_id", "n_shingles", "hi", "lo").join(labelled, ["hi", "lo", "n_shingles"], "left")
