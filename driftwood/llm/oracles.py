@@ -23,3 +23,37 @@ r(node, seen) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.node, d.b FROM r J
 SELECT n.doc_id, n.n AS n_shingles, c.c AS component_id, n.doc_id = c.c AS kept
 FROM n JOIN (SELECT node, min(seen) AS c FROM r GROUP BY 1) c ON c.node = n.doc_id
 """
+
+SQL["op5_sharding"] = r"""
+WITH t AS (SELECT list(list_reduce(list_prepend(i, range(8)), lambda a, k:
+             CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY i) AS t
+           FROM (SELECT unnest(range(256))::BIGINT AS i)),
+s AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+h AS (SELECT doc_id, octet_length(b) + 16 AS size, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+             list_transform(range(1, octet_length(b) + 1), lambda i: ('0x' || hex(b[i:i]))::BIGINT)),
+             lambda a, x: xor(a >> 8, t.t[(xor(a, x) & 255) + 1]))) AS crc FROM s, t),
+c AS (SELECT doc_id, size::BIGINT AS size, crc, sum(size) OVER (ORDER BY doc_id) - size AS before,
+             sum(size) OVER () AS total, row_number() OVER (ORDER BY doc_id) - 1 AS pos FROM h),
+p AS (SELECT *, least(39, floor((before + size / 2) / total * 40))::INTEGER AS shard FROM c)
+SELECT doc_id, size, crc AS text_crc32, 'bytes' AS law, shard,
+       pos - min(pos) OVER (PARTITION BY shard) AS slot, NULL::INTEGER AS grown_shard
+FROM p
+"""
+
+SQL["op8_suffixes"] = r"""
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+p AS (SELECT doc_id, b, unnest(range(1, octet_length(b) + 1)) AS i FROM d),
+w AS (SELECT doc_id, i, b[i:i + 199] AS w FROM p WHERE i + 199 <= octet_length(b)),
+r AS (SELECT doc_id, i, count(*) OVER (PARTITION BY w) > 1 AS hit FROM w),
+m AS (SELECT p.doc_id, p.i, p.b[p.i:p.i] AS c,
+        coalesce(max(CASE WHEN r.hit THEN 1 ELSE 0 END)
+          OVER (PARTITION BY p.doc_id ORDER BY p.i ROWS BETWEEN 199 PRECEDING AND CURRENT ROW), 0) AS gone
+      FROM p LEFT JOIN r ON r.doc_id = p.doc_id AND r.i = p.i),
+g AS (SELECT *, gone > coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), 0) AS opens FROM m),
+k AS (SELECT doc_id, count(*) AS n, sum(gone)::BIGINT AS n_removed, sum(opens::INTEGER)::BIGINT AS n_spans,
+        sha256(unhex(coalesce(string_agg(hex(c), '' ORDER BY i) FILTER (gone = 0), ''))) AS kept_sha256
+      FROM g GROUP BY doc_id)
+SELECT d.doc_id, octet_length(d.b)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, coalesce(kept_sha256, sha256('')) AS kept_sha256
+FROM d LEFT JOIN k ON k.doc_id = d.doc_id
+"""

@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracles
+from .common import materialize
 from .minhash import near_duplicates
+from .packing import pack, tokenize_pieces
+from .sharding import shard_by_bytes
+from .suffixes import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -29,4 +34,29 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@register("op1_packing")
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_query(table(spark, sf_dir, "documents"))
+
+
+def pack_query(docs: DataFrame) -> DataFrame:
+    pieces = tokenize_pieces(docs, public_tokenizers.path("word_bpe_49k.json"))
+    digests = materialize(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "pack-pieces")
+    return pack(digests)
+
+
+@register("op5_sharding")
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_by_bytes(table(spark, sf_dir, "documents"), 40).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+@register("op8_suffixes")
+def op8_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 ORACLES: dict[str, str] = oracles.SQL
