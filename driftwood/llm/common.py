@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,9 +51,14 @@ def drop_table(spark: SparkSession, path: str | None) -> None:
 
 
 def release(*tables: DataFrame) -> None:
+    """Delete scratch tables that nothing reads any more. Spark removes the shuffle files of finished steps
+    when the driver's heap is collected, which a small heap in a long job may put off for long: ask for it."""
     for t in tables:
         if getattr(t, "_scratch_path", None):
             drop_table(t.sparkSession, t._scratch_path)
+    if tables:
+        gc.collect()
+        tables[0].sparkSession.sparkContext._jvm.System.gc()
 
 
 def n_partitions(df: DataFrame) -> int:

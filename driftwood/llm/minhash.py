@@ -32,9 +32,9 @@ SLOTS, ROWS = 240, 5
 #: (1 - 0.75 ** 5) ** 48 < 3e-6: the chance that a pair at the threshold shares no bucket.
 BANDS = SLOTS // ROWS
 #: Star rounds around other hubs, at most; what they leave is compared exactly, so this only moves work.
-STAR_ROUNDS = 2
+STAR_ROUNDS = 3
 #: Documents of a bucket that one task holds from each side when it compares them exactly.
-BLOCK = 128
+BLOCK = 512
 _ORDERS = np.random.default_rng(20240).permuted(np.tile(np.arange(SLOTS), (SLOTS, 1)), axis=1)
 _EDGES = (np.arange(SLOTS, dtype=object) * (2**64 // SLOTS)).astype(np.uint64)
 
@@ -126,7 +126,7 @@ def _blocks(k: int, percent: int):
 
         def of(node, text):
             if node not in known:
-                if len(known) >= 8 * BLOCK:
+                if len(known) >= 4 * BLOCK:
                     known.clear()
                 known[node] = shingle_set(text, cache, k)
             return known[node]
@@ -156,22 +156,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = reps.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
     buckets = (rows.groupBy("key").agg(F.min(F.struct("node", "n")).alias("hub"), F.max("node").alias("top"))
                .where("hub.node < top").select("key", "hub"))
-    members = materialize(rows.join(buckets, "key")
+    members = materialize(rows.join(buckets.hint("merge"), "key")
                           .select("key", "node", "n", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n")),
                           "nd-members")
     texts = base.where("doc_id is not null").withColumnRenamed("doc_id", "node")
 
+    # the texts of all nodes in buckets, read once; a repeated id may come with other text: its class's decides
+    have = materialize(texts.join(members.select("node").distinct().hint("merge"), "node", "left_semi")
+                       .dropDuplicates(["node"]), "nd-texts")
+
     def confirm(pairs: DataFrame, name: str) -> DataFrame:
         """pairs(a, b) of nodes -> those that are links, on the full sets."""
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        # a repeated id may come with other text; the class's own set decides, so one text per id
-        have = materialize(texts.join(wanted, "node", "left_semi").dropDuplicates(["node"]), f"{name}-texts")
-        found = (pairs.join(have.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-                 .join(have.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-                 .mapInPandas(_confirm(k, percent), "a long, b long"))
-        out = materialize(found, name)
-        release(have)
-        return out
+        return materialize(
+            pairs.join(have.select(F.col("node").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a")
+            .join(have.select(F.col("node").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
+            .mapInPandas(_confirm(k, percent), "a long, b long"), name)
 
     def near(n, m):
         return (F.least(n, m) * 100 >= F.greatest(n, m) * percent)
@@ -194,7 +193,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         """Without nodes that cannot have a link: of their shingles more than the allowed part are in no
         other node of these buckets."""
         nodes = left.select("node", "n").distinct()
-        own = (texts.join(nodes, "node", "left_semi").dropDuplicates(["node"])
+        own = (have.join(nodes, "node", "left_semi")
                .mapInPandas(_shingles(k), "node long, shingles array<long>")
                .select("node", F.explode("shingles").alias("s")))
         alone = (own.groupBy("s").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("node")).where("c = 1")
@@ -230,14 +229,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     own = (left.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int"))
            .withColumn("p", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
            .select("key", F.least("own", "p").alias("i"), F.greatest("own", "p").alias("j"), "node", "component"))
-    have = materialize(texts.join(left.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]),
-                       "nd-left-texts")
     last = materialize(own.join(have, "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
                        .mapInPandas(_blocks(k, percent), "a long, b long").distinct(), "nd-last")
-    release(have)
     if not last.isEmpty():
         groups = materialize(components(links.union(last), "nd-comp"), "nd-groups")
-    release(reps, members, left, last, *scratch)
+    release(reps, members, have, left, last, *scratch)
     labelled = classes.join(groups, "node", "left").select("hi", "lo", "n_shingles",
                                                            F.coalesce("component", "node").alias("c"))
     return (sketched.select("doc_id", "n_shingles", "hi", "lo").join(labelled, ["hi", "lo", "n_shingles"], "left")

@@ -5,17 +5,18 @@ the least of the hashes of their ANCHOR-byte strings marks the suffix that stand
 mark equal places, so two long matches always meet at a common anchor, and about one suffix in 65 is
 enough. (An array of every suffix would take eight bytes and more for each byte of text.)
 
-All neighbouring windows with one anchor form a run. Its entry is (anchor hash, hash of the whole run, place).
-Entries sorted by anchor and run are the suffix array of a batch. New batches are merged with the levels that
-exist: entries with an equal anchor stand side by side, equal runs become one entry with a count, and when the
-last two levels have a similar size they are merged into one, so each entry is rewritten a logarithmic number
-of times.
-
-A run that occurs twice is repeated as a whole. Anchors with several different runs are where matches begin
-and end: there the windows of one representative of each run are compared one by one.
-
-Defined results: null text is empty; matches never cross documents; rows are told apart by (id, text), and
-a repeated row repeats all of its text of WINDOW bytes or more; an empty table gives an empty result.
+All neighbouring windows with one anchor form a run; its entry is (anchor hash, hash of the whole run, place).
+The anchors of a batch with their counts are its suffix array; they are ordered by hash, not by letters, since
+only equal beginnings matter. A new batch is merged with the levels that exist: entries with an equal anchor
+meet, and when the last two levels have a similar size they become one, so an entry is rewritten a logarithmic
+number of times.
+
+An anchor that occurs once ends there. Of the others, a run that occurs twice is repeated as a whole. Anchors
+with several different runs are where matches begin and end: there the windows of one representative of each
+run are compared one by one.
+
+Defined results: null text is empty; matches never cross documents; equal texts of WINDOW bytes or more
+repeat each other as a whole, whatever their ids (a text is known by a 64-bit hash); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, materialize, mix64, release
+from .common import bounded_batches, consecutive, materialize, mix64, release
 
 WINDOW, SPAN = 200, 128
 ANCHOR = WINDOW - SPAN + 1
@@ -109,89 +110,136 @@ def _entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield flush()
 
 
-def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Hashes of the single windows of runs: one row for each window, with its place."""
+def _contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The bytes of runs: all windows of a run lie in its context."""
     for pdf in batches:
-        out: list[tuple[np.ndarray, ...]] = []
+        rows = []
         for rid, text, spots in zip(pdf["rid"], pdf["text"], pdf["spots"]):
-            raw = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
-            for x in spots:
-                a, n = int(x["at"]), int(x["n"])
-                c, down = prefix_hashes(raw[a:a + n + WINDOW - 1])
-                h = mix64(mix64((c[WINDOW:] - c[:-WINDOW]) * down[:n]) + np.uint64(int(x["key"]) & (2**64 - 1)))
-                out.append((h, np.full(n, rid), a + np.arange(n), np.full(n, int(x["times"]) == 1)))
-            if sum(len(o[0]) for o in out) > 200_000:
-                yield _rows(out)
-                out = []
-        if out:
-            yield _rows(out)
+            raw = text.encode("utf-8", "replace")
+            rows += [(x["key"], x["times"], x["n_runs"], rid, x["at"], x["n"], raw[x["at"]:x["at"] + x["n"] + WINDOW - 1])
+                     for x in spots]
+        yield pd.DataFrame(rows, columns=["key", "times", "n_runs", "rid", "at", "n", "context"])
+
+
+def _hashes(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, row and number in its run of each window of the runs in ``pdf``."""
+    raw = np.frombuffer(b"".join(pdf["context"]), np.uint8)
+    n = pdf["n"].to_numpy(np.int64)
+    row = np.repeat(np.arange(len(n)), n)
+    nth = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    first = np.cumsum(n + WINDOW - 1) - (n + WINDOW - 1)
+    c, down = prefix_hashes(raw)
+    at = first[row] + nth
+    h = mix64((c[at + WINDOW] - c[at]) * down[at])
+    return mix64(h + pdf["key"].to_numpy(np.int64).view(np.uint64)[row]), row, nth
+
+
+def _stretches(pdf: pd.DataFrame, row: np.ndarray, nth: np.ndarray) -> pd.DataFrame:
+    """Stretches of neighbouring windows, given by row and number in order, as (rid, at, n)."""
+    if not len(row):
+        return pd.DataFrame({"rid": [], "at": [], "n": []}).astype({"rid": "int64", "at": "int64", "n": "int32"})
+    new = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (nth[1:] != nth[:-1] + 1)))
+    n = np.diff(np.append(new, len(row)))
+    r = row[new]
+    return pd.DataFrame({"rid": pdf["rid"].to_numpy()[r], "at": pdf["at"].to_numpy()[r] + nth[new], "n": n.astype(np.int32)})
+
+
+def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Windows of runs that occur in another run of the same anchor; rows come sorted by anchor."""
+    def found(pdf: pd.DataFrame) -> pd.DataFrame:
+        h, row, nth = _hashes(pdf)
+        _, at, times = np.unique(h, return_inverse=True, return_counts=True)
+        hit = (times[at] > 1) & (pdf["times"].to_numpy() == 1)[row]
+        return _stretches(pdf, row[hit], nth[hit])
+
+    held: list[pd.DataFrame] = []
+    size = 0
+    for group in consecutive(batches, ["key"]):
+        held.append(group)
+        size += len(group)
+        if size >= 4000:
+            yield found(pd.concat(held, ignore_index=True))
+            held, size = [], 0
+    if held:
+        yield found(pd.concat(held, ignore_index=True))
 
 
-def _rows(out) -> pd.DataFrame:
-    h, rid, at, open_ = (np.concatenate(c) for c in zip(*out))
-    return pd.DataFrame({"h": h.view(np.int64), "rid": rid, "at": at.astype(np.int64), "open": open_})
+def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row for each window of the runs: its hash and place, and whether its run is the only one of its kind."""
+    for pdf in batches:
+        h, row, nth = _hashes(pdf)
+        yield pd.DataFrame({"h": h.view(np.int64), "rid": pdf["rid"].to_numpy()[row],
+                            "at": pdf["at"].to_numpy()[row] + nth, "open": (pdf["times"].to_numpy() == 1)[row]})
 
 
 class SuffixLevels:
-    """The index: levels of entries (key, run, times, place of one occurrence), each about twice the next."""
+    """The index: levels of anchors with their number of occurrences, each level about twice the next."""
 
     def __init__(self):
         self.levels: list[tuple[int, DataFrame]] = []
 
     @staticmethod
     def _merge(entries: DataFrame) -> DataFrame:
-        place = F.min(F.struct("rid", "at", "n")).alias("place")
-        return materialize(entries.groupBy("key", "run").agg(F.sum("times").alias("times"), place)
-                           .select("key", "run", "times", "place.rid", "place.at", "place.n"), "sa-level")
+        return materialize(entries.groupBy("key").agg(F.sum("times").alias("times")), "sa-level")
 
     def add(self, entries: DataFrame) -> None:
-        """Merge a batch of entries (key, run, rid, at, n) into the family."""
-        level = self._merge(entries.select("key", "run", "rid", "at", "n", F.lit(1).cast("long").alias("times")))
+        """Merge a batch of entries into the family."""
+        level = self._merge(entries.select("key", F.lit(1).cast("long").alias("times")))
         self.levels.append((level.count(), level))
         while len(self.levels) > 1 and self.levels[-2][0] < 2 * self.levels[-1][0]:
             (_, a), (_, b) = self.levels[-2:]
             merged = self._merge(a.unionByName(b))
-            release(a, b)
             self.levels[-2:] = [(merged.count(), merged)]
+            release(a, b)
 
-    def close(self) -> DataFrame:
-        """One level of all entries."""
-        if len(self.levels) > 1:
-            tables = [t for _, t in self.levels]
-            merged = self._merge(tables[0] if len(tables) == 1 else _union(tables))
-            release(*tables)
-            self.levels = [(0, merged)]
-        return self.levels[0][1]
+    def matches(self) -> DataFrame:
+        """Anchors that occur more than once, over all levels."""
+        tables = [t for _, t in self.levels]
+        if len(tables) == 1:
+            return tables[0].where("times > 1").select("key")
+        both = tables[0]
+        for t in tables[1:]:
+            both = both.unionByName(t)
+        return both.groupBy("key").agg(F.sum("times").alias("times")).where("times > 1").select("key")
 
+    def close(self) -> None:
+        release(*[t for _, t in self.levels])
 
-def _union(tables: list[DataFrame]) -> DataFrame:
-    out = tables[0]
-    for t in tables[1:]:
-        out = out.unionByName(t)
-    return out
 
+def repeated_spans(docs: DataFrame, n_batches: int = 2, group_rows: int = 20_000) -> DataFrame:
+    """rid, spans: for each different text (rid, text) with repeats, the windows [at, at + n) that repeat.
 
-def repeated_spans(docs: DataFrame, n_batches: int = 4) -> DataFrame:
-    """rid, spans: for each document (rid, text) with repeats, the places [at, at + n + WINDOW - 1) to cover."""
+    ``group_rows``: runs with one anchor that a task compares at once; beyond that windows are counted one by one.
+    """
     entries = materialize(docs.where(F.octet_length("text") >= WINDOW)
                           .mapInPandas(_entries, "rid long, at long, n int, key long, run long"), "sa-entries")
     index = SuffixLevels()
     for i in range(n_batches):
         index.add(entries.where(F.pmod(F.col("rid"), F.lit(n_batches)) == i))
-    level = index.close()
+    # what has a match, once for each text: copies of a text only add to the count
+    hits = materialize(entries.join(index.matches().hint("merge"), "key", "left_semi")
+                       .groupBy("rid", "at", "n", "key", "run").agg(F.count(F.lit(1)).alias("times")), "sa-hits")
+    index.close()
+    release(entries)
+    by_run = materialize(hits.groupBy("key", "run").agg(F.sum("times").alias("times")), "sa-runs")
     # whole runs that occur more than once
-    twice = level.where("times > 1").select("key", "run")
-    whole = entries.join(twice, ["key", "run"], "left_semi").select("rid", "at", "n")
-    # anchors with different runs: windows of one representative each
-    mixed = level.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
-    spots = (level.join(mixed, "key").groupBy("rid")
-             .agg(F.collect_list(F.struct("at", "n", "key", "times")).alias("spots")))
-    single = materialize(docs.join(spots, "rid").dropDuplicates(["rid"])
-                         .mapInPandas(_windows, "h long, rid long, at long, open boolean"), "sa-windows")
+    whole = hits.select("rid", "at", "n", "key", "run").join(by_run.where("times > 1"), ["key", "run"], "left_semi")
+    # anchors with different runs: windows of one representative of each
+    mixed = by_run.groupBy("key").agg(F.count(F.lit(1)).alias("n_runs")).where("n_runs > 1")
+    spots = (hits.select("rid", "at", "n", "key", "run").join(by_run.join(mixed, "key"), ["key", "run"])
+             .dropDuplicates(["key", "run"]).groupBy("rid")
+             .agg(F.collect_list(F.struct("at", "n", "key", "times", "n_runs")).alias("spots")))
+    contexts = materialize(docs.dropDuplicates(["rid"]).join(spots.hint("merge"), "rid").mapInPandas(
+        _contexts, "key long, times long, n_runs long, rid long, at long, n int, context binary"), "sa-contexts")
+    small = (contexts.where(F.col("n_runs") <= group_rows).repartition("key").sortWithinPartitions("key")
+             .mapInPandas(_compare, "rid long, at long, n int"))
+    single = contexts.where(F.col("n_runs") > group_rows).mapInPandas(_windows, "h long, rid long, at long, open boolean")
     seen = single.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h")
-    partly = single.where("open").join(seen, "h", "left_semi").select("rid", "at", F.lit(1).alias("n"))
-    return (whole.unionByName(partly).groupBy("rid")
-            .agg(F.collect_list(F.struct("at", F.col("n").cast("int").alias("n"))).alias("spans")))
+    large = single.where("open").join(seen, "h", "left_semi").select("rid", "at", F.lit(1).alias("n"))
+    spans = materialize(whole.select("rid", "at", "n").unionByName(small).unionByName(large).distinct().groupBy("rid")
+                        .agg(F.collect_list(F.struct("at", "n")).alias("spans")), "sa-spans")
+    release(hits, by_run, contexts)
+    return spans
 
 
 def merge_spans(at: np.ndarray, n: np.ndarray) -> list[tuple[int, int]]:
@@ -221,12 +269,12 @@ def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                                             kept=kept)
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_batches: int = 4) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_batches: int = 2) -> DataFrame:
     """doc_id, rid, spans (byte ranges), n_bytes, kept (the remaining bytes) of every document."""
     bounded_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     base = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    base = base.withColumn("rid", F.xxhash64("doc_id", "text"))
+    base = base.withColumn("rid", F.xxhash64("text"))
     spans = repeated_spans(base.select("rid", "text"), n_batches)
-    return base.join(spans, "rid", "left").mapInPandas(
+    return base.join(spans.hint("merge"), "rid", "left").mapInPandas(
         _cut, f"doc_id {kind}, rid long, spans array<struct<start: long, stop: long>>, n_bytes long, kept binary")
