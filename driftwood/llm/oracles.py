@@ -57,3 +57,29 @@ SELECT d.doc_id, octet_length(d.b)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS
        coalesce(n_spans, 0) AS n_spans, coalesce(kept_sha256, sha256('')) AS kept_sha256
 FROM d LEFT JOIN k ON k.doc_id = d.doc_id
 """
+
+SQL["op7_decontamination"] = r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
+           FROM documents),
+b AS (SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
+      FROM benchmark),
+m AS (SELECT * FROM (VALUES (0, [0, 1, 2, 4, 7]), (1, [0, 1, 3, 5, 6]), (2, [0, 2, 3, 4, 6]), (3, [0, 1, 2, 3, 4])) v(i, k)),
+ds AS (SELECT doc_id, p, i, list_transform(k, lambda x: w[p + x]) AS s
+       FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS p FROM d), m),
+bs AS (SELECT item_id, p, i, list_transform(k, lambda x: w[p + x]) AS s
+       FROM (SELECT item_id, w, unnest(range(1, len(w) - 6)) AS p FROM b), m),
+h AS (SELECT DISTINCT doc_id, item_id, ds.p - bs.p AS shift FROM ds JOIN bs USING (i, s)),
+o AS (SELECT h.doc_id, h.item_id, d.w AS dw, b.w AS bw, greatest(shift, 0) AS x, greatest(-shift, 0) AS y,
+        least(len(d.w) - greatest(shift, 0), len(b.w) - greatest(-shift, 0)) AS n
+      FROM h JOIN d USING (doc_id) JOIN b USING (item_id)),
+e AS (SELECT doc_id, item_id, least(16, n) AS c,
+        list_transform(range(1, n + 1), lambda i: CASE WHEN dw[x + i] = bw[y + i] THEN 1 ELSE 0 END) AS same FROM o),
+g AS (SELECT doc_id, item_id, max(list_sum(same)) AS matched FROM e
+      WHERE c >= 8 AND list_max(list_transform(range(1, len(same) - c + 2), lambda i: list_sum(same[i:i + c - 1]))) >= c * 0.6
+      GROUP BY 1, 2),
+f AS (SELECT doc_id, count(*) AS n, max(matched)::BIGINT AS m, string_agg(item_id::VARCHAR, ',' ORDER BY item_id) AS ids
+      FROM g GROUP BY 1)
+SELECT d.doc_id, coalesce(n, 0) AS n_items, coalesce(m, 0) AS matched_tokens, coalesce(ids, '') AS item_ids,
+       n IS NOT NULL AS contaminated
+FROM d LEFT JOIN f ON f.doc_id = d.doc_id
+"""

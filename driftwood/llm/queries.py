@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from . import oracles
 from .common import materialize
+from .decontam import contamination
 from .minhash import near_duplicates
 from .packing import pack, tokenize_pieces
+from .quality import grade
 from .sharding import shard_by_bytes
 from .suffixes import remove_repeats
 
@@ -59,4 +61,14 @@ def op8_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@register("op2_quality")
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grade(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op7_decontamination")
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 ORACLES: dict[str, str] = oracles.SQL

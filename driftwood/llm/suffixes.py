@@ -278,3 +278,36 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spans = repeated_spans(base.select("rid", "text"), n_batches)
     return base.join(spans.hint("merge"), "rid", "left").mapInPandas(
         _cut, f"doc_id {kind}, rid long, spans array<struct<start: long, stop: long>>, n_bytes long, kept binary")
+
+
+def _rewritten(text_col: str):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            texts = []
+            for text, spans in zip(pdf[text_col], pdf.pop("__spans")):
+                if spans is None or text is None:
+                    texts.append(text)
+                    continue
+                raw = text.encode("utf-8", "replace")
+                out, last = [], 0
+                for a, b in merge_spans(np.array([x["at"] for x in spans], np.int64), np.array([x["n"] for x in spans], np.int64)):
+                    while a < b and raw[a] & 0xC0 == 0x80:  # a character that is cut stays whole
+                        a += 1
+                    while a < b < len(raw) and raw[b] & 0xC0 == 0x80:
+                        b -= 1
+                    out.append(raw[last:a])
+                    last = b
+                texts.append(b"".join([*out, raw[last:]]).decode("utf-8"))
+            pdf[text_col] = texts
+            yield pdf
+    return run
+
+
+def without_repeats(docs: DataFrame, text_col: str = "text", n_batches: int = 2) -> DataFrame:
+    """``docs`` with the repeated passages taken out of the texts; only whole characters go."""
+    bounded_batches(docs.sparkSession)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    spans = repeated_spans(docs.select(F.xxhash64(text).alias("rid"), text.alias("text")), n_batches)
+    spans = spans.select(F.col("rid").alias("__rid"), F.col("spans").alias("__spans"))
+    return (docs.join(spans.hint("merge"), F.xxhash64(text) == F.col("__rid"), "left").drop("__rid")
+            .mapInPandas(_rewritten(text_col), docs.schema))
