@@ -83,3 +83,17 @@ SELECT d.doc_id, coalesce(n, 0) AS n_items, coalesce(m, 0) AS matched_tokens, co
        n IS NOT NULL AS contaminated
 FROM d LEFT JOIN f ON f.doc_id = d.doc_id
 """
+
+SQL["op10_search"] = r"""
+WITH w AS (SELECT doc_id, list_filter(string_split_regex(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+n AS (SELECT count(*) AS n, sum(len(w)) / count(*) AS mean FROM w),
+t AS (SELECT doc_id, term, len, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term, len(w) AS len FROM w) GROUP BY 1, 2, 3),
+f AS (SELECT term, ln(1 + (n.n - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM t, n GROUP BY term, n.n),
+s AS (SELECT q.doc_id AS query_id, t.doc_id,
+        round(sum(f.idf * t.tf * 2.2 / (t.tf + 1.2 * (0.25 + 0.75 * t.len / n.mean))), 6) AS score
+      FROM t q JOIN t USING (term) JOIN f USING (term), n WHERE q.doc_id % 100 = 0 GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""

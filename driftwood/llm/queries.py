@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from . import oracles
 from .common import materialize
 from .decontam import contamination
+from .langid import identify
 from .minhash import near_duplicates
 from .packing import pack, tokenize_pieces
 from .quality import grade
+from .search import search
 from .sharding import shard_by_bytes
 from .suffixes import remove_repeats
 
@@ -71,4 +73,22 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def crc_mod(column: str, n: int):
+    """crc32 of a number as text, modulo n; null gives -1."""
+    return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % n, F.lit(-1))
+
+
+@register("op6_language")
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = crc_mod("doc_id", 5) == 0
+    return identify(table(spark, sf_dir, "documents"), ~held).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+@register("op10_search")
+def op10_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    asked = docs.where(F.col("doc_id") % 100 == 0).select(F.col("doc_id").alias("query_id"), "text")
+    return search(docs, asked)
+
+
 ORACLES: dict[str, str] = oracles.SQL
