@@ -29,8 +29,9 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, materialize
 
-#: Words whose token ids a task keeps before it starts afresh.
-CACHE_IDS = 300_000
+#: Words whose token ids a worker keeps, from task to task, before it starts afresh.
+CACHE_IDS = 1_000_000
+_KEPT: dict[str, "WordIds"] = {}
 COARSE = 128
 
 
@@ -44,7 +45,9 @@ class WordIds:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.break_id = self.tokenizer.token_to_id("<|endoftext|>")
+        vocab = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocab.values()) + 1, bool)
+        self.closes[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self._reset()
 
     def _reset(self) -> None:
@@ -52,18 +55,26 @@ class WordIds:
         self.pool, self.ends, self.fresh = [], [0], []
 
     def _encode(self, words: list[bytes]) -> None:
-        """Add the ids of new words to the pool: many words in one call, parted by a special token."""
-        plain = [w for w in words if b"<|" not in w]
-        for i in range(0, len(plain), 2000):
-            chunk = plain[i:i + 2000]
-            ids = np.array(self.tokenizer.encode(
-                " <|endoftext|> ".join(w.decode("utf-8") for w in chunk), add_special_tokens=False).ids, np.uint32)
-            cuts = np.flatnonzero(ids == self.break_id)
-            for w, part in zip(chunk, np.split(ids, cuts)):
-                self._add(w, part[1:] if len(part) and part[0] == self.break_id else part)
-        for w in words:
-            if b"<|" in w:
-                self._add(w, np.array(self.tokenizer.encode(w.decode("utf-8"), add_special_tokens=False).ids, np.uint32))
+        """Add the ids of new words to the pool. Words of letters only are one unit of the tokenizer, whose last id
+        closes it, so many go in one call; others go one by one in a batch."""
+        text = [w.decode("utf-8") for w in words]
+        plain = [t.isascii() and t.isalpha() or t.isalpha() and t.lower().isalpha() and len(t.lower()) == len(t) for t in text]
+        simple = [i for i, p in enumerate(plain) if p]
+        for k in range(0, len(simple), 200):
+            chunk = simple[k:k + 200]
+            ids = np.array(self.tokenizer.encode(" ".join([text[i] for i in chunk]), add_special_tokens=False).ids, np.uint32)
+            cuts = (np.flatnonzero(self.closes[ids]) + 1).tolist()
+            if len(cuts) != len(chunk) or cuts[-1] != len(ids):
+                for i in chunk:
+                    plain[i] = False
+                continue
+            last = 0
+            for i, cut in zip(chunk, cuts):
+                self._add(words[i], ids[last:cut])
+                last = cut
+        rest = [i for i, p in enumerate(plain) if not p]
+        for i, e in zip(rest, self.tokenizer.encode_batch([text[i] for i in rest], add_special_tokens=False)):
+            self._add(words[i], np.array(e.ids, np.uint32))
 
     def _add(self, word: bytes, ids: np.ndarray) -> None:
         self.at[word] = len(self.ends) - 1
@@ -93,10 +104,20 @@ class WordIds:
         return out
 
 
+def word_ids(path: str) -> WordIds:
+    """The worker's own word cache for a tokenizer."""
+    if path not in _KEPT:
+        _KEPT[path] = WordIds(path)
+    return _KEPT[path]
+
+
 def _pieces(path: str, length: int, end_id: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
-        part, ids_of, seen = TaskContext.get().partitionId(), WordIds(path), np.zeros(length + 1, np.int64)
+
+        from driftwood.llm import packing
+        part, seen = TaskContext.get().partitionId(), np.zeros(length + 1, np.int64)
+        ids_of = packing.word_ids(path)
         for pdf in batches:
             rows = []
             for doc, ids in zip(pdf["doc_id"], ids_of.batch(pdf["text"])):
