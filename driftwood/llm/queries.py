@@ -15,6 +15,7 @@ from .langid import identify
 from .minhash import near_duplicates
 from .packing import pack, tokenize_pieces
 from .quality import grade
+from .rnnlm import score_texts
 from .search import search
 from .sharding import shard_by_bytes
 from .suffixes import remove_repeats
@@ -91,4 +92,10 @@ def op10_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(docs, asked)
 
 
+@register("op4_language_model")
+def op4_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = crc_mod("doc_id", 7) == 2
+    return score_texts(table(spark, sf_dir, "documents"), ~held).withColumn("held_out", held)
+
+
 ORACLES: dict[str, str] = oracles.SQL
