@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from . import oracles
 from .common import materialize
 from .decontam import contamination
+from .html import extract
 from .langid import identify
 from .minhash import near_duplicates
 from .packing import pack, tokenize_pieces
@@ -98,4 +99,10 @@ def op4_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(table(spark, sf_dir, "documents"), ~held).withColumn("held_out", held)
 
 
+@register("op9_html")
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return extract(pages.select("page_id", "url", "html")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 ORACLES: dict[str, str] = oracles.SQL
