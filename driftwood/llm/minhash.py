@@ -7,8 +7,8 @@ ROWS slots make a band key. A bucket (equal band key) is a star: its edges go fr
 so a bucket of g members gives g - 1 candidates. Candidates are confirmed on the full sets.
 
 A star can hide a link between two members that are both unlike the hub. Buckets whose members are
-still in different components after a star round get further stars around other hubs, and what is left
-is compared exactly, blocks of a bucket against each other, giving only the links. Before that, nodes go of whose shingles over a quarter occur in no
+still in different components after the stars are compared exactly, blocks of a bucket against each other inside
+a task, which gives a spanning forest of the links it finds and no pairs. Before that, nodes go of whose shingles over a quarter occur in no
 other node of these buckets: they cannot reach the similarity with any of them.
 
 Defined results: null or wordless text has an empty set and is linked with nothing; equal sets are one class
@@ -31,8 +31,6 @@ from .common import WordHashes, bounded_batches, components, consecutive, materi
 SLOTS, ROWS = 240, 5
 #: (1 - 0.75 ** 5) ** 48 < 3e-6: the chance that a pair at the threshold shares no bucket.
 BANDS = SLOTS // ROWS
-#: Star rounds around other hubs, at most; what they leave is compared exactly, so this only moves work.
-STAR_ROUNDS = 3
 #: Documents of a bucket that one task holds from each side when it compares them exactly.
 BLOCK = 512
 _ORDERS = np.random.default_rng(20240).permuted(np.tile(np.arange(SLOTS), (SLOTS, 1)), axis=1)
@@ -117,9 +115,22 @@ def _blocks(k: int, percent: int):
             m = np.zeros((len(sets), 4096), np.float32)
             m[owner[part], rank[part] - start] = 1
             inter += m @ m.T
-        near = (100 * inter >= percent * (n[:, None] + n[None, :] - inter)) & (comps[:, None] != comps[None, :])
-        a, b = np.nonzero(np.triu(near, 1))
-        return pd.DataFrame({"a": np.minimum(nodes[a], nodes[b]), "b": np.maximum(nodes[a], nodes[b])})
+        near = 100 * inter >= percent * (n[:, None] + n[None, :] - inter)
+        near |= comps[:, None] == comps[None, :]  # already known to be one
+        a, b = [], []
+        todo = np.ones(len(n), bool)
+        for root in range(len(n)):
+            front = [root] if todo[root] else []
+            todo[root] = False
+            while front:
+                i = front.pop()
+                new = np.flatnonzero(near[i] & todo)
+                todo[new] = False
+                front += new.tolist()
+                own = new[comps[new] != comps[i]]
+                a += [nodes[i]] * len(own)
+                b += nodes[own].tolist()
+        return pd.DataFrame({"a": a, "b": b}, dtype="int64")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache, known = WordHashes(), {}
@@ -204,26 +215,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         release(left)
         return out
 
-    # more star rounds, each around other hubs, while they find links
     left = prune(reopen(members, groups))
-    scratch = [links, tried]
-    for turn in range(STAR_ROUNDS):
-        hubs = left.groupBy("key").agg(F.max(F.struct(
-            F.xxhash64("node", "key", F.lit(turn)).alias("r"), "node", "n", "component")).alias("h"))
-        again = (left.join(hubs, "key")
-                 .where((F.col("component") != F.col("h.component")) & near(F.col("n"), F.col("h.n")))
-                 .select(F.least("node", "h.node").alias("a"), F.greatest("node", "h.node").alias("b")).distinct())
-        again = materialize(again.join(tried, ["a", "b"], "left_anti"), "nd-again")
-        more = confirm(again, "nd-more")
-        scratch += [again, more]
-        tried = tried.union(again)
-        if more.isEmpty():
-            break
-        links = links.union(more)
-        groups = materialize(components(links, "nd-comp"), "nd-groups")
-        still = reopen(left, groups)
-        release(left)
-        left = still
     # whatever is still apart in one bucket is compared exactly, block against block inside a task
     sizes = left.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("nb"))
     own = (left.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int"))
@@ -233,7 +225,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                        .mapInPandas(_blocks(k, percent), "a long, b long").distinct(), "nd-last")
     if not last.isEmpty():
         groups = materialize(components(links.union(last), "nd-comp"), "nd-groups")
-    release(reps, members, have, left, last, *scratch)
+    release(reps, members, have, left, last, tried, links)
     labelled = classes.join(groups, "node", "left").select("hi", "lo", "n_shingles",
                                                            F.coalesce("component", "node").alias("c"))
     return (sketched.select("doc_id", "n_shingles", "hi", "lo").join(labelled, ["hi", "lo", "n_shingles"], "left")
