@@ -5,7 +5,6 @@ All return native Columns (JVM-side, inside whole-stage codegen); none is a Pyth
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -17,11 +16,16 @@ SECONDARY_NAME_PATTERN = r"\(([A-Za-z ]+)\)"
 
 
 def normalize_name(name: str) -> str:
-    """camelCase -> snake_case ('CustomerID' -> 'customer_i_d'), drop parentheses,
-    spaces and dashes -> '_', lower case."""
-    snake = re.sub(r"(?<!^)(?=[A-Z])", "_", name).lower().replace("__", "_")
-    snake = re.sub(r"[()]", "", snake)
-    return re.sub(r"[ -]", "_", snake).lower()
+    """One character at a time: a capital opens a new part ('CustomerID' -> 'customer_i_d'), spaces and
+    dashes become '_', parentheses go, the rest is lowered."""
+    out = ""
+    for at, char in enumerate(name):
+        if char in "()":
+            continue
+        if "A" <= char <= "Z" and at and not name[at - 1] == "_":
+            out += "_"
+        out += "_" if char in " -" else char.lower()
+    return out
 
 
 def normalize_columns(df: DataFrame) -> DataFrame:

@@ -72,6 +72,11 @@ def asof_join(spine: DataFrame, features: DataFrame,
                       F.col(spine_ts).alias(_T), F.struct(*[F.col(c) for c in spine_cols]).alias("__dw_row"),
                       (F.col(spine_bucket) if spine_bucket else time_bucket(F.col(spine_ts), bucket_days))
                       .cast("long").alias(_BKT))
+    # rows without a key or time match nothing: spread them, they must not meet in one window
+    lost = F.col(_T).isNull()
+    for k in key_cols:
+        lost = lost | F.col(k).isNull()
+    sp = sp.withColumn(_BKT, F.when(lost, F.xxhash64("__dw_row")).otherwise(F.col(_BKT)))
 
     # Level 1: running last feature inside each (key, bucket), features before spine on equal time.
     unioned = (feat.select(*key_cols, _BKT, _T, F.lit(0).alias(_SIDE), _PAYLOAD,
@@ -79,7 +84,7 @@ def asof_join(spine: DataFrame, features: DataFrame,
                .unionByName(sp.select(*key_cols, _BKT, _T, F.lit(1).alias(_SIDE),
                                       F.lit(None).cast(feat.schema[_PAYLOAD].dataType).alias(_PAYLOAD),
                                       "__dw_row")))
-    w1 = (Window.partitionBy(*key_cols, _BKT).orderBy(F.col(_T), F.col(_SIDE))
+    w1 = (Window.partitionBy(*key_cols, _BKT).orderBy(F.col(_T), F.col(_SIDE), F.col(_PAYLOAD))  # equal times: the greatest row
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = (unioned.withColumn("__dw_local", F.last(_PAYLOAD, ignorenulls=True).over(w1))
              .where(F.col(_SIDE) == 1)
@@ -87,9 +92,9 @@ def asof_join(spine: DataFrame, features: DataFrame,
 
     # Level 2: per (key, bucket) last feature (partial aggregation, small), carried across buckets.
     bucket_last = (feat.groupBy(*key_cols, _BKT)
-                   .agg(F.max_by(_PAYLOAD, F.col(_T)).alias(_PAYLOAD))
+                   .agg(F.max_by(_PAYLOAD, F.struct(_T, _PAYLOAD)).alias(_PAYLOAD))
                    .withColumn(_SIDE, F.lit(1)))
-    spine_buckets = (sp.where(F.col(_T).isNotNull()).select(*key_cols, _BKT).distinct()
+    spine_buckets = (sp.where(~lost).select(*key_cols, _BKT).distinct()
                      .withColumn(_SIDE, F.lit(0))
                      .withColumn(_PAYLOAD, F.lit(None).cast(feat.schema[_PAYLOAD].dataType)))
     w2 = (Window.partitionBy(*key_cols).orderBy(F.col(_BKT), F.col(_SIDE))
@@ -123,7 +128,7 @@ def asof_join_plain(spine: DataFrame, features: DataFrame, spine_keys, feature_k
                       F.struct(*[F.col(c) for c in spine.columns]).alias("__dw_row"))
     u = (feat.withColumn("__dw_row", F.lit(None).cast(sp.schema["__dw_row"].dataType))
          .unionByName(sp.withColumn(_PAYLOAD, F.lit(None).cast(feat.schema[_PAYLOAD].dataType))))
-    w = (Window.partitionBy(*key_cols).orderBy(_T, _SIDE)
+    w = (Window.partitionBy(*key_cols).orderBy(_T, _SIDE, _PAYLOAD)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     r = u.withColumn("__dw_m", F.last(_PAYLOAD, ignorenulls=True).over(w)).where(F.col(_SIDE) == 1)
     return r.select(*[F.col("__dw_row")[c].alias(c) for c in spine.columns],

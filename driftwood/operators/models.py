@@ -24,16 +24,21 @@ from .evaluate import regression_report
 
 
 def _moment_aggs(features: Sequence[str], target: str) -> list[Column]:
+    """Moments over the complete rows: all features and the target are there and are numbers."""
     p = len(features)
-    aggs = [F.count(F.lit(1)).alias("__dw_n"),
-            F.array(*[F.avg(F.col(f).cast("double")) for f in features]).alias("__dw_mx"),
-            F.avg(F.col(target).cast("double")).alias("__dw_my"),
-            F.var_pop(F.col(target).cast("double")).alias("__dw_vy"),
-            F.array(*[F.covar_pop(F.col(features[i]).cast("double"), F.col(features[j]).cast("double"))
-                      for i in range(p) for j in range(p)]).alias("__dw_cxx"),
-            F.array(*[F.covar_pop(F.col(f).cast("double"), F.col(target).cast("double"))
-                      for f in features]).alias("__dw_cxy")]
-    return aggs
+    y = F.col(target).cast("double")
+    xs = [F.col(f).cast("double") for f in features]
+    whole = F.lit(True)
+    for c in [*xs, y]:
+        whole = whole & c.isNotNull() & ~F.isnan(c)
+    y, xs = F.when(whole, y), [F.when(whole, x) for x in xs]
+    return [F.count(F.when(whole, 1)).alias("__dw_n"),
+            F.array(*[F.avg(x) for x in xs]).alias("__dw_mx"),
+            F.avg(y).alias("__dw_my"),
+            F.var_pop(y).alias("__dw_vy"),
+            # the same two columns in the same order are one aggregate
+            F.array(*[F.covar_pop(xs[min(i, j)], xs[max(i, j)]) for i in range(p) for j in range(p)]).alias("__dw_cxx"),
+            F.array(*[F.covar_pop(x, y) for x in xs]).alias("__dw_cxy")]
 
 
 def _solve(cxx: np.ndarray, cxy: np.ndarray, mx: np.ndarray, my: float, vy: float, idx: np.ndarray):
@@ -183,20 +188,22 @@ def linear_attribution(df: DataFrame, model: LinearModel, means: dict[str, float
     return out
 
 
-def permuted_column(df: DataFrame, col: str, id_col: str, seed: int = 7, n_buckets: int | None = None,
-                    rows_per_bucket: int = 1_000_000) -> DataFrame:
-    """Replace ``col`` with a seeded permutation of its values. Rows are spread over hash
-    buckets of about ``rows_per_bucket`` rows (count-sized unless ``n_buckets`` is given);
-    inside a bucket, values are reassigned by a second hash order, so no window partition
-    grows with the table."""
-    if n_buckets is None:
-        n_buckets = max(1, -(-df.count() // rows_per_bucket))
-    b = F.floor(F.conv(F.substring(hash_text(seed, id_col), 1, 8), 16, 10).cast("double")
-                / F.lit(4294967296.0) * F.lit(n_buckets)).cast("int")
-    d = df.withColumn("__dw_b", b)
+def permuted_column(df: DataFrame, col: str, id_col: str, seed: int = 7, n_buckets: int = 4096) -> DataFrame:
+    """Replace ``col`` with a seeded permutation of its values: the row of rank r in one hash order gets the value of the
+    row of rank r in another. Ranks are global; the hash is cut into ``n_buckets`` ranges only to spread the sorting, so the
+    result does not depend on their number or on the size or partitioning of the table."""
     from pyspark.sql import Window
-    w_row = Window.partitionBy("__dw_b").orderBy(hash_text(seed, id_col, F.lit("row")), id_col)
-    w_val = Window.partitionBy("__dw_b").orderBy(hash_text(seed, id_col, F.lit("val")), id_col)
-    rows = d.withColumn("__dw_r", F.row_number().over(w_row)).drop(col)
-    vals = d.select("__dw_b", F.row_number().over(w_val).alias("__dw_r"), F.col(col))
-    return rows.join(vals, on=["__dw_b", "__dw_r"], how="inner").drop("__dw_b", "__dw_r")
+
+    def ranked(kind: str) -> DataFrame:
+        h = hash_text(seed, id_col, F.lit(kind))
+        bucket = F.floor(F.conv(F.substring(h, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0) * F.lit(n_buckets)).cast("int")
+        d = df.withColumn("__dw_h", h).withColumn("__dw_b", bucket)
+        before = Window.orderBy("__dw_b").rowsBetween(Window.unboundedPreceding, -1)
+        sizes = d.groupBy("__dw_b").agg(F.count(F.lit(1)).alias("__dw_c"))  # n_buckets rows at most
+        starts = sizes.select("__dw_b", F.coalesce(F.sum("__dw_c").over(before), F.lit(0)).alias("__dw_s"))
+        w = Window.partitionBy("__dw_b").orderBy("__dw_h", id_col)
+        return (d.withColumn("__dw_r", F.row_number().over(w)).join(F.broadcast(starts), "__dw_b")
+                .withColumn("__dw_r", F.col("__dw_r") + F.col("__dw_s")).drop("__dw_h", "__dw_b", "__dw_s"))
+
+    rows = ranked("row").drop(col)
+    return rows.join(ranked("val").select("__dw_r", F.col(col)), "__dw_r").drop("__dw_r")

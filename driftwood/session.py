@@ -48,6 +48,8 @@ def shared_dir(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             base = os.path.dirname(current.rstrip("/"))
+    if not base and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not base:
         base = tempfile.mkdtemp(prefix="driftwood-ckpt-")
         sc.setCheckpointDir(base)

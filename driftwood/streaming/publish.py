@@ -22,7 +22,7 @@ from ..sources.feature_store import FeatureStore
 def latest_per_key(df: DataFrame, keys: Sequence[str], ts_col: str) -> DataFrame:
     keys = list(keys)
     vals = [c for c in df.columns if c not in keys]
-    r = df.groupBy(*keys).agg(F.max_by(F.struct(*vals), F.col(ts_col)).alias("__dw_r"))
+    r = df.groupBy(*keys).agg(F.max_by(F.struct(*vals), F.struct(ts_col, *vals)).alias("__dw_r"))
     return r.select(*keys, *[F.col("__dw_r")[c].alias(c) for c in vals])
 
 
