@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, materialize
 
 #: Words whose token ids a worker keeps, from task to task, before it starts afresh.
-CACHE_IDS = 1_000_000
+CACHE_IDS = 600_000
 _KEPT: dict[str, "WordIds"] = {}
 COARSE = 128
 
