@@ -31,7 +31,7 @@ from .common import WordHashes, bounded_batches, hash_share, materialize, releas
 
 VOCAB, CLASS_SIZE, HIDDEN, STEPS, STREAMS = 4096, 64, 24, 32, 256
 TRAIN_SHARE, ROUNDS, HEAD = 0.125, 2, 1 << 17
-GROUP_TOKENS = 1_000_000
+GROUP_TOKENS = 4_000_000
 END = np.uint64(1)
 PART = 8192
 
@@ -119,7 +119,9 @@ def _outputs(w: Weights, s: np.ndarray, y: np.ndarray, grad: Weights | None = No
 def streams(docs: list[np.ndarray], end: int, most: int = STREAMS):
     """Documents laid into parallel streams: inputs, targets, keep, and document of each place (-1: none)."""
     lens = np.array([len(d) for d in docs])
-    n = int(np.clip(lens.sum() // max(lens.max(initial=1), 1), 1, most))
+    longest = max(int(lens.max(initial=1)), 1)
+    # as many as keep all streams busy, or 64 that are partly idle, as long as the table stays small
+    n = int(np.clip(max(lens.sum() // longest, min(64, len(docs), GROUP_TOKENS // longest)), 1, most))
     order, load, parts = np.argsort(-lens, kind="stable"), np.zeros(n, np.int64), [[] for _ in range(n)]
     for i in order.tolist():  # the longest first, each to the shortest stream
         j = int(load.argmin())
