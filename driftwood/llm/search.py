@@ -152,14 +152,15 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_
     one = queries.where("query_id is not null").groupBy("query_id").agg(F.max("text").alias("text"))
     asked = (one.mapInPandas(_terms, "query_id long, terms array<long>").select("query_id", F.explode("terms").alias("term"))
              .join(df, "term").select("query_id", "term", F.log1p((F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf")))
-    asked = materialize(asked.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("term", "idf"))).alias("terms")), "bm25-queries")
+    asked = materialize(asked.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("term", "idf"))).alias("t"))
+                        .select("query_id", F.col("t.term").alias("terms"), F.col("t.idf").alias("idf")), "bm25-queries")
     n_blocks = max(1, -(-int(asked.agg(F.sum(F.size("terms"))).first()[0] or 0) // QUERY_TERMS))
     results = None
     for i in range(n_blocks):
         rows = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == i).toPandas()
         block = spark.sparkContext.broadcast((
-            rows["query_id"].to_numpy(np.int64), [np.array([x["term"] for x in t], np.int64).view(np.uint64) for t in rows["terms"]],
-            [np.array([x["idf"] for x in t]) for t in rows["terms"]]))
+            rows["query_id"].to_numpy(np.int64), [np.asarray(t, np.int64).view(np.uint64) for t in rows["terms"]],
+            [np.asarray(t, np.float64) for t in rows["idf"]]))
         best = index.mapInPandas(_answers(block, max(total, 1) / max(n_docs, 1), k), "query_id long, doc_id long, score double")
         best = materialize(best, "bm25-best") if n_blocks > 1 else best
         results = best if results is None else results.unionByName(best)
