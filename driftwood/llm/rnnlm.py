@@ -64,55 +64,78 @@ class Weights:
 
 
 def _states(w: Weights, table: np.ndarray, x: np.ndarray, keep: np.ndarray, h: np.ndarray, cache: list | None = None):
-    """States after each step; ``x`` inputs and ``keep`` (0 where a document starts) are (steps, streams)."""
+    """States after each step; ``x`` rows of ``table`` and ``keep`` (0 where a document starts) are (steps, streams)."""
     out = np.empty((len(x), len(h), HIDDEN), np.float32)
     k = 2 * HIDDEN
     for t in range(len(x)):
         h = h * keep[t][:, None]
         g, u = table[x[t]], h @ w.wh
-        zr = 0.5 * np.tanh(0.5 * (g[:, :k] + u[:, :k])) + 0.5
+        zr = g[:, :k] + u[:, :k]
+        zr *= 0.5
+        np.tanh(zr, out=zr)
+        zr *= 0.5
+        zr += 0.5
         z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-        n = np.tanh(g[:, k:] + r * u[:, k:])
+        n = r * u[:, k:]
+        n += g[:, k:]
+        np.tanh(n, out=n)
         if cache is not None:
             cache.append((h, z, r, n, u[:, k:]))
-        h = n + z * (h - n)
+        h = h - n
+        h *= z
+        h += n
         out[t] = h
     return out, h
 
 
-def _log_softmax(a: np.ndarray) -> np.ndarray:
-    a = a - a.max(axis=1, keepdims=True)
-    return a - np.log(np.exp(a).sum(axis=1, keepdims=True))
+def _is_calm(w: Weights) -> bool:
+    """Whether no output of a state (all within -1 and 1) is so large that its exponential needs scaling."""
+    words = np.abs(w.wo).sum(axis=1) + np.abs(w.bo)
+    classes = np.abs(w.wc).sum(axis=0) + np.abs(w.bc)
+    return bool(words.max() < 60 and classes.max() < 60)
 
 
-def _outputs(w: Weights, s: np.ndarray, y: np.ndarray, grad: Weights | None = None):
+def _softmax(a: np.ndarray, y: np.ndarray, calm: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Log-probabilities of ``y`` and the sums of the rows of ``a``, whose exponentials take its place."""
+    if not calm:
+        a -= a.max(axis=1, keepdims=True)
+    lp = a[np.arange(len(y)), y]
+    np.exp(a, out=a)
+    total = a @ np.ones(a.shape[1], np.float32)
+    lp -= np.log(total)
+    return lp, total
+
+
+def _outputs(w: Weights, s: np.ndarray, y: np.ndarray, calm: bool, grad: Weights | None = None):
     """Log-probabilities of targets ``y`` from states ``s``; with ``grad`` also d loss / d s, adding up the rest."""
     cls = y // CLASS_SIZE
-    lc = _log_softmax(s @ w.wc + w.bc)
-    rows = np.arange(len(y))
-    lp = lc[rows, cls]
+    a = s @ w.wc
+    a += w.bc
+    lp, total = _softmax(a, cls, calm)
     if grad is not None:
-        d = np.exp(lc)
-        d[rows, cls] -= 1
-        grad.wc += s.T @ d
-        grad.bc += d.sum(axis=0)
-        ds = d @ w.wc.T
-    order = np.argsort(cls, kind="stable")
+        a /= total[:, None]
+        a[np.arange(len(y)), cls] -= 1
+        grad.wc += s.T @ a
+        grad.bc += a.sum(axis=0)
+        ds = a @ w.wc.T
+    order = np.argsort(cls.astype(np.int16), kind="stable")
     cuts = np.searchsorted(cls[order], np.arange(w.vocab // CLASS_SIZE + 1))
     for c in range(w.vocab // CLASS_SIZE):
         at = order[cuts[c]:cuts[c + 1]]
         if not len(at):
             continue
-        a, b = c * CLASS_SIZE, (c + 1) * CLASS_SIZE
-        sc = s[at]
-        lo = _log_softmax(sc @ w.wo[a:b].T + w.bo[a:b])
-        lp[at] += lo[np.arange(len(at)), y[at] - a]
+        i, j = c * CLASS_SIZE, (c + 1) * CLASS_SIZE
+        sc, yc = s[at], y[at] - i
+        a = sc @ w.wo[i:j].T
+        a += w.bo[i:j]
+        own, total = _softmax(a, yc, calm)
+        lp[at] += own
         if grad is not None:
-            d = np.exp(lo)
-            d[np.arange(len(at)), y[at] - a] -= 1
-            grad.wo[a:b] += d.T @ sc
-            grad.bo[a:b] += d.sum(axis=0)
-            ds[at] += d @ w.wo[a:b]
+            a /= total[:, None]
+            a[np.arange(len(at)), yc] -= 1
+            grad.wo[i:j] += a.T @ sc
+            grad.bo[i:j] += a.sum(axis=0)
+            ds[at] += a @ w.wo[i:j]
     return lp if grad is None else (lp, ds)
 
 
@@ -144,12 +167,13 @@ def score_documents(w: Weights, docs: list[np.ndarray], end: int) -> np.ndarray:
     """log10 probability of each document's tokens."""
     x, y, keep, doc = streams(docs, end)
     table, h, total = w.emb @ w.wx + w.b, np.zeros((x.shape[1], HIDDEN), np.float32), np.zeros(len(docs))
+    calm = _is_calm(w)
     for t in range(0, len(x), 2 * STEPS):
         at = slice(t, t + 2 * STEPS)
         s, h = _states(w, table, x[at], keep[at], h)
         own = doc[at].ravel()
         ok = np.flatnonzero(own >= 0)
-        lp = _outputs(w, s.reshape(-1, HIDDEN)[ok], y[at].ravel()[ok])
+        lp = _outputs(w, s.reshape(-1, HIDDEN)[ok], y[at].ravel()[ok], calm)
         total += np.bincount(own[ok], lp.astype(np.float64), len(docs))
     return total / np.log(10)
 
@@ -158,45 +182,66 @@ def train_documents(w: Weights, docs: list[np.ndarray], end: int, moments: list,
     """One pass of truncated backpropagation with Adam over the documents; ``moments`` is [step, m, v]."""
     x, y, keep, doc = streams(docs, end)
     h, k = np.zeros((x.shape[1], HIDDEN), np.float32), 2 * HIDDEN
+    g, room = Weights(w.vocab), np.empty_like(w.flat)
+    shape = (STEPS, x.shape[1], 3 * HIDDEN)
+    dg, du, before = np.empty(shape, np.float32), np.empty(shape, np.float32), np.empty((*shape[:2], HIDDEN), np.float32)
     for t0 in range(0, len(x), STEPS):
         at = slice(t0, t0 + STEPS)
         own = doc[at].ravel()
         ok = np.flatnonzero(own >= 0)
         if not len(ok):
             continue
-        g, cache = Weights(w.vocab), []
-        s, h_next = _states(w, w.emb @ w.wx + w.b, x[at], keep[at], h, cache)
-        _, ds = _outputs(w, s.reshape(-1, HIDDEN)[ok], y[at].ravel()[ok], g)
+        # the window's distinct inputs, and the place of each input among them
+        xs = x[at].ravel()
+        by = np.argsort(xs, kind="stable")
+        new = np.append(True, np.diff(xs[by]) != 0)
+        first = np.flatnonzero(new)
+        rows, place = xs[by][first], np.empty(len(xs), np.int64)
+        place[by] = np.cumsum(new) - 1
+        cache = []
+        s, h_next = _states(w, w.emb[rows] @ w.wx + w.b, place.reshape(STEPS, -1), keep[at], h, cache)
+        g.flat.fill(0)
+        _, ds = _outputs(w, s.reshape(-1, HIDDEN)[ok], y[at].ravel()[ok], _is_calm(w), g)
         d_out = np.zeros((s.shape[0] * s.shape[1], HIDDEN), np.float32)
         d_out[ok] = ds
         d_out = d_out.reshape(s.shape)
-        dg = np.empty((*s.shape[:2], 3 * HIDDEN), np.float32)
-        dh = np.zeros_like(h)
-        for t in range(len(s) - 1, -1, -1):
+        dh, wh_t = np.zeros_like(h), w.wh.T.copy()
+        for t in range(STEPS - 1, -1, -1):
             hp, z, r, n, un = cache[t]
-            dh = dh + d_out[t]
-            dn = dh * (1 - z) * (1 - n * n)
-            dz = dh * (hp - n) * z * (1 - z)
-            dr = dn * un * r * (1 - r)
-            dg[t, :, :HIDDEN], dg[t, :, HIDDEN:k], dg[t, :, k:] = dz, dr, dn
-            du = np.concatenate([dz, dr, dn * r], axis=1)
-            g.wh += hp.T @ du
-            dh = (dh * z + du @ w.wh.T) * keep[t0 + t][:, None]
-        dg = dg.reshape(-1, 3 * HIDDEN)
-        xs = x[at].ravel()
-        g.b += dg.sum(axis=0)
-        by = np.argsort(xs, kind="stable")
-        first = np.flatnonzero(np.append(True, np.diff(xs[by]) != 0))
-        rows, sums = xs[by][first], np.add.reduceat(dg[by], first)
+            dh += d_out[t]
+            dz, dr, dn = dg[t, :, :HIDDEN], dg[t, :, HIDDEN:k], dg[t, :, k:]
+            np.multiply(dh * (1 - z), 1 - n * n, out=dn)
+            np.multiply(dh * (hp - n), z * (1 - z), out=dz)
+            np.multiply(dn * un, r * (1 - r), out=dr)
+            du[t, :, :k] = dg[t, :, :k]
+            np.multiply(dn, r, out=du[t, :, k:])
+            before[t] = hp
+            dh = dh * z
+            dh += du[t] @ wh_t
+            dh *= keep[t0 + t][:, None]
+        g.wh += before.reshape(-1, HIDDEN).T @ du.reshape(-1, 3 * HIDDEN)
+        flat = dg.reshape(-1, 3 * HIDDEN)
+        g.b += flat.sum(axis=0)
+        sums = np.add.reduceat(flat[by], first)
         g.wx += w.emb[rows].T @ sums
         g.emb[rows] += sums @ w.wx.T
         g.flat /= len(ok) / 32
-        norm = float(np.sqrt((g.flat * g.flat).sum()))
-        g.flat *= min(1.0, 20 / max(norm, 1e-9))
+        g.flat *= min(1.0, 20 / max(float(np.sqrt(g.flat @ g.flat)), 1e-9))
         moments[0] += 1
-        moments[1] = 0.9 * moments[1] + 0.1 * g.flat
-        moments[2] = 0.99 * moments[2] + 0.01 * g.flat * g.flat
-        w.flat -= rate * (moments[1] / (1 - 0.9 ** moments[0])) / (np.sqrt(moments[2] / (1 - 0.99 ** moments[0])) + 1e-4)
+        _, m, v = moments
+        np.subtract(g.flat, m, out=room)
+        room *= 0.1
+        m += room
+        np.multiply(g.flat, g.flat, out=room)
+        room -= v
+        room *= 0.01
+        v += room
+        np.divide(v, 1 - 0.99 ** moments[0], out=room)
+        np.sqrt(room, out=room)
+        room += 1e-4
+        np.divide(m, room, out=room)
+        room *= rate / (1 - 0.9 ** moments[0])
+        w.flat -= room
         h = h_next
 
 
