@@ -3,8 +3,9 @@
 Each task indexes its documents into shards: terms, postings in document order, term counts and lengths.
 Documents of a shard are ordered by their most frequent term and length, so that neighbours are alike; BLOCK of them
 form a block. For a query the greatest term weights of each block are summed to the block's bound; blocks are scored
-in the order of their bounds until the next bound is below the k-th best score. Weights use the counts and mean length of all
-documents, so scores of different shards compare, and the best k of each shard's best k are the best of all.
+in the order of their bounds until the next bound is below the k-th best score, which a task takes from shard to shard;
+a shard whose greatest term weights together stay below it is passed over. Weights use the counts and mean length of all
+documents, so scores of different shards compare, and the best k of each task's best k are the best of all.
 
 A term is a word (A-Z lowered, parted by ASCII white space), known by its 64-bit hash. score = sum over the distinct
 terms of the query of ln(1 + (N - df + 0.5) / (df + 0.5)) * tf (K1 + 1) / (tf + K1 (1 - B + B len / mean len)), rounded to
@@ -26,9 +27,11 @@ from pyspark.sql import functions as F
 from .common import WordHashes, bounded_batches, materialize, release, word_hashes
 
 K1, B = 1.2, 0.75
-BLOCK, SHARD_DOCS, SHARD_POSTINGS = 32, 12_288, 4_000_000
-#: Query terms that are broadcast at once: 16 bytes each.
-QUERY_TERMS = 1_000_000
+BLOCK, SHARD_DOCS, SHARD_POSTINGS = 32, 12_288, 1_500_000
+#: About how many query terms, of 16 bytes each, and queries, of k results each, are broadcast at once.
+QUERY_TERMS, QUERIES = 1_000_000, 50_000
+#: A bound this far below a score cannot come to it by rounding.
+SLACK = 1e-5
 _INDEX = "ids binary, lens binary, terms binary, ends binary, docs binary, counts binary"
 
 
@@ -43,7 +46,7 @@ def _shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         order = np.lexsort([lens, top])
         docs = np.repeat(np.arange(len(held), dtype=np.int32), [len(held[i][1]) for i in order])
         terms = np.concatenate([held[i][1] for i in order])
-        counts = np.concatenate([held[i][2] for i in order]).astype(np.int32)
+        counts = np.concatenate([held[i][2] for i in order])
         by = np.argsort(terms, kind="stable")
         known, first = np.unique(terms[by], return_index=True)
         return pd.DataFrame({
@@ -54,7 +57,7 @@ def _shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         for doc, text in zip(pdf["doc_id"], pdf["text"]):
             t, c = np.unique(word_hashes(text, cache), return_counts=True)
-            held.append((doc, t, c))
+            held.append((doc, t, c.astype(np.int32)))
             size += len(t)
             if len(held) >= SHARD_DOCS or size >= SHARD_POSTINGS:
                 yield flush()
@@ -85,7 +88,7 @@ class Shard:
         self.docs = np.frombuffer(row.docs, np.int32)
         tf = np.frombuffer(row.counts, np.int32).astype(np.float64)
         self.weight = tf * (K1 + 1) / (tf + (K1 * (1 - B + B * lens / mean))[self.docs])
-        # postings of one term in one block
+        # parts: the postings of one term in one block
         block = self.docs // BLOCK
         new = np.ones(len(block), bool)
         new[1:] = block[1:] != block[:-1]
@@ -95,39 +98,46 @@ class Shard:
         self.part_block = block[self.part]
         self.part_max = np.maximum.reduceat(self.weight, self.part) if len(self.part) else np.empty(0)
         self.term_part = np.searchsorted(self.part, self.ends)
+        self.term_max = np.maximum.reduceat(self.part_max, self.term_part[:-1]) if len(self.part) else np.empty(0)
         self.n_blocks = -(-len(self.ids) // BLOCK)
 
-    def top(self, terms: np.ndarray, idf: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best documents."""
+    def top(self, terms: np.ndarray, idf: np.ndarray, k: int, ids: np.ndarray = np.empty(0, np.int64),
+            scores: np.ndarray = np.empty(0)) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and scores of the k best of this shard's documents and the given results."""
+        if not len(self.terms):
+            return ids, scores
         at = np.searchsorted(self.terms, terms)
         at[at == len(self.terms)] = 0
         hit = self.terms[at] == terms
         at, idf = at[hit], idf[hit]
-        n = self.term_part[at + 1] - self.term_part[at]
-        parts = np.repeat(self.term_part[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        part_idf = np.repeat(idf, n)
-        blocks = self.part_block[parts]
+        least = scores[-1] if len(ids) >= k else 0.0
+        if (idf * self.term_max[at]).sum() < max(least - SLACK, 1e-300):
+            return ids, scores
+        parts, n = _ranges(self.term_part[at], self.term_part[at + 1])
+        part_idf, blocks = np.repeat(idf, n), self.part_block[parts]
         bound = np.bincount(blocks, part_idf * self.part_max[parts], self.n_blocks)
         order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        ids, scores = np.empty(0, np.int64), np.empty(0)
-        least, done, step = 0.0, 0, 4
-        chosen = np.zeros(self.n_blocks, bool)
-        while done < len(order) and bound[order[done]] >= least - 1e-5:
+        order = order[bound[order] >= max(least - SLACK, 1e-300)]
+        near, done, step = np.zeros(self.n_blocks, bool), 0, 4
+        while done < len(order) and bound[order[done]] >= least - SLACK:
+            # parts of blocks that may still count
+            near[:] = False
+            near[order[done:]] = bound[order[done:]] >= least - SLACK
+            use = near[blocks]
+            parts, part_idf, blocks = parts[use], part_idf[use], blocks[use]
             some = order[done:done + step]
-            some = some[bound[some] >= least - 1e-5]
             done, step = done + step, step * 2
-            chosen[:] = False
-            chosen[some] = True
+            chosen = near.copy()
+            chosen[order[done:]] = False
             use = chosen[blocks]
-            p, w = parts[use], part_idf[use]
-            m = self.part_end[p] - self.part[p]
-            posts = np.repeat(self.part[p] - (np.cumsum(m) - m), m) + np.arange(m.sum())
-            score = np.bincount(self.docs[posts], np.repeat(w, m) * self.weight[posts], len(self.ids))
-            found = np.flatnonzero(score > 0)
-            ids = np.append(ids, self.ids[found])
+            p = parts[use]
+            posts, n = _ranges(self.part[p], self.part_end[p])
+            base = int(some.min()) * BLOCK
+            score = np.bincount(self.docs[posts] - base, np.repeat(part_idf[use], n) * self.weight[posts])
+            found = np.flatnonzero(score)
+            ids = np.append(ids, self.ids[found + base])
             scores = np.append(scores, np.round(score[found], 6))
-            if len(ids) > k:
+            if len(ids) >= k:
                 best = np.lexsort([ids, -scores])[:k]
                 ids, scores = ids[best], scores[best]
                 least = scores[-1]
@@ -135,6 +145,12 @@ class Shard:
         return ids[best], scores[best]
 
 
+def _ranges(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers from each start to before its end, one range after the other, and the ranges' sizes."""
+    n = end - start
+    return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum()), n
+
+
 def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """query_id, rank, doc_id, score: the k best documents for each row of ``queries(query_id, text)``."""
     spark = docs.sparkSession
@@ -154,7 +170,8 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_
              .join(df, "term").select("query_id", "term", F.log1p((F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf")))
     asked = materialize(asked.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("term", "idf"))).alias("t"))
                         .select("query_id", F.col("t.term").alias("terms"), F.col("t.idf").alias("idf")), "bm25-queries")
-    n_blocks = max(1, -(-int(asked.agg(F.sum(F.size("terms"))).first()[0] or 0) // QUERY_TERMS))
+    n_terms, n_queries = asked.agg(F.sum(F.size("terms")), F.count(F.lit(1))).first()
+    n_blocks = max(1, -(-int(n_terms or 0) // QUERY_TERMS), -(-n_queries // QUERIES))
     results = None
     for i in range(n_blocks):
         rows = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == i).toPandas()
@@ -174,11 +191,12 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_
 def _answers(block, mean: float, k: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         queries, terms, idf = block.value
+        best = [(np.empty(0, np.int64), np.empty(0))] * len(queries)
         for pdf in batches:
             for row in pdf.itertuples():
                 shard = Shard(row, mean)
-                out = [shard.top(t, f, k) for t, f in zip(terms, idf)]
-                if out:
-                    yield pd.DataFrame({"query_id": np.repeat(queries, [len(i) for i, _ in out]),
-                                        "doc_id": np.concatenate([i for i, _ in out]), "score": np.concatenate([s for _, s in out])})
+                best = [shard.top(t, f, k, *b) for t, f, b in zip(terms, idf, best)]
+        if best:
+            yield pd.DataFrame({"query_id": np.repeat(queries, [len(i) for i, _ in best]),
+                                "doc_id": np.concatenate([i for i, _ in best]), "score": np.concatenate([s for _, s in best])})
     return run
