@@ -5,7 +5,8 @@ CLASS_SIZE by frequency; all others share one unknown word, whose mass is spread
 counts: (c + 1) / (N' + V' + 1). P(word | past) = P(class | state) P(word | class, state).
 
 Training: numpy, truncated backpropagation over STEPS tokens, Adam. Each round every task starts from the
-same weights and trains on its part of the round's documents; weights are then averaged by tokens, block by block.
+same weights and trains on its part of the round's documents; weights are then averaged by tokens, block by block
+and at most FAN_IN tasks at a time.
 The rounds take TRAIN_SHARE of the training documents, by hash, so the amount grows with the input. The output biases start
 at the token frequencies.
 
@@ -33,7 +34,7 @@ VOCAB, CLASS_SIZE, HIDDEN, STEPS, STREAMS = 4096, 64, 24, 32, 256
 TRAIN_SHARE, ROUNDS, HEAD = 0.125, 2, 1 << 17
 GROUP_TOKENS = 4_000_000
 END = np.uint64(1)
-PART = 8192
+PART, FAN_IN = 8192, 64
 
 
 class Weights:
@@ -309,6 +310,8 @@ def score_texts(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col
 
     def rounds_of(weights_b, turn: int):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            from pyspark import TaskContext
+            task = TaskContext.get().partitionId()
             coder, number_ = Coder(shared.value[0]), shared.value[2]
             w = Weights(vocab, weights_b.value.copy())
             moments, held, size, total = [0, np.zeros_like(w.flat), np.zeros_like(w.flat)], [], 0, 0
@@ -325,20 +328,28 @@ def score_texts(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col
                 total += size
             if total:
                 for i in range(0, len(w.flat), PART):
-                    yield pd.DataFrame({"part": [i // PART], "tokens": [float(total)], "values": [w.flat[i:i + PART].tobytes()]})
+                    yield pd.DataFrame({"part": [i // PART], "task": [task], "tokens": [float(total)],
+                                        "values": [w.flat[i:i + PART].tobytes()]})
         return run
 
     def mean(pdf: pd.DataFrame) -> pd.DataFrame:
         t = pdf["tokens"].to_numpy()
         total = sum(np.frombuffer(b, np.float32) * x for b, x in zip(pdf["values"], t)) / t.sum()
-        return pd.DataFrame({"part": pdf["part"].iloc[:1], "values": [total.astype(np.float32).tobytes()]})
+        return pd.DataFrame({"part": pdf["part"].iloc[:1], "task": pdf["task"].iloc[:1], "tokens": [t.sum()],
+                             "values": [total.astype(np.float32).tobytes()]})
 
     weights = Weights.start(own)
     for turn in range(rounds if len(hashes) else 0):
         lot = hash_share(F.col("doc_id"), 5)
         some = known.where((lot >= share * turn / rounds) & (lot < share * (turn + 1) / rounds)).select("text")
-        got = (some.mapInPandas(rounds_of(spark.sparkContext.broadcast(weights.flat), turn), "part int, tokens double, values binary")
-               .groupBy("part").applyInPandas(mean, "part int, values binary").toPandas().sort_values("part"))
+        fields = "part int, task int, tokens double, values binary"
+        got = some.mapInPandas(rounds_of(spark.sparkContext.broadcast(weights.flat), turn), fields)
+        tasks = some.rdd.getNumPartitions()
+        while tasks > FAN_IN:
+            got = (got.withColumn("task", F.floor(F.col("task") / FAN_IN).cast("int"))
+                   .groupBy("part", "task").applyInPandas(mean, fields))
+            tasks = -(-tasks // FAN_IN)
+        got = got.groupBy("part").applyInPandas(mean, fields).toPandas().sort_values("part")
         if len(got):
             weights = Weights(vocab, np.concatenate([np.frombuffer(b, np.float32) for b in got["values"]]))
     model = spark.sparkContext.broadcast(weights.flat)
