@@ -68,8 +68,11 @@ def n_partitions(df: DataFrame) -> int:
 class WordHashes(dict):
     """Word (bytes) -> 64-bit hash, filled on first sight and bounded in size."""
 
+    def __init__(self, most: int = CACHE_WORDS):
+        self.most = most
+
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
+        if len(self) >= self.most:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h

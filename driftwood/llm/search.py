@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 from .common import WordHashes, bounded_batches, materialize, release, word_hashes
 
 K1, B = 1.2, 0.75
-BLOCK, SHARD_DOCS, SHARD_POSTINGS = 32, 12_288, 1_500_000
+BLOCK, SHARD_DOCS, SHARD_POSTINGS = 32, 12_288, 600_000
+#: Words whose hashes a task keeps.
+CACHE = 60_000
 #: About how many query terms, of 16 bytes each, and queries, of k results each, are broadcast at once.
 QUERY_TERMS, QUERIES = 1_000_000, 50_000
 #: A bound this far below a score cannot come to it by rounding.
@@ -36,7 +38,7 @@ _INDEX = "ids binary, lens binary, terms binary, ends binary, docs binary, count
 
 
 def _shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    cache = WordHashes()
+    cache = WordHashes(CACHE)
     held: list[tuple[int, np.ndarray, np.ndarray]] = []
     size = 0
 
@@ -73,7 +75,7 @@ def _document_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    cache = WordHashes()
+    cache = WordHashes(CACHE)
     for pdf in batches:
         yield pd.DataFrame({"query_id": pdf["query_id"],
                             "terms": [np.unique(word_hashes(t, cache)).view(np.int64) for t in pdf["text"]]})
