@@ -2,9 +2,9 @@
 
 Each task indexes its documents into shards: terms, postings in document order, term counts and lengths.
 Documents of a shard are ordered by their most frequent term and length, so that neighbours are alike; BLOCK of them
-form a block. For a query the greatest term weights of each block are summed to the block's bound; blocks are scored
-in the order of their bounds until the next bound is below the k-th best score, which a task takes from shard to shard;
-a shard whose greatest term weights together stay below it is passed over. Weights use the counts and mean length of all
+form a block. For a query the greatest term weights of each block are summed to the block's bound, for the terms of many
+blocks as one product of matrices over several queries; blocks are scored in the order of their bounds until the next bound is
+below the k-th best score, which a task takes from shard to shard. Weights use the counts and mean length of all
 documents, so scores of different shards compare, and the best k of each task's best k are the best of all.
 
 A term is a word (A-Z lowered, parted by ASCII white space), known by its 64-bit hash. score = sum over the distinct
@@ -27,13 +27,15 @@ from pyspark.sql import functions as F
 from .common import WordHashes, bounded_batches, materialize, release, word_hashes
 
 K1, B = 1.2, 0.75
-BLOCK, SHARD_DOCS, SHARD_POSTINGS = 32, 12_288, 600_000
+BLOCK, SHARD_DOCS, SHARD_POSTINGS = 16, 12_288, 600_000
 #: Words whose hashes a task keeps.
 CACHE = 60_000
 #: About how many query terms, of 16 bytes each, and queries, of k results each, are broadcast at once.
 QUERY_TERMS, QUERIES = 1_000_000, 50_000
-#: A bound this far below a score cannot come to it by rounding.
-SLACK = 1e-5
+#: Query terms that a shard takes at once.
+BATCH_TERMS = 30_000
+#: A bound this far below a score cannot come to it by rounding; bounds are raised by the error of their single-precision sums.
+SLACK, RAISE = 1e-5, 1 + 1e-4
 _INDEX = "ids binary, lens binary, terms binary, ends binary, docs binary, counts binary"
 
 
@@ -100,51 +102,75 @@ class Shard:
         self.part_block = block[self.part]
         self.part_max = np.maximum.reduceat(self.weight, self.part) if len(self.part) else np.empty(0)
         self.term_part = np.searchsorted(self.part, self.ends)
-        self.term_max = np.maximum.reduceat(self.part_max, self.term_part[:-1]) if len(self.part) else np.empty(0)
         self.n_blocks = -(-len(self.ids) // BLOCK)
-
-    def top(self, terms: np.ndarray, idf: np.ndarray, k: int, ids: np.ndarray = np.empty(0, np.int64),
-            scores: np.ndarray = np.empty(0)) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best of this shard's documents and the given results."""
+        # terms of many blocks: tables of their parts by block
+        often = np.flatnonzero(np.diff(self.term_part) > max(4, self.n_blocks // 8))
+        self.row = np.full(len(self.terms), -1, np.int32)
+        self.row[often] = np.arange(len(often))
+        parts, n = _ranges(self.term_part[often], self.term_part[often + 1])
+        place = np.repeat(np.arange(len(often)), n), self.part_block[parts]
+        self.part_at = np.full((len(often), self.n_blocks), -1, np.int32)
+        self.part_at[place] = parts
+        self.max_at = np.zeros((len(often), self.n_blocks), np.float32)
+        self.max_at[place] = self.part_max[parts]
+
+    def top(self, terms: list[np.ndarray], idfs: list[np.ndarray], best: list[tuple], k: int) -> list[tuple]:
+        """(ids, scores) of the k best of this shard's documents and the given results, for each query."""
         if not len(self.terms):
-            return ids, scores
-        at = np.searchsorted(self.terms, terms)
+            return best
+        of = np.repeat(np.arange(len(terms)), [len(t) for t in terms])
+        asked, idf = np.concatenate(terms), np.concatenate(idfs)
+        at = np.searchsorted(self.terms, asked)
         at[at == len(self.terms)] = 0
-        hit = self.terms[at] == terms
-        at, idf = at[hit], idf[hit]
+        hit = self.terms[at] == asked
+        of, at, idf = of[hit], at[hit], idf[hit]
+        row = self.row[at]
+        often = row >= 0
+        some = np.zeros((len(terms), len(self.max_at)), np.float32)
+        some[of[often], row[often]] = idf[often]
+        few = np.flatnonzero(~often)
+        parts, n = _ranges(self.term_part[at[few]], self.term_part[at[few] + 1])
+        part_of, part_idf, blocks = np.repeat(of[few], n), np.repeat(idf[few], n), self.part_block[parts]
+        bounds = np.bincount(part_of * self.n_blocks + blocks, part_idf * self.part_max[parts], len(terms) * self.n_blocks)
+        bounds = (bounds.reshape(len(terms), -1) + some @ self.max_at) * RAISE
+        row, idf = row[often], idf[often]
+        row_cuts = np.searchsorted(of[often], np.arange(len(terms) + 1))
+        part_cuts = np.searchsorted(part_of, np.arange(len(terms) + 1))
+        out = []
+        for i, (ids, scores) in enumerate(best):
+            rows, parts_in = slice(*row_cuts[i:i + 2]), slice(*part_cuts[i:i + 2])
+            out.append(self._scored(bounds[i], row[rows], idf[rows], parts[parts_in], part_idf[parts_in], blocks[parts_in], ids, scores, k))
+        return out
+
+    def _scored(self, bound, rows, idf, parts, part_idf, blocks, ids, scores, k) -> tuple[np.ndarray, np.ndarray]:
+        """One query's results with those of its blocks, from the greatest bound on; ``rows`` are its terms of many blocks."""
         least = scores[-1] if len(ids) >= k else 0.0
-        if (idf * self.term_max[at]).sum() < max(least - SLACK, 1e-300):
-            return ids, scores
-        parts, n = _ranges(self.term_part[at], self.term_part[at + 1])
-        part_idf, blocks = np.repeat(idf, n), self.part_block[parts]
-        bound = np.bincount(blocks, part_idf * self.part_max[parts], self.n_blocks)
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] >= max(least - SLACK, 1e-300)]
-        near, done, step = np.zeros(self.n_blocks, bool), 0, 4
+        order = np.flatnonzero(bound >= max(least - SLACK, 1e-300))
+        order = order[np.argsort(-bound[order], kind="stable")]
+        done, step = 0, 4
         while done < len(order) and bound[order[done]] >= least - SLACK:
-            # parts of blocks that may still count
-            near[:] = False
-            near[order[done:]] = bound[order[done:]] >= least - SLACK
-            use = near[blocks]
-            parts, part_idf, blocks = parts[use], part_idf[use], blocks[use]
             some = order[done:done + step]
+            some = some[bound[some] >= least - SLACK]
             done, step = done + step, step * 2
-            chosen = near.copy()
-            chosen[order[done:]] = False
+            p = self.part_at[rows[:, None], some]
+            there = p >= 0
+            chosen = np.zeros(self.n_blocks, bool)
+            chosen[some] = True
             use = chosen[blocks]
-            p = parts[use]
+            w = np.append(np.repeat(idf, there.sum(axis=1)), part_idf[use])
+            p = np.append(p[there], parts[use])
             posts, n = _ranges(self.part[p], self.part_end[p])
             base = int(some.min()) * BLOCK
-            score = np.bincount(self.docs[posts] - base, np.repeat(part_idf[use], n) * self.weight[posts])
+            score = np.bincount(self.docs[posts] - base, np.repeat(w, n) * self.weight[posts])
             found = np.flatnonzero(score)
             ids = np.append(ids, self.ids[found + base])
             scores = np.append(scores, np.round(score[found], 6))
             if len(ids) >= k:
-                best = np.lexsort([ids, -scores])[:k]
-                ids, scores = ids[best], scores[best]
+                by = np.lexsort([ids, -scores])[:k]
+                ids, scores = ids[by], scores[by]
                 least = scores[-1]
-        best = np.lexsort([ids, -scores])[:k]
-        return ids[best], scores[best]
+        by = np.lexsort([ids, -scores])[:k]
+        return ids[by], scores[by]
 
 
 def _ranges(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -194,10 +220,13 @@ def _answers(block, mean: float, k: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         queries, terms, idf = block.value
         best = [(np.empty(0, np.int64), np.empty(0))] * len(queries)
+        lot = np.cumsum([len(t) for t in terms]) // BATCH_TERMS
+        cuts = [0, *(np.flatnonzero(np.diff(lot)) + 1).tolist(), len(queries)] if len(queries) else [0]
         for pdf in batches:
             for row in pdf.itertuples():
                 shard = Shard(row, mean)
-                best = [shard.top(t, f, k, *b) for t, f, b in zip(terms, idf, best)]
+                for a, b in zip(cuts, cuts[1:]):
+                    best[a:b] = shard.top(terms[a:b], idf[a:b], best[a:b], k)
         if best:
             yield pd.DataFrame({"query_id": np.repeat(queries, [len(i) for i, _ in best]),
                                 "doc_id": np.concatenate([i for i, _ in best]), "score": np.concatenate([s for _, s in best])})
