@@ -52,55 +52,49 @@ class WordIds:
 
     def _reset(self) -> None:
         self.at: dict[bytes, int] = {}
-        self.pool, self.ends, self.fresh = [], [0], []
+        self.pool, self.ends = np.empty(0, np.uint32), np.zeros(1, np.int64)
 
     def _encode(self, words: list[bytes]) -> None:
-        """Add the ids of new words to the pool. Words of letters only are one unit of the tokenizer, whose last id
-        closes it, so many go in one call; others go one by one in a batch."""
+        """Add the ids of new words to the pool, many words in one call. A word of letters only is one unit of the
+        tokenizer, whose last id closes it; the ids of other words are told apart by their places in the text."""
         text = [w.decode("utf-8") for w in words]
-        plain = [t.isascii() and t.isalpha() or t.isalpha() and t.lower().isalpha() and len(t.lower()) == len(t) for t in text]
-        simple = [i for i, p in enumerate(plain) if p]
-        for k in range(0, len(simple), 200):
-            chunk = simple[k:k + 200]
-            ids = np.array(self.tokenizer.encode(" ".join([text[i] for i in chunk]), add_special_tokens=False).ids, np.uint32)
-            cuts = (np.flatnonzero(self.closes[ids]) + 1).tolist()
-            if len(cuts) != len(chunk) or cuts[-1] != len(ids):
-                for i in chunk:
-                    plain[i] = False
-                continue
-            last = 0
-            for i, cut in zip(chunk, cuts):
-                self._add(words[i], ids[last:cut])
-                last = cut
-        rest = [i for i, p in enumerate(plain) if not p]
-        for i, e in zip(rest, self.tokenizer.encode_batch([text[i] for i in rest], add_special_tokens=False)):
-            self._add(words[i], np.array(e.ids, np.uint32))
-
-    def _add(self, word: bytes, ids: np.ndarray) -> None:
-        self.at[word] = len(self.ends) - 1
-        self.fresh.append(ids)
-        self.ends.append(self.ends[-1] + len(ids))
+        plain = [t.isalpha() and (t.isascii() or t.lower().isalpha() and len(t.lower()) == len(t)) for t in text]
+        groups = [[i for i, p in enumerate(plain) if p], [i for i, p in enumerate(plain) if not p]]
+        ids, sizes, order = [self.pool], [], []
+        for simple, group in zip((True, False), groups):
+            for k in range(0, len(group), 200):
+                chunk = group[k:k + 200]
+                encoded = self.tokenizer.encode(" ".join([text[i] for i in chunk]), add_special_tokens=False)
+                got = np.array(encoded.ids, np.uint32)
+                cuts = np.flatnonzero(self.closes[got]) + 1 if simple else None
+                if not simple or len(cuts) != len(chunk) or cuts[-1] != len(got):
+                    starts = np.cumsum([0, *[len(text[i]) + 1 for i in chunk]])
+                    cuts = np.searchsorted([o[0] for o in encoded.offsets], starts[1:])
+                ids.append(got)
+                sizes.append(np.diff(cuts, prepend=0))
+                order += chunk
+        first = len(self.ends) - 1
+        self.at.update(zip([words[i] for i in order], range(first, first + len(order))))
+        self.pool = np.concatenate(ids)
+        self.ends = np.append(self.ends, self.ends[-1] + np.cumsum(np.concatenate(sizes)))
 
     def batch(self, texts) -> list[np.ndarray]:
         split = [t.encode("utf-8", "replace").split() if t else [] for t in texts]
         if len(self.at) > CACHE_IDS:
             self._reset()
-        new = {w for ws in split for w in ws}.difference(self.at)
+        new = set().union(*split).difference(self.at)
         if new:
             self._encode(list(new))
-            self.pool = [np.concatenate([*self.pool, *self.fresh])]
-            self.fresh = []
-        ends = np.array(self.ends, np.int64)
         out = []
         for ws in split:
             if not ws:
                 out.append(np.empty(0, np.uint32))
                 continue
             at = np.fromiter(map(self.at.__getitem__, ws), np.int64, len(ws))
-            n = ends[at + 1] - ends[at]
+            n = self.ends[at + 1] - self.ends[at]
             stop = np.cumsum(n)
-            where = np.repeat(ends[at] - stop + n, n) + np.arange(stop[-1])
-            out.append(self.pool[0][where])
+            where = np.repeat(self.ends[at] - stop + n, n) + np.arange(stop[-1])
+            out.append(self.pool[where])
         return out
 
 
