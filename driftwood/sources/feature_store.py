@@ -48,7 +48,7 @@ class FeatureStore:
         fs, p = self._fs(path)
         return bool(fs.exists(p))
 
-    def _versions(self, name: str) -> list[int]:
+    def _versions(self, name: str, committed: bool = True) -> list[int]:
         base = f"{self.root}/{name}"
         if not self._exists(base):
             return []
@@ -56,7 +56,7 @@ class FeatureStore:
         out = []
         for st in fs.listStatus(p):
             m = re.fullmatch(r"v(\d+)", st.getPath().getName())
-            if m and self._exists(f"{base}/{st.getPath().getName()}/_SUCCESS"):
+            if m and (not committed or self._exists(f"{base}/{st.getPath().getName()}/_SUCCESS")):
                 out.append(int(m.group(1)))
         return sorted(out)
 
@@ -82,9 +82,10 @@ class FeatureStore:
             raise ValueError(f"keys {missing} not in schema")
         meta = {"name": name, "primary_keys": pk, "timestamp_keys": tk,
                 "description": description, "schema": sch.json()}
+        # the data first: a table whose first write failed does not exist
+        self._write_version(name, df if df is not None else self.spark.createDataFrame([], sch), pk + tk)
         (self.spark.createDataFrame([(json.dumps(meta),)], "meta string")
          .coalesce(1).write.mode("overwrite").text(f"{self.root}/{name}/_meta"))
-        self._write_version(name, df if df is not None else self.spark.createDataFrame([], sch), pk + tk)
         return self.get_table(name)
 
     def get_table(self, name: str) -> FeatureTable:
@@ -102,7 +103,7 @@ class FeatureStore:
     def _write_version(self, name: str, df: DataFrame, keys: list[str], validate: bool = True) -> str:
         if validate:
             assert_primary_key(df, keys)
-        vs = self._versions(name)
+        vs = self._versions(name, committed=False)  # a lost driver may have left a folder without its marker
         path = f"{self.root}/{name}/v{(vs[-1] + 1) if vs else 0}"
         df.write.mode("errorifexists").parquet(path)
         return path

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from driftwood.functions.columns import normalize_name, secondary_name, title_prefix
@@ -44,3 +45,15 @@ def test_name_helpers(spark):
 def test_latest_per_key(spark):
     df = spark.createDataFrame([(1, 1, "a"), (1, 3, "c"), (1, 2, "b"), (2, 5, "z")], "k long, ts long, v string")
     assert sorted(tuple(r) for r in latest_per_key(df, ["k"], "ts").collect()) == [(1, 3, "c"), (2, 5, "z")]
+
+
+def test_failed_writes_leave_the_table_usable(spark, tmp_path):
+    st = FeatureStore(spark, root=str(tmp_path))
+    twice = spark.createDataFrame([(1, 1.0), (1, 2.0)], "id int, x double")
+    with pytest.raises(Exception):
+        st.create_table("t", "id", twice)
+    assert not st.table_exists("t")
+    st.create_table("t", "id", twice.limit(1))
+    (tmp_path / "t" / "v1" / "_temporary").mkdir(parents=True)  # as a driver lost in mid-write leaves it
+    st.write_table("t", spark.createDataFrame([(2, 5.0)], "id int, x double"))
+    assert st.read_table("t").count() == 2
