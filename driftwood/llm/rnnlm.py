@@ -107,7 +107,7 @@ def _softmax(a: np.ndarray, y: np.ndarray, calm: bool) -> tuple[np.ndarray, np.n
     return lp, total
 
 
-def _outputs(w: Weights, s: np.ndarray, y: np.ndarray, calm: bool, grad: Weights | None = None):
+def _outputs(w: Weights, s: np.ndarray, y: np.ndarray, grad: Weights | None = None, calm: bool = False):
     """Log-probabilities of targets ``y`` from states ``s``; with ``grad`` also d loss / d s, adding up the rest."""
     cls = y // CLASS_SIZE
     a = s @ w.wc
@@ -174,7 +174,7 @@ def score_documents(w: Weights, docs: list[np.ndarray], end: int) -> np.ndarray:
         s, h = _states(w, table, x[at], keep[at], h)
         own = doc[at].ravel()
         ok = np.flatnonzero(own >= 0)
-        lp = _outputs(w, s.reshape(-1, HIDDEN)[ok], y[at].ravel()[ok], calm)
+        lp = _outputs(w, s.reshape(-1, HIDDEN)[ok], y[at].ravel()[ok], calm=calm)
         total += np.bincount(own[ok], lp.astype(np.float64), len(docs))
     return total / np.log(10)
 
@@ -202,7 +202,7 @@ def train_documents(w: Weights, docs: list[np.ndarray], end: int, moments: list,
         cache = []
         s, h_next = _states(w, w.emb[rows] @ w.wx + w.b, place.reshape(STEPS, -1), keep[at], h, cache)
         g.flat.fill(0)
-        _, ds = _outputs(w, s.reshape(-1, HIDDEN)[ok], y[at].ravel()[ok], _is_calm(w), g)
+        _, ds = _outputs(w, s.reshape(-1, HIDDEN)[ok], y[at].ravel()[ok], g, _is_calm(w))
         d_out = np.zeros((s.shape[0] * s.shape[1], HIDDEN), np.float32)
         d_out[ok] = ds
         d_out = d_out.reshape(s.shape)

@@ -110,3 +110,32 @@ def test_search_matches_brute_force_on_edges(spark, docs_of, edge_rows):
     rows = search(docs, q, k=3).orderBy("rank").collect()
     assert {r.query_id for r in rows} == {1} and [r["rank"] for r in rows] == [1, 2, 3] and {r.doc_id for r in rows} <= {4, 40, 41, 42}
     assert search(docs_of([]), q).count() == 0
+
+
+def test_search_equals_brute_force_over_many_shards(spark, docs_of, monkeypatch):
+    import math
+    from collections import Counter
+
+    import numpy as np
+
+    from driftwood.llm import search as module
+    monkeypatch.setattr(module, "QUERIES", 20)
+    r = np.random.default_rng(9)
+    texts = [(i, " ".join(f"w{w}" for w in r.zipf(1.4, r.integers(1, 120)) % 500)) for i in range(600)]
+    bags = {i: Counter(t.split()) for i, t in texts}
+    df = Counter(w for b in bags.values() for w in b)
+    mean = sum(sum(b.values()) for b in bags.values()) / len(bags)
+    asked = texts[::10]
+    got = {}
+    for x in search(docs_of(texts), spark.createDataFrame(asked, "query_id long, text string"), k=4).collect():
+        got.setdefault(x.query_id, []).append((-x.score, x.doc_id))
+    for q, text in asked:
+        want = []
+        for i, b in bags.items():
+            norm = 1.2 * (0.25 + 0.75 * sum(b.values()) / mean)
+            hits = [math.log1p((600 - df[w] + 0.5) / (df[w] + 0.5)) * b[w] * 2.2 / (b[w] + norm) for w in set(text.split()) if w in b]
+            if hits:
+                want.append((-round(sum(hits), 6), i))
+        want = sorted(want)[:4]
+        assert [i for _, i in sorted(got[q])] == [i for _, i in want]
+        assert np.allclose([s for s, _ in sorted(got[q])], [s for s, _ in want], atol=2e-6)

@@ -5,7 +5,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from driftwood.llm.packing import nnls, plan_sequences
+from driftwood.llm.packing import WordIds, nnls, plan_sequences
 from driftwood.llm.queries import pack_query
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -65,3 +65,12 @@ def test_nnls_matches_known_solution():
     a = np.array([[1.0, 0, 1], [0, 1, 1], [0, 0, 1]])
     assert np.allclose(nnls(a, a @ np.array([2.0, 0, 3])), [2, 0, 3])
     assert (nnls(a, np.array([-1.0, 2, 1])) >= 0).all()
+
+
+def test_word_ids_equal_whole_text_ids():
+    r = np.random.default_rng(5)
+    signs = list("aZé,.ß İıﬁ¨中文かगि🙂👩ẞ-'\"$1２ſÅΣς\n\t\x00\x07\x1c\x85\u0308\u0301\u00a0\u3000\u200b\ufeff")
+    texts = ["".join(r.choice(signs, r.integers(0, 60))) for _ in range(3000)]
+    words = WordIds(PATH)
+    for text, ids in zip(texts, words.batch(texts)):
+        assert ids.tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
