@@ -1,19 +1,20 @@
 """Gated recurrent language model with class-factored output, scored over whole documents.
 
-Counts of all training tokens are taken on Spark. The VOCAB most frequent tokens form the model's words, in classes of
-CLASS_SIZE by frequency; all others share one unknown word, whose mass is spread over them by their
+Counts of all training tokens are taken on Spark. The most frequent tokens form the model's words, VOCAB at least and
+WORDS_ROOT times the root of the number of distinct tokens (``model_words``), in classes of ``class_size`` by frequency;
+all others share one unknown word, whose mass is spread over them by their
 counts: (c + 1) / (N' + V' + 1). P(word | past) = P(class | state) P(word | class, state).
 
 Training: numpy, truncated backpropagation over STEPS tokens, Adam. Each round every task starts from the
 same weights and trains on its part of the round's documents; weights are then averaged by tokens, block by block
 and at most FAN_IN tasks at a time.
-The rounds take TRAIN_SHARE of the training documents, by hash, so the amount grows with the input. The output biases start
-at the token frequencies.
+The rounds are disjoint parts of the training documents, by hash, that add up to TRAIN_SHARE: all of them, once each.
+The output biases start at the token frequencies.
 
 Scoring: documents are laid one after the other into parallel streams; a document starts with the zero state,
 which is carried over all windows to its end.
 
-The HEAD most frequent words' counts are broadcast (16 bytes each); counts of the others are joined.
+The counts of the HEAD most frequent words, or of the model's words if these are more, are broadcast (16 bytes each); counts of the others are joined.
 
 Defined results: null text is empty and has the end token alone; rows with a null id are not learned from; without training
 text all counts are zero; repeated rows are scored alike, each for itself; an empty table gives an empty result.
@@ -30,18 +31,32 @@ from pyspark.sql import functions as F
 
 from .common import WordHashes, bounded_batches, hash_share, materialize, release, word_hashes
 
-VOCAB, CLASS_SIZE, HIDDEN, STEPS, STREAMS = 4096, 64, 24, 32, 256
-TRAIN_SHARE, ROUNDS, HEAD = 0.125, 2, 1 << 17
+VOCAB, WORDS_ROOT, CLASS_SIZE, HIDDEN, STEPS, STREAMS = 4096, 32, 64, 24, 32, 256
+TRAIN_SHARE, ROUNDS, HEAD = 1.0, 2, 1 << 17
 GROUP_TOKENS = 4_000_000
 END = np.uint64(1)
 PART, FAN_IN = 8192, 64
 
 
+def class_size(vocab: int) -> int:
+    """Words of a class: CLASS_SIZE, doubled while there are more than twice as many classes as words in one."""
+    size = CLASS_SIZE
+    while 2 * size * size < vocab:
+        size *= 2
+    return size
+
+
+def model_words(distinct: int) -> int:
+    """Number of the model's words for so many distinct training tokens, in whole classes."""
+    n = max(VOCAB, int(np.ceil(WORDS_ROOT * np.sqrt(distinct))))
+    return -(-n // class_size(n)) * class_size(n)
+
+
 class Weights:
     """Named float32 arrays in one flat vector."""
 
     def __init__(self, vocab: int, flat: np.ndarray | None = None):
-        h, c = HIDDEN, vocab // CLASS_SIZE
+        h, c = HIDDEN, vocab // class_size(vocab)
         self.shapes = {"emb": (vocab, h), "wx": (h, 3 * h), "wh": (h, 3 * h), "b": (3 * h,), "wc": (h, c), "bc": (c,),
                        "wo": (vocab, h), "bo": (vocab,)}
         size = sum(int(np.prod(s)) for s in self.shapes.values())
@@ -51,14 +66,14 @@ class Weights:
             n = int(np.prod(s))
             setattr(self, name, self.flat[at:at + n].reshape(s))
             at += n
-        self.vocab = vocab
+        self.vocab, self.per_class = vocab, class_size(vocab)
 
     @classmethod
     def start(cls, counts: np.ndarray) -> Weights:
         w, r = cls(len(counts)), np.random.default_rng(7)
         for a, scale in ((w.emb, 0.1), (w.wx, 0.2), (w.wh, 0.2)):
             a[...] = r.normal(0, scale, a.shape)
-        mass = (counts + 1.0).reshape(-1, CLASS_SIZE)
+        mass = (counts + 1.0).reshape(-1, w.per_class)
         w.bc[...] = np.log(mass.sum(axis=1) / mass.sum())
         w.bo[...] = np.log(mass / mass.sum(axis=1, keepdims=True)).ravel()
         return w
@@ -109,7 +124,7 @@ def _softmax(a: np.ndarray, y: np.ndarray, calm: bool) -> tuple[np.ndarray, np.n
 
 def _outputs(w: Weights, s: np.ndarray, y: np.ndarray, grad: Weights | None = None, calm: bool = False):
     """Log-probabilities of targets ``y`` from states ``s``; with ``grad`` also d loss / d s, adding up the rest."""
-    cls = y // CLASS_SIZE
+    cls, k = y // w.per_class, w.per_class
     a = s @ w.wc
     a += w.bc
     lp, total = _softmax(a, cls, calm)
@@ -120,12 +135,12 @@ def _outputs(w: Weights, s: np.ndarray, y: np.ndarray, grad: Weights | None = No
         grad.bc += a.sum(axis=0)
         ds = a @ w.wc.T
     order = np.argsort(cls.astype(np.int16), kind="stable")
-    cuts = np.searchsorted(cls[order], np.arange(w.vocab // CLASS_SIZE + 1))
-    for c in range(w.vocab // CLASS_SIZE):
+    cuts = np.searchsorted(cls[order], np.arange(w.vocab // k + 1))
+    for c in range(w.vocab // k):
         at = order[cuts[c]:cuts[c + 1]]
         if not len(at):
             continue
-        i, j = c * CLASS_SIZE, (c + 1) * CLASS_SIZE
+        i, j = c * k, (c + 1) * k
         sc, yc = s[at], y[at] - i
         a = sc @ w.wo[i:j].T
         a += w.bo[i:j]
@@ -280,7 +295,7 @@ def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def score_texts(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text",
-                share: float = TRAIN_SHARE, rounds: int = ROUNDS, vocab: int = VOCAB) -> DataFrame:
+                share: float = TRAIN_SHARE, rounds: int = ROUNDS, vocab: int | None = None) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score for every row; learns from rows where ``learn`` holds."""
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -291,7 +306,8 @@ def score_texts(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col
     # how many words have each count: the head is all words above the count that leaves at most HEAD
     by_count = counts.groupBy("c").agg(F.count(F.lit(1)).alias("n")).toPandas().sort_values("c", ascending=False)
     n_all, v_all = int((by_count["c"] * by_count["n"]).sum()), int(by_count["n"].sum())
-    fits = by_count[by_count["n"].cumsum() <= HEAD]
+    vocab = vocab or model_words(v_all)
+    fits = by_count[by_count["n"].cumsum() <= max(HEAD, vocab)]
     least = int(fits["c"].min()) if len(fits) else 1 << 62
     top = counts.where(F.col("c") >= least).toPandas()
     hashes, c = top["word"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64)

@@ -89,6 +89,19 @@ def test_scores_edges(spark, docs_of, edge_rows):
     assert score_texts(docs_of([]), F.lit(True), vocab=128).count() == 0
 
 
+def test_network_learns_from_every_document(spark, docs_of):
+    shares = docs_of([(i, "") for i in range(20)]).select("doc_id", rnnlm.hash_share(F.col("doc_id"), 5).alias("at")).collect()
+    last = max(shares, key=lambda r: r["at"]).doc_id  # the last one that any share of the documents takes
+    got = score_texts(docs_of([(last, "a b " * 4000)]), F.lit(True)).first()
+    assert got.score > 0.2 * got.base_score
+
+
+def test_model_words_grow_with_the_vocabulary():
+    sizes = [rnnlm.model_words(n) for n in (0, 10_000, 400_000, 40_000_000)]
+    assert sizes[0] == sizes[1] == rnnlm.VOCAB and 4 * sizes[1] < sizes[2] < sizes[3] / 4
+    assert all(n % rnnlm.class_size(n) == 0 for n in sizes)
+
+
 def test_pages_without_landmarks_and_edges(spark, sf_dir):
     odd = [(9001, None), (9002, ""), (9003, "plain &amp; text"), (9004, "<div><p>one<p>two<br>three</div><script>x<b></script>"),
            (9005, "<nav><a href=x>menu</a></nav><article><h1>T&eacute;</h1><p>a <b>b</b>\n c<ul><li>x<li>y</ul></article><footer>f</footer>"),
