@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, hash_share
 
 SAMPLE_PAGES, TREES, DEPTH, BINS, RATE = 400, 24, 4, 16, 0.3
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template|svg|textarea|select)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|textarea)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
                     r"|<[!?][^>]*>|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
                     r"|(?P<text>[^<]+|<)", re.S | re.I)
 _ATTR = re.compile(r"(class|id|role|hidden|style)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
@@ -41,6 +41,8 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
                    "small span strike strong sub sup time tt u var".split())
 ITEMS = {"li": "ul ol menu", "dt": "dl", "dd": "dl", "tr": "table", "td": "tr table", "th": "tr table", "option": "select"}
 HEAD = frozenset(["head", "title"])
+#: Elements that show no text, if their end tag comes; without it they are treated as any other, so that they hide nothing after them.
+UNSEEN = frozenset(["svg", "select", "noscript", "template"])
 MAIN = frozenset(["article", "main"])
 OTHER = frozenset("nav header footer aside form dialog menu button".split())
 #: Attribute tokens that name what is not main text.
@@ -50,21 +52,22 @@ OTHER_WORDS = frozenset("ad ads advert advertisement banner breadcrumb comment c
 
 
 class Node:
-    __slots__ = ("tag", "words", "parent", "depth", "place", "children", "chars", "links", "tags", "label", "hidden")
+    __slots__ = ("tag", "words", "parent", "depth", "place", "children", "chars", "links", "tags", "label", "hidden", "unseen")
 
     def __init__(self, tag: str, words: list[str], parent: int, depth: int, place: int, hidden: bool):
         self.tag, self.words, self.parent, self.depth, self.place = tag, words, parent, depth, place
         self.children = self.chars = self.links = self.tags = 0
-        self.label, self.hidden = 0, hidden
+        self.label, self.hidden, self.unseen = 0, hidden, False
 
 
 def parse(page: str | None) -> tuple[list[Node], list[tuple[int, str]]]:
     """Elements in page order (the first is the root), and texts as (element of the block, text).
 
     Inline elements are no nodes: their text belongs to the block around them. A line break is white space.
+    UNSEEN elements leave neither nodes nor texts.
     """
     nodes, texts = [Node("", [], -1, 0, 0, False)], []
-    open_, links = [0], 0
+    open_, links, unseen = [0], 0, False
     for m in _TOKEN.finditer(page or ""):
         tag = m["tag"]
         if m["text"] is not None:
@@ -85,13 +88,20 @@ def parse(page: str | None) -> tuple[list[Node], list[tuple[int, str]]]:
         if m["close"]:
             at = next((i for i in range(len(open_) - 1, 0, -1) if nodes[open_[i]].tag == tag), None)
             if at is not None:
+                if tag in UNSEEN:
+                    nodes[open_[at]].unseen = unseen = True
                 del open_[at:]
             links = 0
-            texts.append((open_[-1], ""))
+            if tag not in UNSEEN:
+                texts.append((open_[-1], ""))
             continue
         # a new block ends an open paragraph, a new item the item before it in its list
-        if "p" in (t := [nodes[i].tag for i in open_]):
-            cut = len(t) - 1 - t[::-1].index("p")
+        t = [nodes[i].tag for i in open_]
+        if "select" in t and tag not in ("option", "optgroup", "template"):  # a block ends an open select
+            del open_[t.index("select"):]
+            t = t[:len(open_)]
+        cut = len(t) - 1 - t[::-1].index("p") if "p" in t else None
+        if cut is not None and tag not in UNSEEN and UNSEEN.isdisjoint(t[cut:]):
             del open_[cut:]
         elif tag in ITEMS:
             t = [nodes[i].tag for i in open_]
@@ -112,10 +122,30 @@ def parse(page: str | None) -> tuple[list[Node], list[tuple[int, str]]]:
         nodes.append(Node(tag, words, open_[-1], up.depth + 1, up.children, hidden))
         up.children += 1
         links = 0
+        if tag == "option" and "select" in t:
+            nodes[-1].unseen = unseen = True
         if not m["attrs"].endswith("/"):
             open_.append(len(nodes) - 1)
+        elif tag in UNSEEN:
+            nodes[-1].unseen = unseen = True
+            continue
         texts.append((open_[-1], ""))
-    return nodes, texts
+    return _seen(nodes, texts) if unseen else (nodes, texts)
+
+
+def _seen(nodes: list[Node], texts: list[tuple[int, str]]) -> tuple[list[Node], list[tuple[int, str]]]:
+    """The page as if its unseen elements were not there."""
+    new, out = np.full(len(nodes), -1), []
+    for i, n in enumerate(nodes):
+        if n.unseen or i and new[n.parent] < 0:
+            continue
+        new[i], n.children = len(out), 0
+        if i:
+            n.parent = int(new[n.parent])
+            n.place = out[n.parent].children
+            out[n.parent].children += 1
+        out.append(n)
+    return out, [(int(new[at]), text) for at, text in texts if new[at] >= 0]
 
 
 def features(nodes: list[Node]) -> np.ndarray:

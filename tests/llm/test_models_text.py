@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from driftwood.llm import rnnlm
 from driftwood.llm.decontam import contamination, drop_contaminated
-from driftwood.llm.html import extract
+from driftwood.llm.html import decode, extract, features, labels, parse
 from driftwood.llm.langid import identify
 from driftwood.llm.quality import grade, keep_good
 from driftwood.llm.rnnlm import Weights, _outputs, _states, score_texts, train_documents
@@ -117,6 +117,27 @@ def test_pages_without_landmarks_and_edges(spark, sf_dir):
     assert extract(pages.limit(0)).count() == 0
 
 
+def page_text(page):
+    """Text by the named parts alone, as where nothing could be learned."""
+    nodes, texts = parse(page)
+    return decode(nodes, texts, np.where(labels(nodes) < 0, -1.0, 1.0))
+
+
+def test_unseen_elements_hide_nothing_after_them():
+    for start in ('<svg viewBox="0 0 1 1"/>', "<select><option>", "<select>", "<noscript>", "<template>", "<svg>", "<noscript><img>", "<div><select><option></div>"):
+        assert page_text(f"<body>{start}<article><p>one<p>two</article></body>") == "one\n\ntwo", start
+    for name in ("select-box", "style-guide", "template-x", "script-note", "svg-icon", "noscript-x"):
+        assert page_text(f"<{name}>zero</{name}><p>one</p><{name}><p>two</p>") == "zero\n\none\n\ntwo"
+    plain = "<body><ul><li>a<li>b</ul><p>one two</p><div>three</div>"
+    nodes, texts = parse(plain)
+    for gone in ("<svg><g><path d='x'/><text>no</text></g></svg>", "<select name=x><option>no<option selected>no</select>", "<svg/>",
+                 "<noscript><div><p>no</p></div></noscript>", "<template><p>no</template>", "<SCRIPT>no</SCRIPT >", "<textarea><p>no</textarea>"):
+        own = parse(plain.replace("<p>one ", f"{gone}<p>one {gone}"))
+        assert page_text(plain.replace("one ", f"one {gone}")) == page_text(plain), gone
+        assert np.array_equal(features(own[0]), features(nodes)), gone
+    assert page_text("<p>one</p><script>no</p><p>no") == "one"
+
+
 def test_search_matches_brute_force_on_edges(spark, docs_of, edge_rows):
     docs = docs_of(edge_rows + [(40, "a b c d e"), (41, "a b"), (42, "c c c d")])
     q = spark.createDataFrame([(1, "a b d"), (2, None), (3, "zzz"), (None, "a")], "query_id long, text string")
