@@ -34,7 +34,7 @@ SAMPLE_PAGES, TREES, DEPTH, BINS, RATE = 400, 24, 4, 16, 0.3
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|textarea)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
                     r"|<[!?][^>]*>|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
                     r"|(?P<text>[^<]+|<)", re.S | re.I)
-_ATTR = re.compile(r"(class|id|role|hidden|style)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_ATTR = re.compile(r"([^\s\"'=/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?|\"[^\"]*\"|'[^']*'")
 #: Fixed values of HTML: empty elements, elements that make a block of their own, and what ends an open paragraph or item.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
@@ -115,7 +115,8 @@ def parse(page: str | None) -> tuple[list[Node], list[tuple[int, str]]]:
         words, hidden = [], False
         for name, a, b, c in _ATTR.findall(m["attrs"]) if m["attrs"] else ():
             value, name = (a or b or c).lower(), name.lower()
-            hidden |= name == "hidden" or name == "style" and "display:none" in value.replace(" ", "")
+            hidden |= (name == "hidden" or name == "aria-hidden" and value.strip() == "true"
+                       or name == "style" and "display:none" in value.replace(" ", ""))
             if name in ("class", "id", "role"):
                 words += re.findall(r"[a-z]+", value)
         up = nodes[open_[-1]]

@@ -138,6 +138,15 @@ def test_unseen_elements_hide_nothing_after_them():
     assert page_text("<p>one</p><script>no</p><p>no") == "one"
 
 
+def test_only_whole_attribute_names_count():
+    for attrs in ('aria-hidden="false"', "aria-hidden", 'data-hidden="0"', 'title="the hidden valley"', "data-id=nav", "data-role='menu'", "x-class=ads",
+                  'title="id=nav class=ads"', 'data-style="display:none"', "hidden-x", '"stray hidden" lang=en', "alt='style=display:none'"):
+        assert page_text(f"<article {attrs}><p>one</article>") == "one", attrs
+    for attrs in ("hidden", 'HIDDEN=""', 'aria-hidden="true"', "aria-hidden=TRUE", "class = 'x nav'", 'lang="en"id="nav"', "role=menu", "style='display: none'"):
+        assert page_text(f"<article {attrs}><p>one</article>") == "", attrs
+    assert parse("<div class=\"a b\" data-id=c id='d'role=e>")[0][1].words == ["a", "b", "d", "e"]
+
+
 def test_search_matches_brute_force_on_edges(spark, docs_of, edge_rows):
     docs = docs_of(edge_rows + [(40, "a b c d e"), (41, "a b"), (42, "c c c d")])
     q = spark.createDataFrame([(1, "a b d"), (2, None), (3, "zzz"), (None, "a")], "query_id long, text string")
