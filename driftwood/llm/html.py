@@ -9,8 +9,9 @@ There are no labels, so the trees learn from pages that label themselves: on a b
 form, notices, adverts and comments, known by tag or attribute token, negative. Pages without article or main are
 then read by what the trees have learned.
 
-Decoding is hierarchical: from the top down, an element under a rejected element is rejected, and a rejected element
-that holds most of the page's accepted text is opened, so that no choice contradicts the one above it.
+Decoding is hierarchical: the accepted elements are those with the largest sum of log-odds, where an element can be
+accepted only if none above it is rejected; a rejected element is opened, at the cost of its log-odds, when what is
+accepted below outweighs it. Elements that the page itself marks as main text (``labels``) count as accepted.
 
 Defined results: null html is empty; a page without main text gives an empty text; repeated pages are
 treated alike; a page that is one text without tags is one block; an empty table gives an empty result.
@@ -247,16 +248,17 @@ class Trees:
 
 
 _SPACE = re.compile(r"\s+")
+#: Least log-odds of an element that the page itself marks as main text.
+MARKED = 1.0
 
 
 def decode(nodes: list[Node], texts: list[tuple[int, str]], odds: np.ndarray) -> str:
     """Blocks of accepted elements in page order."""
-    size = np.array([n.chars for n in nodes], np.float64)
-    good = size * (odds > 0)
+    odds = np.where(labels(nodes) > 0, np.maximum(odds, MARKED), odds)
+    total = odds.copy()  # of the best choice in the subtree
     for i in range(len(nodes) - 1, 0, -1):
-        good[nodes[i].parent] += good[i]
-        size[nodes[i].parent] += size[i]
-    most = good[0] / 2
+        if total[i] > 0 and nodes[i].tag not in HEAD and not nodes[i].hidden:
+            total[nodes[i].parent] += total[i]
     state = np.zeros(len(nodes), np.int8)  # 1 accepted, 0 opened, -1 rejected with all below
     for i, n in enumerate(nodes):
         if i and state[n.parent] < 0 or n.tag in HEAD or n.hidden:
@@ -264,7 +266,7 @@ def decode(nodes: list[Node], texts: list[tuple[int, str]], odds: np.ndarray) ->
         elif odds[i] > 0:
             state[i] = 1
         else:
-            state[i] = 0 if i == 0 or n.tag in ("html", "body") or good[i] > most else -1
+            state[i] = 0 if i == 0 or n.tag in ("html", "body") or total[i] > 0 else -1
     blocks, parts, last = [], [], None
 
     def close():

@@ -147,6 +147,17 @@ def test_only_whole_attribute_names_count():
     assert parse("<div class=\"a b\" data-id=c id='d'role=e>")[0][1].words == ["a", "b", "d", "e"]
 
 
+def test_split_main_text_and_lists_come_whole(spark, sf_dir):
+    nodes, texts = parse("<div><p>one</p><p>two</p></div><nav><p>no</p></nav><div><p>six</p><p>ten</p></div><div><p>four</p><p>five</p></div>")
+    odds = np.array([{"p": 2.0, "div": -3.0, "nav": -4.0}.get(n.tag, -1.0) for n in nodes])
+    assert decode(nodes, texts, odds) == "one\n\ntwo\n\nsix\n\nten\n\nfour\n\nfive"
+    page = ("<nav><ul><li><a href=x>menu</a></ul></nav><article><h1>T</h1><p>a<ul><li>x<li>y</ul><table><tr><td>k<td>l</table>"
+            "<blockquote>q</blockquote><p>z</article><footer>f</footer>")
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    got = extract(pages.union(spark.createDataFrame([(9001, "u", page)], pages.schema))).where("page_id = 9001").first()
+    assert got.text.split() == "T a x y k l q z".split()
+
+
 def test_search_matches_brute_force_on_edges(spark, docs_of, edge_rows):
     docs = docs_of(edge_rows + [(40, "a b c d e"), (41, "a b"), (42, "c c c d")])
     q = spark.createDataFrame([(1, "a b d"), (2, None), (3, "zzz"), (None, "a")], "query_id long, text string")
