@@ -1,4 +1,4 @@
-"""Exact repeated passages: sampled suffix arrays kept as a logarithmic family of levels.
+"""Exact repeated passages: counts of sampled suffixes (anchors), kept in levels, in place of suffix arrays.
 
 A suffix is indexed where it begins with the least hash of some window (a minimiser): of each WINDOW bytes,
 the least of the hashes of their ANCHOR-byte strings marks the suffix that stands for that window. Equal windows
@@ -6,10 +6,9 @@ mark equal places, so two long matches always meet at a common anchor, and about
 enough. (An array of every suffix would take eight bytes and more for each byte of text.)
 
 All neighbouring windows with one anchor form a run; its entry is (anchor hash, hash of the whole run, place).
-The anchors of a batch with their counts are its suffix array; they are ordered by hash, not by letters, since
-only equal beginnings matter. A new batch is merged with the levels that exist: entries with an equal anchor
-meet, and when the last two levels have a similar size they become one, so an entry is rewritten a logarithmic
-number of times.
+No suffix array is built: a level holds anchor hashes with their counts and neither suffixes nor an order, since
+only equal beginnings matter. When the last two levels have a similar size they become one, by adding the counts of equal
+anchors, so an entry is rewritten a logarithmic number of times; two equal batches always end as one level.
 
 An anchor that occurs once ends there. Of the others, a run that occurs twice is repeated as a whole. Anchors
 with several different runs are where matches begin and end: there the windows of one representative of each
