@@ -12,7 +12,8 @@ a task, which gives a spanning forest of the links it finds and no pairs. Before
 other node of these buckets: they cannot reach the similarity with any of them.
 
 Defined results: null or wordless text has an empty set and is linked with nothing; equal sets are one class
-before any bucket is made; a repeated doc_id with equal text is one node; rows with a null doc_id are never
+before any bucket is made, and a node is such a class, known by the digest of its set: a repeated doc_id with equal text
+is one node, with unlike texts several; a component is named by the smallest id in it; rows with a null doc_id are never
 linked and keep a null component; an empty table gives an empty result. Columns other than id and text are ignored.
 """
 
@@ -68,7 +69,7 @@ def _sketches(k: int):
                 hi.append(int.from_bytes(d[:8], "little", signed=True))
                 lo.append(int.from_bytes(d[8:], "little", signed=True))
                 bands.append(band_keys(sketch(s)) if len(s) else np.empty(0, np.int64))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_shingles": n, "hi": hi, "lo": lo, "bands": bands})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "tid": pdf["tid"], "n_shingles": n, "hi": hi, "lo": lo, "bands": bands})
     return run
 
 
@@ -149,32 +150,32 @@ def _blocks(k: int, percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
-                    percent: int = 75) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: classes of documents linked at ``percent`` similarity or more."""
+def _labelled(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
+    """doc_id, tid (hash of the text), n_shingles, component (a number; null for empty sets), component_id for every row."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("tid", F.xxhash64("text"))
     sketched = materialize(base.mapInPandas(
-        _sketches(k), "doc_id long, n_shingles long, hi long, lo long, bands array<long>"), "nd-sketch")
-    classes = (sketched.where("n_shingles > 0 and doc_id is not null").groupBy("hi", "lo", "n_shingles")
-               .agg(F.min("doc_id").alias("node")))
-    # one row for each different set: the class's smallest id, with the bands of that document
-    reps = materialize(sketched.where("n_shingles > 0").select("doc_id", "hi", "lo", "bands")
-                       .join(classes.withColumnRenamed("node", "doc_id"), ["doc_id", "hi", "lo"])
-                       .dropDuplicates(["doc_id", "hi", "lo"])
-                       .select(F.col("doc_id").alias("node"), "n_shingles", "bands"), "nd-reps")
+        _sketches(k), "doc_id long, tid long, n_shingles long, hi long, lo long, bands array<long>"), "nd-sketch")
+    # a node is a different set; its smallest id and a text of that id stand for it
+    classes = materialize(sketched.where("n_shingles > 0 and doc_id is not null").groupBy("hi", "lo", "n_shingles")
+                          .agg(F.min(F.struct("doc_id", "tid")).alias("first"))
+                          .select(F.xxhash64("hi", "lo", "n_shingles").alias("node"), "hi", "lo", "n_shingles", "first.doc_id", "first.tid"),
+                          "nd-classes")
+    reps = materialize(sketched.select("doc_id", "tid", "hi", "lo", "n_shingles", "bands")
+                       .join(classes, ["doc_id", "tid", "hi", "lo", "n_shingles"])
+                       .dropDuplicates(["node"])
+                       .select("node", "n_shingles", "bands"), "nd-reps")
     rows = reps.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
     buckets = (rows.groupBy("key").agg(F.min(F.struct("node", "n")).alias("hub"), F.max("node").alias("top"))
                .where("hub.node < top").select("key", "hub"))
     members = materialize(rows.join(buckets.hint("merge"), "key")
                           .select("key", "node", "n", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n")),
                           "nd-members")
-    texts = base.where("doc_id is not null").withColumnRenamed("doc_id", "node")
 
-    # the texts of all nodes in buckets, read once; a repeated id may come with other text: its class's decides
-    have = materialize(texts.join(members.select("node").distinct().hint("merge"), "node", "left_semi")
-                       .dropDuplicates(["node"]), "nd-texts")
+    # the texts of all nodes in buckets, read once
+    wanted = classes.select("node", "doc_id", "tid").join(members.select("node").distinct().hint("merge"), "node", "left_semi")
+    have = materialize(base.join(wanted.hint("merge"), ["doc_id", "tid"]).dropDuplicates(["node"]).select("node", "text"), "nd-texts")
 
     def confirm(pairs: DataFrame, name: str) -> DataFrame:
         """pairs(a, b) of nodes -> those that are links, on the full sets."""
@@ -226,21 +227,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not last.isEmpty():
         groups = materialize(components(links.union(last), "nd-comp"), "nd-groups")
     release(reps, members, have, left, last, tried, links)
-    labelled = classes.join(groups, "node", "left").select("hi", "lo", "n_shingles",
-                                                           F.coalesce("component", "node").alias("c"))
-    return (sketched.select("doc_id", "n_shingles", "hi", "lo").join(labelled, ["hi", "lo", "n_shingles"], "left")
-            .select("doc_id", "n_shingles",
-                    F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "doc_id")).alias("component_id"))
+    ids = classes.select("node", F.col("doc_id").alias("least"))
+    names = groups.join(ids, "node").groupBy("component").agg(F.min("least").alias("name"))
+    named = classes.join(groups.join(names, "component"), "node", "left").select(
+        "hi", "lo", "n_shingles", F.coalesce("component", "node").alias("component"), F.coalesce("name", "doc_id").alias("c"))
+    return (sketched.select("doc_id", "tid", "n_shingles", "hi", "lo").join(named, ["hi", "lo", "n_shingles"], "left")
+            .select("doc_id", "tid", "n_shingles", "component",
+                    F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "doc_id")).alias("component_id")))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
+                    percent: int = 75) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: classes of documents linked at ``percent`` similarity or more."""
+    return (_labelled(docs, id_col, text_col, k, percent).select("doc_id", "n_shingles", "component_id")
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents of ``docs``, one of each group: the one with the smallest id.
 
-    A repeated id stays once; rows with a null id all stay.
+    A repeated id stays once for each of its groups; rows with a null id all stay.
     """
-    keep = near_duplicates(docs, id_col, text_col).where("kept and doc_id is not null").select(
-        F.col("doc_id").alias("__keep")).distinct()
-    own = docs.where(F.col(id_col).isNotNull())
-    kept = own.join(keep, own[id_col].cast("long") == F.col("__keep"), "left_semi").dropDuplicates([id_col])
+    keep = (_labelled(docs, id_col, text_col, 5, 75).where("doc_id = component_id").groupBy("doc_id", "component")
+            .agg(F.min("tid").alias("__tid")).select(F.col("doc_id").alias("__keep"), "__tid").distinct())
+    own = docs.where(F.col(id_col).isNotNull()).withColumn("__tid", F.xxhash64(text_col))
+    kept = (own.join(keep, (own[id_col].cast("long") == F.col("__keep")) & (own["__tid"] == keep["__tid"]), "left_semi")
+            .dropDuplicates([id_col, "__tid"]).drop("__tid"))
     return kept.unionByName(docs.where(F.col(id_col).isNull()))

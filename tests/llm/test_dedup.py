@@ -100,3 +100,15 @@ def test_shards_are_contiguous_and_even(spark, docs_of, edge_rows):
         slots = [x.slot for x in rows if x.shard == s]
         assert slots == list(range(len(slots)))
     assert shard_by_bytes(docs_of([]), 7).count() == 0
+
+
+def test_repeated_id_with_unlike_texts_loses_nothing(spark, docs_of):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    near = {t: t.replace(f"{t[0]}59", "end") for t in (a, b)}
+    rows = [(8, a), (8, b), (9, near[a]), (10, near[b]), (8, a), (11, c), (8, ""), (12, None)]
+    got = sorted((x.doc_id, x.n_shingles, x.component_id) for x in near_duplicates(docs_of(rows)).collect())
+    assert got == [(8, 0, 8), (8, 56, 8), (8, 56, 8), (8, 56, 8), (9, 56, 8), (10, 56, 8), (11, 56, 11), (12, 0, 12)]
+    kept = drop_near_duplicates(docs_of(rows))
+    assert sorted((x.doc_id, x.text or "") for x in kept.collect()) == sorted([(8, a), (8, b), (8, ""), (11, c), (12, "")])
+    same = drop_near_duplicates(docs_of([(8, a), (8, near[a]), (9, a)]))
+    assert [x.doc_id for x in same.collect()] == [8] and same.schema == docs_of(rows).schema
