@@ -62,10 +62,9 @@ def svm(x: np.ndarray, y: np.ndarray, passes: int = 12, c: float = 10.0) -> np.n
 class Duels:
     """One-versus-one machines among some names."""
 
-    def __init__(self, names: list[str], x: np.ndarray, labels: np.ndarray, per_name: int):
+    def __init__(self, names: list[str], x: np.ndarray, rows: dict[str, np.ndarray]):
         self.names = names
         self.pairs = list(combinations(range(len(names)), 2))
-        rows = {n: np.flatnonzero(labels == n)[:per_name] for n in names}
         self.w = np.array([svm(x[np.append(rows[names[i]], rows[names[j]])],
                                np.repeat([1.0, -1.0], [len(rows[names[i]]), len(rows[names[j]])])) for i, j in self.pairs])
 
@@ -85,12 +84,18 @@ class Duels:
 
 
 class LanguageModel:
+    """Machines of families and of their languages; rows come in an order that says nothing of their texts. Of each language
+    of a family the family's machines take equally many, 2 * per_lang in all."""
+
     def __init__(self, x: np.ndarray, langs: np.ndarray, per_lang: int):
         names = sorted(set(langs.tolist()))
         family = np.array([FAMILY.get(n, n) for n in langs])
         self.families = sorted(set(family.tolist()))
-        self.first = Duels(self.families, x, family, 2 * per_lang)
-        self.within = [Duels([n for n in names if FAMILY.get(n, n) == f], x, langs, per_lang) for f in self.families]
+        own = {n: np.flatnonzero(langs == n)[:per_lang] for n in names}
+        members = {f: [n for n in names if FAMILY.get(n, n) == f] for f in self.families}
+        self.first = Duels(self.families, x, {
+            f: np.sort(np.concatenate([own[n][:max(1, 2 * per_lang // len(m))] for n in m])) for f, m in members.items()})
+        self.within = [Duels(m, x, own) for m in members.values()]
 
     def predict(self, x: np.ndarray) -> tuple[list[str], np.ndarray]:
         fam, score = self.first.decide(x)
@@ -105,7 +110,8 @@ class LanguageModel:
 
 def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        yield pd.DataFrame({"lang": pdf["lang"], "x": [trigrams(t).astype(np.float16).tobytes() for t in pdf["text"]]})
+        yield pd.DataFrame({"lang": pdf["lang"], "x": [trigrams(t).astype(np.float16).tobytes() for t in pdf["text"]],
+                            "at": pdf["at"]})
 
 
 def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, learn: Column, sample_rows: int) -> LanguageModel | None:
@@ -117,9 +123,10 @@ def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, learn: Col
     per_lang = max(2, sample_rows // n_langs)
     chosen = bounded_sample(rows.select("id", "lang"), "lang", "id", per_lang)
     sample = (rows.join(F.broadcast(chosen.select("id").distinct()), "id")  # sample_rows ids at most
-              .select("lang", "text").mapInPandas(_features, "lang string, x binary").toPandas())
+              .select("lang", "text", F.xxhash64("id", F.lit(13)).alias("at"))
+              .mapInPandas(_features, "lang string, x binary, at long").toPandas())
     x = np.array([np.frombuffer(b, np.float16) for b in sample["x"]], np.float32)
-    order = np.lexsort([x[:, 0], x[:, 1], x[:, 2]])  # the order of rows must not decide the training
+    order = np.lexsort([sample["x"], sample["lang"], sample["at"]])  # by id hash: the order of rows must not decide the training
     return LanguageModel(x[order], sample["lang"].to_numpy()[order], per_lang)
 
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from driftwood.llm import rnnlm
 from driftwood.llm.decontam import contamination, drop_contaminated
 from driftwood.llm.html import decode, extract, features, labels, parse
-from driftwood.llm.langid import identify
+from driftwood.llm.langid import LanguageModel, identify
 from driftwood.llm.quality import grade, keep_good
 from driftwood.llm.rnnlm import Weights, _outputs, _states, score_texts, train_documents
 from driftwood.llm.search import search
@@ -60,6 +60,15 @@ def test_language_of_held_out_rows(spark, sf_dir, docs_of, edge_rows):
     assert identify(docs_of([]), F.lit(True)).count() == 0
 
 
+def test_family_machines_see_every_language():
+    x = np.zeros((200, 5), np.float32)
+    for i in range(5):
+        x[i * 40:(i + 1) * 40, i] = 1
+    x[120:160, 4] = 0.8  # the last language of the first family looks like the other family
+    langs = np.repeat(np.array(["da", "de", "en", "nl", "fr"], object), 40)
+    assert LanguageModel(x, langs, 40).predict(x)[0] == langs.tolist()
+
+
 def test_gradient_matches_differences():
     w = Weights.start(np.arange(128))
     r = np.random.default_rng(1)
