@@ -97,3 +97,57 @@ s AS (SELECT q.doc_id AS query_id, t.doc_id,
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM s)
 SELECT query_id, rank, doc_id, score FROM r WHERE rank <= 10
 """
+
+#: crc32 of the decimal form of a number: a table of 256 remainders, then one step a byte.
+_CRC = """t AS (SELECT list(list_reduce(list_prepend(i, range(8)), lambda a, k:
+        CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY i) AS t
+      FROM (SELECT unnest(range(256))::BIGINT AS i))"""
+_CRC_OF = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+        list_transform(string_split({0}::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+        lambda a, x: xor(a >> 8, t.t[(xor(a, x) & 255) + 1])))"""
+
+SQL["op11_periods"] = r"""
+WITH """ + _CRC + r""",
+o AS (SELECT row_number() OVER () AS r, doc_id, """ + _CRC_OF.format("doc_id") + r""" AS h,
+        list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents, t),
+a AS (SELECT *, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM o),
+d AS (SELECT r, doc_id, n, CASE WHEN a IS NULL THEN w ELSE w[1:a] || list_transform(range(0, n - a),
+        lambda i: w[a + 1 + i % (1 + (n - a) // (3 + (h // 10) % 8))]) END AS w FROM a),
+w AS (SELECT r, n, unnest(w) AS w, unnest(range(n)) AS i FROM d),
+m AS (SELECT x.r, x.i, y.i - x.i AS q FROM w x JOIN w y ON x.r = y.r AND x.w = y.w AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+g AS (SELECT r, q, min(i) AS s, count(*) + q AS l
+      FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS g FROM m) GROUP BY r, q, g),
+u AS (SELECT r, s, l, min(q) AS q FROM g WHERE l >= greatest(6, 4 * q) GROUP BY r, s, l),
+f AS (SELECT r, count(*) AS n_runs, sha256(string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q)) AS sha,
+        list({'s': s, 'l': l, 'q': q} ORDER BY s, q) AS all_runs FROM u GROUP BY r),
+b AS (SELECT r, s, l, q FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY l::DECIMAL(38, 18) / q DESC, s, q) AS k FROM u) WHERE k = 1),
+k AS (SELECT w.r, string_agg(w.w, ' ' ORDER BY w.i) AS t FROM w LEFT JOIN f ON f.r = w.r
+      WHERE f.r IS NULL OR len(list_filter(f.all_runs, lambda x: w.i >= x.s + x.q AND w.i < x.s + x.l)) = 0 GROUP BY w.r)
+SELECT d.doc_id, coalesce(f.n_runs, 0) AS n_runs, b.s AS start, b.l AS length, b.q AS period,
+       (1000 * b.l) // b.q AS exponent_milli, coalesce(f.sha, sha256('')) AS runs_sha256,
+       sha256(coalesce(k.t, '')) AS collapsed_sha256
+FROM d LEFT JOIN f ON f.r = d.r LEFT JOIN b ON b.r = d.r LEFT JOIN k ON k.r = d.r
+"""
+
+SQL["op12_trie"] = r"""
+WITH """ + _CRC + r""",
+c AS (SELECT conv_id, """ + _CRC_OF.format("conv_id") + r""" % 4 AS h
+      FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL), t),
+o AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) - 1 AS p,
+        {'r': coalesce(role, ''), 't': coalesce(text, '')} AS x FROM conversations WHERE conv_id IS NOT NULL),
+s AS (SELECT conv_id, list(x ORDER BY p) AS s FROM o GROUP BY conv_id),
+b AS (SELECT c.conv_id, coalesce(d.s[1:c.h], []) || s.s[c.h + 1:] AS s
+      FROM c JOIN s USING (conv_id) LEFT JOIN s d ON d.conv_id = c.conv_id - c.conv_id % 20),
+p AS (SELECT conv_id, d, s[1:d] AS k, len(s) = d AS ends,
+        CASE WHEN d = 0 THEN 0 ELSE len(list_filter(string_split_regex(s[d].t, '[\x20\x09-\x0D]+'), lambda x: x <> '')) END AS words
+      FROM (SELECT conv_id, s, unnest(range(len(s) + 1)) AS d FROM b)),
+n AS (SELECT d, k, min(conv_id) AS conv_id, count(*) AS n, (count(*) - 1) * max(words) AS saves,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS sha FROM p GROUP BY d, k),
+j AS (SELECT d - 1 AS d, k[1:d - 1] AS k, count(*) AS n FROM n WHERE d > 0 GROUP BY 1, 2),
+v AS (SELECT n.*, coalesce(j.n, 0) AS children FROM n LEFT JOIN j ON j.d = n.d AND j.k = n.k),
+u AS (SELECT d, k, sum(saves)::BIGINT AS saved, sum(leaf)::BIGINT AS leaves
+      FROM (SELECT saves, (children = 0)::INTEGER AS leaf, i AS d, k[1:i] AS k FROM (SELECT *, unnest(range(d + 1)) AS i FROM v)) GROUP BY 1, 2)
+SELECT v.conv_id, v.d AS depth, up.conv_id AS parent_conv_id, v.n AS n_convs, v.children AS n_children,
+       u.leaves AS n_leaves, u.saved AS saved_tokens, v.sha AS ends_sha256
+FROM v JOIN u ON u.d = v.d AND u.k = v.k LEFT JOIN n up ON up.d = v.d - 1 AND up.k = v.k[1:v.d - 1]
+"""

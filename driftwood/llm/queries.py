@@ -15,11 +15,13 @@ from .html import extract
 from .langid import identify
 from .minhash import near_duplicates
 from .packing import pack, tokenize_pieces
+from .periods import periodic_runs, repeat_tail, summarize
 from .quality import grade
 from .rnnlm import score_texts
 from .search import search
 from .sharding import shard_by_bytes
 from .suffixes import remove_repeats
+from .trie import prefix_trie, swap_heads
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -105,4 +107,14 @@ def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(pages.select("page_id", "url", "html")).withColumn("n_chars", F.length("text").cast("long"))
 
 
+@register("op11_periods")
+def op11_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summarize(periodic_runs(table(spark, sf_dir, "documents"), rewrite=repeat_tail))
+
+
+@register("op12_trie")
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(*swap_heads(table(spark, sf_dir, "conversations")))
+
+
 ORACLES: dict[str, str] = oracles.SQL
