@@ -26,11 +26,12 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import consecutive, materialize, n_partitions, release
+from .common import materialize, n_partitions, release
 
 #: Turns of a sequence that one window holds.
 CHUNK = 4096
@@ -92,33 +93,40 @@ def _packets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         if not len(pdf):
             continue
-        new = (pdf[["k1", "k2", "len"]].diff() != 0).any(axis=1).cumsum()
-        parts = pdf.assign(__g=new, __p=pdf.groupby(new).cumcount() // PACKET)
-        got = parts.groupby(["__g", "__p"]).agg(k1=("k1", "first"), k2=("k2", "first"), len=("len", "first"),
-                                                conv=("conv", "first"), n=("conv", "size"),
-                                                ids=("conv", lambda s: ",".join(map(str, s.tolist()))))
-        yield got.reset_index(drop=True)
+        k1, k2, size, conv = (pdf[c].to_numpy() for c in ("k1", "k2", "len", "conv"))
+        cut = np.flatnonzero((k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1]) | (size[1:] != size[:-1])) + 1
+        edges = [0, *cut.tolist(), len(pdf)]
+        at = [i for a, b in zip(edges, edges[1:]) for i in range(a, b, PACKET)]
+        ends = [*at[1:], len(pdf)]
+        text = conv.astype(str).tolist()
+        yield pd.DataFrame({"k1": k1[at], "k2": k2[at], "len": size[at], "conv": conv[at], "n": np.subtract(ends, at),
+                            "ids": [",".join(text[a:b]) for a, b in zip(at, ends)]})
 
 
 def _end_lists(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Sorted packets -> a row a sequence: smallest conversation, number, SHA-256 of all ids joined by commas."""
-    now, state = None, None
+    now, state, done = None, None, []
 
-    def close():
-        return pd.DataFrame([(*now, state[0], state[1], state[2].hexdigest())], columns=["k1", "k2", "len", "seq", "weight", "ends"])
+    def frame():
+        out = pd.DataFrame(done, columns=["k1", "k2", "len", "seq", "weight", "ends"])
+        done.clear()
+        return out
 
     for pdf in batches:
         for k1, k2, n, conv, many, ids in zip(*(pdf[c] for c in ("k1", "k2", "len", "conv", "n", "ids"))):
             if now != (k1, k2, n):
                 if now is not None:
-                    yield close()
+                    done.append((*now, state[0], state[1], state[2].hexdigest()))
                 now, state = (k1, k2, n), [conv, 0, hashlib.sha256()]
             else:
                 state[2].update(b",")
             state[1] += many
             state[2].update(ids.encode())
+        if done:
+            yield frame()
     if now is not None:
-        yield close()
+        done.append((*now, state[0], state[1], state[2].hexdigest()))
+        yield frame()
 
 
 def collapse_sequences(convs: DataFrame) -> DataFrame:
