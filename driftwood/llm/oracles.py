@@ -2,7 +2,8 @@
 
 SQL: dict[str, str] = {}
 
-SQL["op3_minhash"] = r"""
+#: Classes of documents whose sets of five-word shingles are alike by a percentage or more.
+_CLASSES = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(string_split_regex(
            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -17,13 +18,15 @@ e AS (SELECT doc_id, unnest(s) AS g FROM s),
 p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM e x JOIN e y ON x.g = y.g AND x.doc_id < y.doc_id
       GROUP BY 1, 2),
 l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
-      WHERE 100 * i >= 75 * (na.n + nb.n - i)),
+      WHERE 100 * i >= {0} * (na.n + nb.n - i)),
 d AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
 r(node, seen) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.node, d.b FROM r JOIN d ON d.a = r.seen)
-SELECT n.doc_id, n.n AS n_shingles, c.c AS component_id, n.doc_id = c.c AS kept
+SELECT n.doc_id, n.n AS n_shingles, c.c AS component_id{1}
 FROM n JOIN (SELECT node, min(seen) AS c FROM r GROUP BY 1) c ON c.node = n.doc_id
 """
 
+SQL["op3_minhash"] = _CLASSES.format(75, ", n.doc_id = c.c AS kept")
+
 SQL["op5_sharding"] = r"""
 WITH t AS (SELECT list(list_reduce(list_prepend(i, range(8)), lambda a, k:
              CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY i) AS t
@@ -151,3 +154,5 @@ SELECT v.conv_id, v.d AS depth, up.conv_id AS parent_conv_id, v.n AS n_convs, v.
        u.leaves AS n_leaves, u.saved AS saved_tokens, v.sha AS ends_sha256
 FROM v JOIN u ON u.d = v.d AND u.k = v.k LEFT JOIN n up ON up.d = v.d - 1 AND up.k = v.k[1:v.d - 1]
 """
+
+SQL["op13_jaccard"] = _CLASSES.format(80, "")

@@ -12,6 +12,7 @@ from . import oracles
 from .common import materialize
 from .decontam import contamination
 from .html import extract
+from .jaccard import jaccard_components
 from .langid import identify
 from .minhash import near_duplicates
 from .packing import pack, tokenize_pieces
@@ -117,4 +118,9 @@ def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(*swap_heads(table(spark, sf_dir, "conversations")))
 
 
+@register("op13_jaccard")
+def op13_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 ORACLES: dict[str, str] = oracles.SQL
