@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, bounded_batches, components, consecutive, materialize, release, shingle_set
+from .common import bounded_batches, components, consecutive, materialize, mix64, release
 
 #: Frequent shingles that go last in the order: the number is the bound of what is broadcast (two numbers each).
 FREQUENT = 1 << 17
@@ -42,6 +42,8 @@ FREQUENT = 1 << 17
 COUNT_BLOCK, LEAST_COUNT = 4_000_000, 4
 #: Entries of a tile of a list, and sets of a block that one task compares with another.
 BLOCK = 512
+#: Pairs of blocks that a task looks at in one step.
+PAIRS = 2_000_000
 
 
 def _prefix(n, percent: int):
@@ -68,13 +70,60 @@ def _needed(a, b, percent: int):
     return (percent * (a + b) / (100.0 + percent)) - 1e-6
 
 
-def _signed(text, cache: WordHashes, k: int) -> np.ndarray:
-    return np.sort(shingle_set(text, cache, k).view(np.int64))
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """A random odd number for every byte (that of a for A, 0 for white space), and whether it is white space."""
+    white = np.zeros(256, bool)
+    white[[0x20, *range(0x09, 0x0E)]] = True
+    number = np.random.default_rng(13).integers(0, 2**64, 256, np.uint64) | np.uint64(1)
+    number[65:91] = number[97:123]
+    number[white] = 0
+    return number, white
+
+
+_NUMBER, _WHITE = _tables()
+_powers = np.ones(1, np.uint64)
+
+
+def _power(n: int) -> np.ndarray:
+    """At least n powers of an odd number, modulo 2**64."""
+    global _powers
+    if len(_powers) < n:
+        steps = np.full(max(n, 256), 0x9E3779B97F4A7C15, np.uint64)
+        steps[0] = 1
+        _powers = np.cumprod(steps)
+    return _powers
+
+
+def word_numbers(text: str | None) -> np.ndarray:
+    """64-bit hashes of the words of a text, A-Z lowered: sums of byte numbers times powers, mixed."""
+    raw = np.frombuffer(text.encode("utf-8", "replace"), np.uint8) if text else np.empty(0, np.uint8)
+    white = _WHITE[raw]
+    at = np.flatnonzero(~white & np.concatenate([[True], white[:-1]])) if len(raw) else np.empty(0, np.int64)
+    if not len(at):
+        return np.empty(0, np.uint64)
+    raw = raw[at[0]:]
+    at = at - at[0]
+    sizes = np.diff(at, append=len(raw))
+    place = np.arange(len(raw)) - np.repeat(at, sizes)
+    return mix64(np.add.reduceat(_NUMBER[raw] * _power(int(sizes.max()))[place], at))
+
+
+def shingles(text: str | None, k: int) -> np.ndarray:
+    """Sorted distinct hashes of the k-word shingles; fewer words are one shingle, no words give none."""
+    h = word_numbers(text)
+    if not len(h):
+        return h.view(np.int64)
+    width = min(k, len(h))
+    n = len(h) - width + 1
+    s = np.full(n, width, np.uint64)
+    for i in range(width):
+        s = s * np.uint64(0xD6E8FEB86659FD93) + h[i:i + n]
+    return np.unique(mix64(s).view(np.int64))
 
 
 def _frequent(k: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache, seen, held, size = WordHashes(), set(), [], 0
+        seen, held, size = set(), [], 0
 
         def report():
             code, times = np.unique(np.concatenate(held), return_counts=True)
@@ -83,7 +132,7 @@ def _frequent(k: int):
 
         for pdf in batches:
             for text in pdf["text"]:
-                s = _signed(text, cache, k)
+                s = shingles(text, k)
                 digest = xxhash.xxh3_64_intdigest(s.tobytes())
                 if len(s) and digest not in seen:  # copies count once in a block
                     seen.add(digest)
@@ -99,12 +148,12 @@ def _frequent(k: int):
 
 def _sketches(k: int, percent: int, often):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache, seen = WordHashes(), set()
+        seen = set()
         codes, ranks = often.value
         for pdf in batches:
             n, hi, lo, heads = [], [], [], []
             for text in pdf["text"]:
-                s = _signed(text, cache, k)
+                s = shingles(text, k)
                 d = xxhash.xxh3_128_digest(s.tobytes())
                 n.append(len(s))
                 hi.append(int.from_bytes(d[:8], "little", signed=True))
@@ -127,13 +176,13 @@ def _sketches(k: int, percent: int, often):
 def _overlaps(k: int):
     """Pairs with both texts -> pairs with the size of the intersection of their sets."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache, sets = WordHashes(), {}
+        sets = {}
 
         def of(node, text):
             if node not in sets:
                 if len(sets) >= 256:
                     sets.clear()
-                sets[node] = shingle_set(text, cache, k)
+                sets[node] = shingles(text, k)
             return sets[node]
 
         for pdf in batches:
@@ -144,21 +193,43 @@ def _overlaps(k: int):
 
 
 def _meeting_leaders(percent: int):
-    """Tiles of a list, one row a block of entries with one leader -> pairs of leaders whose members may be linked."""
-    def meet(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        col = lambda d, c: d[c].to_numpy()
-        low = lambda c: (col(x, c)[:, None], col(y, c)[None, :])
-        (lx, ly), (hx, hy), (rx, ry), (cx, cy) = low("least_n"), low("most_n"), low("left"), low("component")
-        ok = (cx != cy) & (100 * hx >= percent * ly) & (100 * hy >= percent * lx)
-        ok &= np.minimum(rx, ry) >= _needed(lx, ly, percent)
-        i, j = np.nonzero(ok)
-        a, b = col(x, "leader")[i], col(y, "leader")[j]
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+    """Tiles of lists, one row a block of entries with one leader -> pairs of leaders whose members may be linked."""
+    columns = ["least_n", "most_n", "left", "component", "leader", "own"]
+
+    def meet(rows: pd.DataFrame, ends: np.ndarray) -> Iterator[pd.DataFrame]:
+        """Pairs of rows of one tile; ``ends``: for each row, where its tile ends. Some millions of pairs at a time."""
+        low, high, left, group, leader, own = (rows[c].to_numpy() for c in columns)
+        diagonal = (rows["i"] == rows["j"]).to_numpy()
+        after = ends - np.arange(len(rows)) - 1
+        total = np.cumsum(after)
+        start = 0
+        while start < len(rows):
+            stop = max(start + 1, int(np.searchsorted(total, (total[start - 1] if start else 0) + PAIRS, "right")))
+            many = after[start:stop]
+            x = np.repeat(np.arange(start, stop), many)
+            y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(many) - many, many)
+            ok = (group[x] != group[y]) & (diagonal[x] | (own[x] != own[y]))
+            x, y = x[ok], y[ok]
+            ok = (100 * high[x] >= percent * low[y]) & (100 * high[y] >= percent * low[x])
+            ok &= np.minimum(left[x], left[y]) >= _needed(low[x], low[y], percent)
+            a, b = leader[x[ok]], leader[y[ok]]
+            yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+            start = stop
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for tile in consecutive(batches, ["code", "i", "j"]):
-            i, j = tile["i"].iloc[0], tile["j"].iloc[0]
-            yield meet(tile, tile) if i == j else meet(tile[tile["own"] == i], tile[tile["own"] == j])
+        rest = None
+        for pdf in batches:
+            rest = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
+            if not len(rest):
+                continue
+            code, i, j = (rest[c].to_numpy() for c in ("code", "i", "j"))
+            cut = np.flatnonzero((code[1:] != code[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+            if len(cut):
+                whole = int(cut[-1])
+                yield from meet(rest.iloc[:whole], np.repeat(cut, np.diff(cut, prepend=0)))
+                rest = rest.iloc[whole:].reset_index(drop=True)
+        if rest is not None and len(rest):
+            yield from meet(rest, np.full(len(rest), len(rest)))
     return run
 
 
@@ -200,13 +271,13 @@ def _derived(k: int, percent: int):
         return found.drop_duplicates(["x", "y"])[["a", "b"]]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache, known = WordHashes(), {}
+        known = {}
 
         def of(node, text):
             if node not in known:
                 if len(known) >= 4 * BLOCK:
                     known.clear()
-                known[node] = shingle_set(text, cache, k)
+                known[node] = shingles(text, k)
             return known[node]
 
         for rows in consecutive(batches, ["leader", "i", "j"]):
