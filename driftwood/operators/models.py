@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.hashing import hash_text
+from ..session import ship_package
 from .evaluate import regression_report
 
 
@@ -122,6 +123,7 @@ def fit_grouped_ols(df: DataFrame, group_cols: Sequence[str], features: Sequence
                                T.StructField("metric_rmse", T.DoubleType()),
                                T.StructField("metric_r2", T.DoubleType())])
     pos = {f: i for i, f in enumerate(features)}
+    ship_package(df.sparkSession)
 
     def solve_batches(batches):
         for b in batches:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,6 +65,27 @@ def new_table_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/driftwood/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, whatever folder they start in: once a session, as a zip in the shared folder."""
+    sc = spark.sparkContext
+    if getattr(sc, "_driftwood_shipped", False):
+        return
+    home = os.path.dirname(os.path.abspath(__file__))
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(home):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(home)))
+    to = sc._jvm.org.apache.hadoop.fs.Path(f"{new_table_path(spark, 'package')}/driftwood-package.zip")
+    out = to.getFileSystem(sc._jsc.hadoopConfiguration()).create(to, True)
+    out.write(bytearray(held.getvalue()))
+    out.close()
+    sc.addPyFile(to.toString())
+    sc._driftwood_shipped = True
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder; survives executor loss (never localCheckpoint)."""
     shared_dir(df.sparkSession)
