@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import new_table_path
+from ..session import new_table_path, ship_package
 
 #: Words cached per Python task before the cache starts afresh.
 CACHE_WORDS = 300_000
@@ -20,7 +20,8 @@ _scratch: dict[str, SparkSession] = {}
 
 
 def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Keep Arrow batches small by rows and bytes, so that long texts do not add up in one batch."""
+    """Keep Arrow batches small by rows and bytes, so that long texts do not add up in one batch; give the workers this package."""
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
 
