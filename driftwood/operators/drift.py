@@ -1,28 +1,26 @@
 """Drift between a current sample and a reference: KS, Wasserstein-1, PSI, count delta, alerts.
 
-Exact two-sample statistics without replicating the reference for every window:
-
-* Per reference key K (the column, or (window, column) for window-to-previous-window), a grid
-  L holds every distinct reference value and every current value seen under K, with the
-  reference ECDF ``F`` and its integral ``G(x) = int_{-inf}^x F`` - both bucketed running sums.
-* Each current group (window, column) walks its own distinct values: on [v_i, v_{i+1}) its ECDF
-  is the constant a_i, so KS needs only F at v_i and just below v_{i+1}, and W1 needs
-  ``int |a_i - F|`` = G differences split at the crossing c = Q_ref(a_i). c is found by an
-  as-of lookup on integer ranks (ceil(a_i * n_ref)) against the reference rank intervals.
-All joins are equi-joins or bucketed as-of joins; no group is collected and no window spans a
-whole column.
+All of it is computed from value counts, lazily: nothing runs while a plan is built, and the reference is never copied for
+each window.
+
+* Current and reference counts of one reference key K (the column, or (window, column) for window-to-previous-window) are
+  one table in value order. One pass of running sums over it gives every current value the
+  reference ECDF ``F`` at and just below it and its integral ``G(x) = int_{-inf}^x F = (x * R - S) / n``, with R and S the
+  running count and sum of the reference.
+* A second pass, within each current group, gives its own ECDF a_i, constant on [v_i, v_{i+1}). KS needs only F at v_i and
+  just below v_{i+1}; W1 needs ``int |a_i - F|`` = differences of G, split where F passes a_i. Only where that is strictly inside
+  an interval is the reference value looked up, by an as-of join on integer ranks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
 from .asof import asof_join
-from .prefix import running_sums
+from .prefix import LEVEL, PART, in_ranges, running
 
 PSI_FLOOR = 1e-4
 # Fixed severity bounds for the population stability index.
@@ -47,98 +45,93 @@ def value_counts(long: DataFrame, keys: Sequence[str], value_col: str = "value")
             .groupBy(*keys, F.col(value_col).alias("v")).agg(F.count(F.lit(1)).alias("c")))
 
 
+def with_reference(cur: DataFrame, ref: DataFrame, cur_keys: Sequence[str], ref_keys: Sequence[str]) -> DataFrame:
+    """Rows of both tables (keys, v, c; one a value) with the reference's running sums over their common key.
+
+    Reference rows (``r`` > 0) have NULL in the keys that only ``cur`` has. Adds f_lt, f_le (reference ECDF below and at v), g (its
+    integral), n_ref, vmax_ref and g_max; keeps the ranges for another pass.
+    """
+    C, K = list(cur_keys), list(ref_keys)
+    none = F.lit(0).cast("long")
+    both = (cur.select(*C, "v", "c", none.alias("r"))
+            .unionByName(ref.select(*K, *[F.lit(None).cast(cur.schema[k].dataType).alias(k) for k in C if k not in K],
+                                    "v", none.alias("c"), F.col("c").alias("r"))))
+    v, r = F.col("v"), F.col("r")
+    d = running(in_ranges(both, K, "v"), K, "v", {"r": r, "s": v * r}, totals=True, most={"vmax_ref": F.when(r > 0, v)})
+    n = F.col("all_r").cast("double")
+    at_v = F.sum("r").over(Window.partitionBy(*K, LEVEL, PART).orderBy("v").rangeBetween(Window.currentRow, Window.currentRow))
+    return (d.withColumn("r_lt", F.col("cum_r") - at_v)
+            .select(*C, "v", "c", "r", "r_lt", LEVEL, PART, F.col("all_r").alias("n_ref"), "vmax_ref",
+                    F.when(n > 0, F.col("cum_r") / n).alias("f_le"), F.when(n > 0, F.col("r_lt") / n).alias("f_lt"),
+                    F.when(n > 0, (v * F.col("cum_r") - F.col("cum_s")) / n).alias("g"),
+                    F.when(n > 0, (F.col("vmax_ref") * n - F.col("all_s")) / n).alias("g_max")))
+
+
 def ecdf_distances(cur: DataFrame, ref: DataFrame, cur_keys: Sequence[str], ref_keys: Sequence[str],
                    wasserstein: bool = True) -> DataFrame:
     """KS statistic and W1 between current groups and their reference.
 
     cur: (cur_keys..., v, c); ref: (ref_keys..., v, c), one row per distinct value; ref_keys is
-    a subset of cur_keys. Returns cur_keys + n_cur, n_ref, ks_statistic, wasserstein_distance.
+    a subset of cur_keys. Returns cur_keys + n_cur, n_ref, ks_statistic, wasserstein_distance (NULL without reference rows).
     """
     C, K = list(cur_keys), list(ref_keys)
-    # The aggregated value tables and the grids below are each read several times; they are
-    # materialised once in the shared checkpoint folder instead of being re-derived per use.
-    cur, ref = cut_lineage(cur), cut_lineage(ref)
-    n_ref = ref.groupBy(*K).agg(F.sum("c").alias("n_ref"), F.max("v").alias("vmax_ref"))
-    n_cur = cur.groupBy(*C).agg(F.sum("c").alias("n_cur"))
-
-    # Grid per K: reference values plus current values, with reference ECDF and its integral.
-    grid = (ref.select(*K, "v", F.col("c").alias("c_ref"))
-            .unionByName(cur.select(*K, "v", F.lit(0).cast("long").alias("c_ref")))
-            .groupBy(*K, "v").agg(F.sum("c_ref").alias("c_ref")))
-    g1 = running_sums(grid, K, "v", ["c_ref"], with_next=True).join(n_ref, K)
-    g1 = g1.withColumn("f_le", F.col("cum_c_ref") / F.col("n_ref")).withColumn(
-        "term", F.col("f_le") * F.coalesce(F.col("next_v") - F.col("v"), F.lit(0.0)))
-    # the integral G is needed only for W1; KS-only runs skip that second prefix pass
-    g2 = running_sums(g1, K, "v", ["term"]) if wasserstein else g1.withColumn("cum_term", F.col("term"))
-    L = cut_lineage(g2.select(*K, "v", "c_ref", "n_ref", "vmax_ref",
-                              (F.col("cum_c_ref") - F.col("c_ref")).alias("cum_lt"),
-                              F.col("cum_c_ref").alias("cum_le"), (F.col("cum_term") - F.col("term")).alias("G")))
-
-    # Current ECDF per group.
-    cw = running_sums(cur, C, "v", ["c"], with_next=True).join(n_cur, C)
-    cw = cut_lineage(cw.withColumn("a", F.col("cum_c") / F.col("n_cur")))
-    at_v = L.select(*K, "v", "n_ref", "vmax_ref", (F.col("cum_le") / F.col("n_ref")).alias("f_le_v"),
-                    (F.col("cum_lt") / F.col("n_ref")).alias("f_lt_v"), F.col("G").alias("g_p"))
-    at_next = L.select(*K, F.col("v").alias("next_v"), (F.col("cum_lt") / F.col("n_ref")).alias("f_lt_next"),
-                       F.col("G").alias("g_next"))
-    g_max = L.where(F.col("v") == F.col("vmax_ref")).select(*K, F.col("G").alias("g_max"))
-    j = cw.join(at_v, [*K, "v"]).join(at_next, [*K, "next_v"], "left").join(g_max, K, "left")
-
-    first = (F.col("cum_c") == F.col("c"))
-    d_here = F.abs(F.col("a") - F.col("f_le_v"))
-    d_next = F.when(F.col("next_v").isNotNull(), F.abs(F.col("a") - F.col("f_lt_next"))).otherwise(F.lit(0.0))
-    d_head = F.when(first, F.col("f_lt_v")).otherwise(F.lit(0.0))
-    j = j.withColumn("d", F.greatest(d_here, d_next, d_head))
+    rows = with_reference(cur, ref, C, K)
+    w = running(rows.where("c > 0"), C, "v", {"c": "c"}, totals=True, ahead=["v", "f_lt", "g"])
+    w = w.withColumnRenamed("all_c", "n_cur").withColumn("a", F.col("cum_c") / F.col("n_cur"))
+    p, a, last = F.col("v"), F.col("a"), F.col("next_v").isNull()
+    first = F.col("cum_c") == F.col("c")
+    d = F.greatest(F.abs(a - F.col("f_le")), F.when(~last, F.abs(a - F.col("next_f_lt"))), F.when(first, F.col("f_lt")))
+    w = w.withColumn("d", d)
+    sizes = [F.first("n_cur").alias("n_cur"), F.first("n_ref").alias("n_ref")]
     if not wasserstein:
-        return j.groupBy(*C).agg(F.max("d").alias("ks_statistic"),
-                                 F.lit(None).cast("double").alias("wasserstein_distance"),
-                                 F.first("n_cur").alias("n_cur"), F.first("n_ref").alias("n_ref"))
-
-    # Interval [p, q) with constant current ECDF a; the last interval runs to the reference max.
-    last = F.col("next_v").isNull()
-    q = F.when(last, F.greatest(F.col("v"), F.col("vmax_ref"))).otherwise(F.col("next_v"))
-    g_q = F.when(last, F.when(F.col("vmax_ref") > F.col("v"), F.col("g_max")).otherwise(F.col("g_p"))) \
-        .otherwise(F.col("g_next"))
-    j = j.withColumn("q", q).withColumn("g_q", g_q)
-    # rank of the crossing: smallest reference value whose cumulative count reaches ceil(a * n_ref)
-    j = j.withColumn("r", ((F.col("cum_c") * F.col("n_ref") + F.col("n_cur") - 1) / F.col("n_cur")).cast("long")) \
-         .withColumn("__dw_rb", F.floor(F.col("r") / F.greatest(F.lit(1), F.ceil(F.col("n_ref") / 1024))).cast("long"))
-    starts = (L.where(F.col("c_ref") > 0)
-              .select(*K, (F.col("cum_lt") + 1).alias("start"), F.col("v").alias("c_val"), F.col("G").alias("g_c"),
-                      F.floor((F.col("cum_lt") + 1) / F.greatest(F.lit(1), F.ceil(F.col("n_ref") / 1024)))
-                      .cast("long").alias("__dw_sb")))
-    jc = asof_join(j, starts, K, K, "r", "start", ["c_val", "g_c"],
-                   spine_bucket="__dw_rb", feature_bucket="__dw_sb")
-    p, a = F.col("v"), F.col("a")
-    cval = F.col("c_val")
-    m = F.least(F.greatest(cval, p), F.col("q"))
-    g_m = F.when(cval <= p, F.col("g_p")).when(cval >= F.col("q"), F.col("g_q")).otherwise(F.col("g_c"))
-    interval = ((F.col("g_q") - F.col("g_p")) - a * (F.col("q") - p)
-                + F.lit(2.0) * (a * (m - p) - (g_m - F.col("g_p"))))
-    head = F.when(first, F.col("g_p")).otherwise(F.lit(0.0))
-    res = jc.groupBy(*C).agg(F.max("d").alias("ks_statistic"), F.sum(interval + head).alias("wasserstein_distance"),
-                             F.first("n_cur").alias("n_cur"), F.first("n_ref").alias("n_ref"))
-    return res
+        return w.groupBy(*C).agg(F.max("d").alias("ks_statistic"),
+                                 F.lit(None).cast("double").alias("wasserstein_distance"), *sizes)
+
+    # Interval [p, q) with constant current ECDF a; the last interval (a = 1) runs to the reference's greatest value.
+    beyond = F.col("vmax_ref") > p
+    w = w.withColumns({"q": F.when(~last, F.col("next_v")).when(beyond, F.col("vmax_ref")).otherwise(p),
+                       "g_q": F.when(~last, F.col("next_g")).when(beyond, F.col("g_max")).otherwise(F.col("g")),
+                       "head": F.when(first, F.col("g")).otherwise(0.0),
+                       "inside": ~last & (F.col("f_le") < a) & (F.col("next_f_lt") >= a) & (F.col("n_ref") > 0)})
+    area = F.col("g_q") - F.col("g") - a * (F.col("q") - p)  # int (F - a) over [p, q)
+    out = [*C, "d", "n_cur", "n_ref"]
+    plain = w.where(~F.coalesce("inside", F.lit(False))).select(*out, (F.abs(area) + F.col("head")).alias("w1"))
+    # F passes a at c inside (p, q): c is the reference value at rank ceil(a * n_ref)
+    bucket = lambda rank: F.floor(rank / F.greatest(F.lit(1), F.ceil(F.col("n_ref") / 1024))).cast("long")
+    rank = F.ceil(F.col("cum_c").cast("double") * F.col("n_ref") / F.col("n_cur"))
+    split = (w.where("inside").select(*out, "v", "a", "q", "g", "g_q", "head", rank.alias("__dw_rank"))
+             .withColumn("__dw_rb", bucket(F.col("__dw_rank"))))
+    starts = (rows.where("r > 0").select(*K, (F.col("r_lt") + 1).alias("start"), F.col("v").alias("c_val"), F.col("g").alias("g_c"),
+                                         bucket(F.col("r_lt") + 1).alias("__dw_sb")))
+    split = asof_join(split, starts, K, K, "__dw_rank", "start", ["c_val", "g_c"],
+                      spine_bucket="__dw_rb", feature_bucket="__dw_sb")
+    m = F.least(F.greatest(F.col("c_val"), p), F.col("q"))
+    g_m = (F.when(F.col("c_val") <= p, F.col("g")).when(F.col("c_val") >= F.col("q"), F.col("g_q")).otherwise(F.col("g_c")))
+    below = a * (m - p) - (g_m - F.col("g"))  # int (a - F) over [p, c)
+    split = split.select(*out, (area + F.lit(2.0) * below + F.col("head")).alias("w1"))
+    return plain.unionByName(split).groupBy(*C).agg(F.max("d").alias("ks_statistic"), F.sum("w1").alias("wasserstein_distance"), *sizes)
 
 
 def psi_numeric(cur_long: DataFrame, ref_long: DataFrame, cur_keys: Sequence[str], ref_keys: Sequence[str],
                 edges: DataFrame, value_col: str = "value") -> DataFrame:
-    """PSI over bins at the reference deciles (``edges``: ref_keys + ``edges`` array, duplicates
-    merged, outer bins open). Shares floored at 1e-4; NULL and NaN form no bin."""
-    def binned(long, keys):
-        d = long.where(F.col(value_col).isNotNull() & ~F.isnan(value_col)).join(F.broadcast(edges), list(ref_keys))
-        b = F.size(F.filter("edges", lambda e: e < F.col(value_col)))
-        return d.groupBy(*keys, b.alias("bin")).agg(F.count(F.lit(1)).alias("c"))
-    return _psi(binned(cur_long, cur_keys), binned(ref_long, ref_keys), cur_keys, ref_keys)
-
-
-def psi_categorical(cur_long: DataFrame, ref_long: DataFrame, cur_keys: Sequence[str], ref_keys: Sequence[str],
-                    value_col: str = "value") -> DataFrame:
-    """PSI with one bin per category (NULL forms no bin)."""
-    def binned(long, keys):
-        return (long.where(F.col(value_col).isNotNull()).groupBy(*keys, F.col(value_col).alias("bin"))
-                .agg(F.count(F.lit(1)).alias("c")))
-    return _psi(binned(cur_long, cur_keys), binned(ref_long, ref_keys), cur_keys, ref_keys)
+    """PSI of raw values, see ``psi_of_counts``; NULL and NaN form no bin."""
+    return psi_of_counts(value_counts(cur_long, cur_keys, value_col), value_counts(ref_long, ref_keys, value_col),
+                         cur_keys, ref_keys, edges)
+
+
+def psi_of_counts(cur: DataFrame, ref: DataFrame, cur_keys: Sequence[str], ref_keys: Sequence[str], edges: DataFrame) -> DataFrame:
+    """PSI of value counts (keys, v, c) over bins at the reference deciles (``edges``: ref_keys + ``edges`` array,
+    duplicates merged, outer bins open). Shares floored at 1e-4."""
+    def binned(counts, keys):
+        d = counts.join(edges, list(ref_keys))
+        b = F.size(F.filter("edges", lambda e: e < F.col("v")))
+        return d.groupBy(*keys, b.alias("bin")).agg(F.sum("c").alias("c"))
+    return _psi(binned(cur, cur_keys), binned(ref, ref_keys), cur_keys, ref_keys)
+
+
+def psi_categorical(cur: DataFrame, ref: DataFrame, cur_keys: Sequence[str], ref_keys: Sequence[str]) -> DataFrame:
+    """PSI of value counts (keys, v, c) with one bin per category."""
+    return _psi(cur.withColumnRenamed("v", "bin"), ref.withColumnRenamed("v", "bin"), cur_keys, ref_keys)
 
 
 def _psi(cur: DataFrame, ref: DataFrame, cur_keys, ref_keys) -> DataFrame:

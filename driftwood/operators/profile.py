@@ -1,9 +1,12 @@
 """Monitor tables: profile metrics per time window x column, and drift metrics per window x column.
 
 ``monitor(df, ts, numeric, categorical, granularity, baseline)`` returns the two long tables the
-monitoring service would write. Profile statistics come from one wide aggregation per window
-(all columns at once, partial aggregation map-side), unpivoted after aggregating - the small
-result is reshaped, not the data. Exact medians and deciles use the bucketed quantile helper.
+monitoring service would write. Everything is computed from one table of value counts per (window, column): one
+shuffle of the data, partially aggregated; counts, moments, distinct values, exact quantiles, KS, W1 and PSI all read it, and Spark
+reuses its exchange within a plan. Nothing runs while the tables are built.
+
+Rows without a time are kept: they form a window of their own, shown as a NULL window with log type ``INPUT``. They take no part in
+window-to-window drift.
 """
 
 from __future__ import annotations
@@ -12,88 +15,102 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from . import drift as D
-from .prefix import exact_quantiles, unpivot
+from .prefix import in_ranges, quantile_aggs, quantiles_of_counts, running, unpivot
 
 DECILES = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
-_SENTINEL = "1900-01-01 00:00:00"
+_WK = "__dw_wk"
+#: Window key of rows without a time, and of a whole-table profile.
+_NO_TIME = "0001-01-01 00:00:00"
+
+
+_NUMBERS = ("count", "num_nulls", "avg", "min", "max", "num_zeros", "num_nan", "distinct_count")
+
 
+def _no_time() -> Column:
+    return F.to_timestamp_ntz(F.lit(_NO_TIME))
 
-def _window(df: DataFrame, ts_col: str | None, granularity: str) -> Column:
+
+def _stamped(df: DataFrame, ts_col: str | None, granularity: str) -> DataFrame:
+    """``df`` with the start of each row's window (never NULL)."""
     if ts_col is None:
-        ts_type = T.TimestampNTZType()
-        return F.lit(None).cast(T.StructType([T.StructField("start", ts_type), T.StructField("end", ts_type)]))
-    return F.window(ts_col, granularity)
+        return df.withColumn(_WK, _no_time())
+    kind = dict(df.dtypes)[ts_col]
+    # F.window leaves out rows without a time, so these get one and lose it again
+    whole = df.withColumn("__dw_t", F.coalesce(F.col(ts_col), F.lit("2000-01-01 00:00:00").cast(kind)))
+    return (whole.withColumn("__dw_w", F.window("__dw_t", granularity))
+            .withColumn(_WK, F.coalesce(F.when(F.col(ts_col).isNotNull(), F.col("__dw_w.start").cast("timestamp_ntz")), _no_time()))
+            .drop("__dw_t", "__dw_w"))
+
+
+def _with_window(df: DataFrame, granularity: str) -> DataFrame:
+    """The window struct of each window key; NULL where there is no time."""
+    d = df.withColumn("__dw_w", F.window(_WK, granularity))
+    return d.withColumn("window", F.when(F.col(_WK) != _no_time(), F.col("__dw_w"))).drop("__dw_w")
 
 
-def _wkey(window: Column) -> Column:
-    return F.coalesce(window["start"], F.to_timestamp_ntz(F.lit(_SENTINEL)))
+def value_table(df: DataFrame, cols: Sequence[str], ts_col: str | None, granularity: str, cast: str) -> DataFrame:
+    """(window key, column_name, v, n rows, c rows with a usable value): a row a value, NULL and NaN included with c = 0."""
+    d = unpivot(_stamped(df, ts_col, granularity).select(_WK, *cols), [_WK], list(cols), value_col="v", cast=cast)
+    usable = F.col("v").isNotNull() if cast == "string" else F.col("v").isNotNull() & ~F.isnan("v")
+    return d.groupBy(_WK, "column_name", "v").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(usable, 1)).alias("c"))
+
+
+def _usable(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    # the condition is on an aggregate, so it stays above the shuffle that all users of the counts share
+    return counts.where("c > 0").select(*keys, "v", "c")
 
 
 def profile_metrics(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (),
                     ts_col: str | None = None, granularity: str = "1 day", log_type: str = "INPUT",
                     quantiles: bool = True) -> DataFrame:
-    """One row per window x column (window NULL for a whole-table profile, e.g. the baseline)."""
-    numeric, categorical = list(numeric), list(categorical)
-    types = dict(df.dtypes)
-    base = df.select(_window(df, ts_col, granularity).alias("window"), *numeric, *categorical)
-    aggs = [F.count(F.lit(1)).alias("__dw_total")]
-    for c in numeric:
-        col = F.col(c).cast("double")
-        ok = F.when(~F.isnan(col), col)
-        aggs += [F.count(col).alias(f"{c}__count"), F.sum(col.isNull().cast("long")).alias(f"{c}__nulls"),
-                 F.avg(ok).alias(f"{c}__avg"), F.min(ok).alias(f"{c}__min"), F.max(ok).alias(f"{c}__max"),
-                 F.sum((col == 0).cast("long")).alias(f"{c}__zeros"),
-                 F.sum(F.isnan(col).cast("long")).alias(f"{c}__nan"),
-                 F.count_distinct(ok).alias(f"{c}__distinct")]
-    for c in categorical:
-        col = F.col(c)
-        aggs += [F.count(col).alias(f"{c}__count"), F.sum(col.isNull().cast("long")).alias(f"{c}__nulls"),
-                 F.count_distinct(col).alias(f"{c}__distinct")]
-    wide = base.groupBy("window").agg(*aggs)
-
-    def row(c: str, numeric_col: bool) -> Column:
-        nul = F.lit(None).cast("double")
-        return F.struct(
-            F.lit(c).alias("column_name"), F.lit(types[c]).alias("data_type"),
-            F.col(f"{c}__count").alias("count"), F.col(f"{c}__nulls").alias("num_nulls"),
-            (F.col(f"{c}__avg") if numeric_col else nul).alias("avg"),
-            (F.col(f"{c}__min") if numeric_col else nul).alias("min"),
-            (F.col(f"{c}__max") if numeric_col else nul).alias("max"),
-            (F.col(f"{c}__zeros") if numeric_col else F.lit(None).cast("long")).alias("num_zeros"),
-            (F.col(f"{c}__nan") if numeric_col else F.lit(0).cast("long")).alias("num_nan"),
-            F.col(f"{c}__distinct").alias("distinct_count"))
-    rows = F.array(*[row(c, True) for c in numeric], *[row(c, False) for c in categorical])
-    long = wide.select("window", "__dw_total", F.inline(rows))
-    total = F.col("__dw_total").cast("double")
-    long = (long.withColumn("percent_null", F.lit(100.0) * F.col("num_nulls") / total)
+    """One row per window x column (window NULL for a whole-table profile, e.g. the baseline, and for rows without a time)."""
+    types, keys = dict(df.dtypes), [_WK, "column_name"]
+    nul, long_nul = F.lit(None).cast("double"), F.lit(None).cast("long")
+    parts = []
+    if numeric:
+        counts = value_table(df, numeric, ts_col, granularity, "double")
+        v, n, c = F.col("v"), F.col("n"), F.col("c")
+        aggs = [
+            F.sum(F.when(v.isNotNull(), n).otherwise(0)).alias("count"), F.sum(F.when(v.isNull(), n).otherwise(0)).alias("num_nulls"),
+            (F.sum(F.when(c > 0, v * c)) / F.sum(c)).alias("avg"), F.min(F.when(c > 0, v)).alias("min"),
+            F.max(F.when(c > 0, v)).alias("max"), F.sum(F.when(v == 0, n).otherwise(0)).alias("num_zeros"),
+            F.sum(F.when(v.isNotNull() & (c == 0), n).otherwise(0)).alias("num_nan"),
+            F.count(F.when(c > 0, 1)).alias("distinct_count")]
+        if quantiles:  # NULL and NaN are rows with c = 0: they have their place in the order and change no running count
+            ranked = running(in_ranges(counts, keys, "v"), keys, "v", {"dw_c": "c"}, totals=True).withColumn(
+                "__dw_u", F.when(c > 0, v))
+            more, q = quantile_aggs("__dw_u", "cum_dw_c", "all_dw_c", [0.5, *DECILES])
+            p = (ranked.groupBy(*keys).agg(*aggs, *more).withColumn("__dw_q", q)
+                 .withColumn("median", F.col("__dw_q")[0])
+                 .withColumn("quantiles", F.when(F.col("__dw_all") > 0, F.slice("__dw_q", 2, len(DECILES)))))
+            p = p.select(*keys, *_NUMBERS, "median", "quantiles")
+        else:
+            p = counts.groupBy(*keys).agg(*aggs).withColumn("median", nul).withColumn("quantiles", F.lit(None).cast("array<double>"))
+        parts.append(p)
+    if categorical:
+        counts = value_table(df, categorical, ts_col, granularity, "string")
+        n, c = F.col("n"), F.col("c")
+        parts.append(counts.groupBy(*keys).agg(
+            F.sum("c").alias("count"), F.sum(n - c).alias("num_nulls"), nul.alias("avg"), nul.alias("min"), nul.alias("max"),
+            long_nul.alias("num_zeros"), F.lit(0).cast("long").alias("num_nan"), F.count(F.when(c > 0, 1)).alias("distinct_count"))
+            .withColumn("median", nul).withColumn("quantiles", F.lit(None).cast("array<double>")))
+    long = parts[0].unionByName(parts[1]) if len(parts) == 2 else parts[0]
+    total = (F.col("count") + F.col("num_nulls")).cast("double")
+    dtype = F.create_map(*[x for name in (*numeric, *categorical) for x in (F.lit(name), F.lit(types[name]))])
+    long = (_with_window(long, granularity)
+            .withColumn("data_type", dtype[F.col("column_name")])
+            .withColumn("percent_null", F.lit(100.0) * F.col("num_nulls") / total)
             .withColumn("percent_nan", F.lit(100.0) * F.col("num_nan") / total)
             .withColumn("percent_distinct", F.when(F.col("count") > 0,
                                                    F.lit(100.0) * F.col("distinct_count") / F.col("count")))
             .withColumn("log_type", F.lit(log_type)).withColumn("granularity", F.lit(granularity if ts_col else None)))
-    if quantiles and numeric:
-        vals = unpivot(base.withColumn("__dw_wk", _wkey(F.col("window"))), ["__dw_wk"], numeric)
-        q = exact_quantiles(vals, ["__dw_wk", "column_name"], "value", [0.5, *DECILES])
-        q = q.select("__dw_wk", "column_name", F.col("quantiles")[0].alias("median"),
-                     F.slice("quantiles", 2, len(DECILES)).alias("quantiles"))
-        long = long.withColumn("__dw_wk", _wkey(F.col("window"))).join(q, ["__dw_wk", "column_name"], "left") \
-            .drop("__dw_wk")
-    else:
-        long = (long.withColumn("median", F.lit(None).cast("double"))
-                .withColumn("quantiles", F.lit(None).cast("array<double>")))
     return long.select("window", "log_type", "granularity", "column_name", "data_type", "count", "num_nulls",
                        "avg", "median", "quantiles", "min", "max", "num_zeros", "num_nan", "percent_nan",
                        "percent_null", "distinct_count", "percent_distinct")
 
 
-def _long(df: DataFrame, cols: Sequence[str], ts_col: str | None, granularity: str, cast: str | None) -> DataFrame:
-    w = _window(df, ts_col, granularity)
-    d = df.select(w.alias("window"), *cols).withColumn("__dw_wk", _wkey(F.col("window")))
-    return unpivot(d, ["__dw_wk", "window"], list(cols), cast=cast)
-
-
 def drift_metrics(df: DataFrame, baseline: DataFrame | None, numeric: Sequence[str],
                   categorical: Sequence[str] = (), ts_col: str = "ts", granularity: str = "1 day",
                   drift_type: str = "BASELINE",
@@ -103,83 +120,64 @@ def drift_metrics(df: DataFrame, baseline: DataFrame | None, numeric: Sequence[s
     ks_test{statistic,pvalue}, wasserstein_distance, population_stability_index. Metrics left
     out of ``metrics`` are NULL and cost nothing."""
     numeric, categorical = list(numeric), list(categorical)
-    types = dict(df.dtypes)
-    cur_n = _long(df, numeric, ts_col, granularity, "double") if numeric else None
-    cur_c = _long(df, categorical, ts_col, granularity, "string") if categorical else None
-    windows = (cur_n if cur_n is not None else cur_c).select("__dw_wk", "window").distinct()
-
-    if drift_type == "BASELINE":
-        ref_n = _long(baseline, numeric, None, granularity, "double").drop("__dw_wk", "window") if numeric else None
-        ref_c = (_long(baseline, categorical, None, granularity, "string").drop("__dw_wk", "window")
-                 if categorical else None)
-        C, K = ["__dw_wk", "column_name"], ["column_name"]
-    elif drift_type == "CONSECUTIVE":
-        order = Window.orderBy("__dw_wk")  # over the distinct window list only (one row per window)
-        nxt = windows.select(F.col("__dw_wk").alias("__dw_prev"),
-                             F.lead("__dw_wk").over(order).alias("__dw_next"))
-
-        def shifted(cur):
-            return (cur.join(nxt, cur["__dw_wk"] == nxt["__dw_prev"]).where(F.col("__dw_next").isNotNull())
-                    .select(F.col("__dw_next").alias("__dw_wk"), "column_name", "value"))
-        ref_n = shifted(cur_n) if numeric else None
-        ref_c = shifted(cur_c) if categorical else None
-        C, K = ["__dw_wk", "column_name"], ["__dw_wk", "column_name"]
-    else:
+    types, want = dict(df.dtypes), set(metrics)
+    null = F.lit(None).cast("double")
+    C = [_WK, "column_name"]
+    K = {"BASELINE": ["column_name"], "CONSECUTIVE": C}.get(drift_type)
+    if K is None:
         raise ValueError(drift_type)
 
+    def sides(cols: Sequence[str], cast: str) -> tuple[DataFrame, DataFrame]:
+        cur = value_table(df, cols, ts_col, granularity, cast)
+        if drift_type == "BASELINE":
+            return cur, value_table(baseline, cols, None, granularity, cast).drop(_WK)
+        order = Window.orderBy(_WK)  # over the distinct window list only (one row per window)
+        cur = cur.where(F.col(_WK) != _no_time())
+        nxt = cur.select(_WK).distinct().select(F.col(_WK).alias("__dw_prev"), F.lead(_WK).over(order).alias("__dw_next"))
+        ref = cur.join(nxt, cur[_WK] == nxt["__dw_prev"]).where(F.col("__dw_next").isNotNull())
+        return cur, ref.select(F.col("__dw_next").alias(_WK), "column_name", "v", "n", "c")
+
     parts = []
-    want = set(metrics)
-    null = F.lit(None).cast("double")
-    if numeric:
-        part = _count_delta(cur_n, ref_n, C, K)
-        if want & {"ks", "wasserstein"}:
-            dist = D.ecdf_distances(D.value_counts(cur_n, C), D.value_counts(ref_n, K), C, K,
-                                    wasserstein="wasserstein" in want)
-            part = part.join(dist.drop("n_cur", "n_ref"), C, "left")
+    for cols, cast in ((numeric, "double"), (categorical, "string")):
+        if not cols:
+            continue
+        cur, ref = sides(cols, cast)
+        held = F.sum(F.when(F.col("v").isNotNull(), F.col("n")).otherwise(0))
+        part = cur.groupBy(*C).agg(held.alias("n_cur")).join(ref.groupBy(*K).agg(held.alias("n_ref")), K, "left")
+        part = part.withColumn("n_ref", F.coalesce("n_ref", F.lit(0))).withColumn("count_delta", F.col("n_cur") - F.col("n_ref"))
+        cur, ref = _usable(cur, C), _usable(ref, K)
+        if cast == "double" and want & {"ks", "wasserstein"}:
+            part = part.join(D.ecdf_distances(cur, ref, C, K, "wasserstein" in want).drop("n_cur", "n_ref"), C, "left")
         else:
             part = part.withColumn("ks_statistic", null).withColumn("wasserstein_distance", null)
-        if "psi" in want:
-            edges = exact_quantiles(ref_n, K, "value", DECILES).select(*K, F.array_distinct("quantiles").alias("edges"))
-            part = part.join(D.psi_numeric(cur_n, ref_n, C, K, edges), C, "left")
-        else:
+        if "psi" not in want:
             part = part.withColumn("population_stability_index", null)
+        elif cast == "string":
+            part = part.join(D.psi_categorical(cur, ref, C, K), C, "left")
+        else:
+            edges = quantiles_of_counts(ref, K, "v", "c", DECILES).select(*K, F.array_distinct("quantiles").alias("edges"))
+            part = part.join(D.psi_of_counts(cur, ref, C, K, edges), C, "left")
         parts.append(part)
-    if categorical:
-        part = _count_delta(cur_c, ref_c, C, K)
-        part = (part.join(D.psi_categorical(cur_c, ref_c, C, K), C, "left") if "psi" in want
-                else part.withColumn("population_stability_index", null))
-        parts.append(part.withColumn("ks_statistic", null).withColumn("wasserstein_distance", null))
-    cols = [*C, "count_delta", "n_cur", "n_ref", "ks_statistic", "wasserstein_distance", "population_stability_index"]
-    out = parts[0].select(*cols)
-    for p in parts[1:]:
-        out = out.unionByName(p.select(*cols))
+    out = parts[0].unionByName(parts[1]) if len(parts) == 2 else parts[0]
     if drift_type == "CONSECUTIVE":
         out = out.where(F.col("n_ref") > 0)
-    dtype = F.element_at(F.create_map(*[x for c in numeric + categorical for x in (F.lit(c), F.lit(types[c]))]),
-                         F.col("column_name"))
-    out = out.join(windows, "__dw_wk")
-    return out.select(
-        "window", F.lit(granularity).alias("granularity"), "column_name", dtype.alias("data_type"),
+    dtype = F.create_map(*[x for c in numeric + categorical for x in (F.lit(c), F.lit(types[c]))])
+    return _with_window(out, granularity).select(
+        "window", F.lit(granularity).alias("granularity"), "column_name", dtype[F.col("column_name")].alias("data_type"),
         F.lit(drift_type).alias("drift_type"), "count_delta",
         F.struct(F.col("ks_statistic").alias("statistic"),
                  D.ks_pvalue(F.col("ks_statistic"), F.col("n_cur"), F.col("n_ref")).alias("pvalue")).alias("ks_test"),
         "wasserstein_distance", "population_stability_index")
 
 
-def _count_delta(cur: DataFrame, ref: DataFrame, C, K) -> DataFrame:
-    nc = cur.groupBy(*C).agg(F.count("value").alias("n_cur"))
-    nr = ref.groupBy(*K).agg(F.count("value").alias("n_ref"))
-    j = nc.join(nr, K, "left").withColumn("n_ref", F.coalesce(F.col("n_ref"), F.lit(0)))
-    return j.withColumn("count_delta", F.col("n_cur") - F.col("n_ref"))
-
-
 def monitor(df: DataFrame, ts_col: str, numeric: Sequence[str], categorical: Sequence[str] = (),
-            granularity: str = "1 day", baseline: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+            granularity: str = "1 day", baseline: DataFrame | None = None,
+            metrics: Sequence[str] = ("count_delta", "ks", "wasserstein", "psi")) -> tuple[DataFrame, DataFrame]:
     """(profile_metrics, drift_metrics) - INPUT windows plus the BASELINE profile; drift against
     the baseline (if given) and between consecutive windows."""
     prof = profile_metrics(df, numeric, categorical, ts_col, granularity, "INPUT")
-    drifts = drift_metrics(df, None, numeric, categorical, ts_col, granularity, "CONSECUTIVE")
+    drifts = drift_metrics(df, None, numeric, categorical, ts_col, granularity, "CONSECUTIVE", metrics)
     if baseline is not None:
         prof = prof.unionByName(profile_metrics(baseline, numeric, categorical, None, granularity, "BASELINE"))
-        drifts = drift_metrics(df, baseline, numeric, categorical, ts_col, granularity, "BASELINE").unionByName(drifts)
+        drifts = drift_metrics(df, baseline, numeric, categorical, ts_col, granularity, "BASELINE", metrics).unionByName(drifts)
     return prof, drifts

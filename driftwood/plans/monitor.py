@@ -6,6 +6,10 @@ from pyspark.sql import functions as F
 
 from ..operators import drift as D
 from ..operators import profile as PR
+from ..operators import sketches as SK
+from ..session import new_table_path
+from ..sources.tables import write_parquet
+from ..streaming.monitor import land, refresh_stored_profile
 from .registry import Tables, query
 
 NUMERIC = ["value", "k"]
@@ -89,6 +93,20 @@ def profile_categorical(spark, sf_dir):
                     _r6(F.col("percent_null")).alias("percent_null"))
 
 
+@query("profile_null_time", """
+WITH m AS (SELECT CASE WHEN event_id % 7 = 0 THEN NULL ELSE ts END AS ts, value FROM events)
+SELECT date_trunc('day', ts) AS window_start, count(value) AS count, count(*) - count(value) AS num_nulls,
+       round(avg(value), 6) AS avg, round(quantile_cont(value, 0.5), 6) AS median, count(DISTINCT value) AS distinct_count
+FROM m GROUP BY 1
+""")
+def profile_null_time(spark, sf_dir):
+    """A late or broken clock: events without a time keep a window of their own."""
+    d = Tables(spark, sf_dir).events.select(F.when(F.col("event_id") % 7 != 0, F.col("ts")).alias("ts"), "value")
+    p = PR.profile_metrics(d, ["value"], [], "ts", "1 day", "INPUT")
+    return p.select(F.col("window.start").alias("window_start"), "count", "num_nulls", _r6(F.col("avg")).alias("avg"),
+                    _r6(F.col("median")).alias("median"), "distinct_count")
+
+
 @query("tumbling_profile", """
 WITH m AS (SELECT ts, value FROM events),
 g AS (SELECT time_bucket(INTERVAL 1 DAY, ts, TIMESTAMP '1970-01-01') AS ws, '1 day' AS granularity, value FROM m
@@ -306,9 +324,9 @@ UNION ALL SELECT 'drift', 'BASELINE', 3 * count(DISTINCT date_trunc('day', ts))
 UNION ALL SELECT 'drift', 'CONSECUTIVE', 3 * (count(DISTINCT date_trunc('day', ts)) - 1) FROM events
 """)
 def monitor_summary(spark, sf_dir):
-    """Rows of the two metric tables by log type and by drift type."""
+    """Rows of the two metric tables by log type and by drift type (the same rows whichever metrics are asked for)."""
     t = Tables(spark, sf_dir)
-    prof, drift = PR.monitor(monitored(t), "ts", NUMERIC, CATEGORICAL, "1 day", baseline(t))
+    prof, drift = PR.monitor(monitored(t), "ts", NUMERIC, CATEGORICAL, "1 day", baseline(t), metrics=("count_delta",))
     a = prof.groupBy(F.lit("profile").alias("metric_table"), F.col("log_type").alias("kind")).agg(
         F.count(F.lit(1)).alias("n"))
     b = drift.groupBy(F.lit("drift").alias("metric_table"), F.col("drift_type").alias("kind")).agg(
@@ -318,12 +336,43 @@ def monitor_summary(spark, sf_dir):
 
 @query("incremental_refresh", _profile_sql())
 def incremental_refresh(spark, sf_dir):
-    """Only windows touched by newly appended rows are recomputed; the rest of the stored
-    profile is kept. Equals a full recompute."""
-    t = Tables(spark, sf_dir)
-    d = monitored(t)
+    """A stored metric table by day: new rows land, their days are profiled again and replaced, other days stay as
+    they were written. Equals a full recompute."""
+    d = monitored(Tables(spark, sf_dir))
     cut = F.to_timestamp_ntz(F.lit(REFRESH_FROM))
-    earlier = PR.profile_metrics(d.where(F.col("ts") < cut), NUMERIC, [], "ts", "1 day", "INPUT")
-    new_rows = d.where(F.col("ts") >= cut)
-    from ..streaming.monitor import refresh_profile
-    return _flat_profile(refresh_profile(earlier, d, new_rows, NUMERIC, "ts", "1 day"))
+    source, metrics = new_table_path(spark, "monitor-source"), new_table_path(spark, "monitor-metrics")
+    days = land(d.where((F.col("ts") < cut) | F.col("ts").isNull()), source, "ts")
+    refresh_stored_profile(spark, source, metrics, days, NUMERIC, "ts")
+    days = land(d.where(F.col("ts") >= cut), source, "ts")
+    return _flat_profile(refresh_stored_profile(spark, source, metrics, days, NUMERIC, "ts"))
+
+
+_WITHIN = ", ".join(f"TRUE AS {c}_within" for c in ("p10", "median", "p90", "distinct"))
+
+
+@query("profile_numeric_sketch", f"""
+WITH {_LONG_SQL}
+SELECT time_bucket(INTERVAL 7 DAY, w, TIMESTAMP '1970-01-01') AS window_start, column_name, count(v) AS count,
+       count(*) - count(v) AS num_nulls, round(avg(v), 6) AS avg, round(min(v), 6) AS min, round(max(v), 6) AS max, {_WITHIN}
+FROM cl GROUP BY 1, 2
+""")
+def profile_numeric_sketch(spark, sf_dir):
+    """Weekly profiles merged from stored daily sketches, checked against the exact ranks and distinct counts: the error
+    bounds of ``operators.sketches`` hold for every window and column."""
+    d = monitored(Tables(spark, sf_dir))
+    path = new_table_path(spark, "day-sketches")
+    write_parquet(SK.sketch_profile(d, NUMERIC, "ts", "1 day"), path)
+    weeks = SK.read_profile(SK.merge_profiles(spark.read.parquet(path), "1 week"))
+    exact = (PR.value_table(d, NUMERIC, "ts", "1 week", "double").where("c > 0")
+             .withColumnRenamed("__dw_wk", "window_start"))
+    at = {"p10": F.col("quantiles")[0], "median": F.col("median"), "p90": F.col("quantiles")[8]}
+    below = [F.sum(F.when(F.col("v") < q, F.col("c")).otherwise(0)).alias(f"{n}_lt") for n, q in at.items()]
+    upto = [F.sum(F.when(F.col("v") <= q, F.col("c")).otherwise(0)).alias(f"{n}_le") for n, q in at.items()]
+    ranks = (exact.join(weeks.select("window_start", "column_name", "median", "quantiles"), ["window_start", "column_name"])
+             .groupBy("window_start", "column_name").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("values"), *below, *upto))
+    e, n = SK.RANK_ERROR, F.col("n")
+    within = [((F.col(f"{c}_lt") / n <= p + e) & (F.col(f"{c}_le") / n >= p - e)).alias(f"{c}_within")
+              for c, p in (("p10", 0.1), ("median", 0.5), ("p90", 0.9))]
+    close = (F.abs(F.col("distinct_count") - F.col("values")) <= SK.DISTINCT_ERROR * F.col("values")).alias("distinct_within")
+    return (weeks.join(ranks, ["window_start", "column_name"])
+            .select("window_start", "column_name", "count", "num_nulls", *[_r6(F.col(c)).alias(c) for c in ("avg", "min", "max")], *within, close))
