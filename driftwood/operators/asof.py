@@ -1,10 +1,10 @@
 """Point-in-time (as-of) join: for each spine row, the newest feature row with ts <= as-of time.
 
 Spark has no public as-of join (the private ``_joinAsOf`` plans a nested-loop join), so it is
-expressed with a union + running ``last`` window. To keep one hot key from becoming one task,
-the window runs per (key, time bucket); the last feature of earlier buckets is carried forward
-on a small per-(key, bucket) table and joined back. Every window partition is bounded by
-one key's rows within one bucket, never by the whole key.
+expressed with a union + running ``last`` window. The window runs per (key, time bucket, part): a bucket that holds more than
+1 / HOT_SHARE of all rows, as one busy week of one key may, is cut evenly by time into parts, by its own row count.
+There are at most HOT_SHARE such buckets, so their list is broadcast. The last feature of earlier ranges is carried forward on a
+small table with a row a range and joined back.
 """
 
 from __future__ import annotations
@@ -18,6 +18,9 @@ _PAYLOAD = "__dw_payload"
 _SIDE = "__dw_side"
 _T = "__dw_t"
 _BKT = "__dw_bkt"
+_PART = "__dw_part"
+#: Rows below which a bucket is never cut, and the share of all rows (one in so many) above which it is.
+PART_ROWS, HOT_SHARE = 1 << 16, 1000
 
 
 def _as_list(x: str | Sequence[str]) -> list[str]:
@@ -30,6 +33,33 @@ def time_bucket(ts: Column, bucket_days: int) -> Column:
     return F.floor(days / F.lit(bucket_days)).cast("long")
 
 
+def _position(df: DataFrame, t: str) -> Column:
+    """A number that never falls as the time (or other order value) grows."""
+    kind = dict(df.dtypes)[t]
+    if kind == "timestamp_ntz":  # without going through a zone, whose clock changes would break the order
+        day = F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("double")
+        return day * 86400 + F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
+    if kind == "date":
+        return F.datediff(t, F.lit("1970-01-01").cast("date")).cast("double")
+    return F.col(t).cast("double")
+
+
+def cut_busy_buckets(rows: DataFrame, keys: Sequence[str], bucket: str, t: str, part: str = _PART) -> DataFrame:
+    """Adds ``part`` (0, 1, ... in order of ``t``): 0 but in the (keys, bucket) groups with the most rows, which are cut by time."""
+    g = [*keys, bucket]
+    at = _position(rows, t)
+    known = F.col(t).isNotNull()
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    sizes = rows.where(known).groupBy(*g).agg(F.count(F.lit(1)).alias("__dw_n"), F.min(at).alias("__dw_lo"), F.max(at).alias("__dw_hi"))
+    most = sizes.agg(F.greatest(F.lit(PART_ROWS), F.floor(F.sum("__dw_n") / HOT_SHARE)).alias("__dw_most"))
+    busy = sizes.crossJoin(F.broadcast(most)).where((F.col("__dw_n") > F.col("__dw_most")) & (F.col("__dw_hi") > F.col("__dw_lo")))
+    share = (at - F.col("__dw_lo")) / (F.col("__dw_hi") - F.col("__dw_lo"))
+    cut = F.floor(share * F.ceil(F.col("__dw_n") / F.col("__dw_most"))).cast("int")
+    return (rows.join(F.broadcast(busy), g, "left").withColumn(part, F.coalesce(cut, F.lit(0)))
+            .drop("__dw_n", "__dw_lo", "__dw_hi", "__dw_most"))
+
+
 def asof_join(spine: DataFrame, features: DataFrame,
               spine_keys: str | Sequence[str], feature_keys: str | Sequence[str] | None,
               spine_ts: str, feature_ts: str,
@@ -78,33 +108,32 @@ def asof_join(spine: DataFrame, features: DataFrame,
         lost = lost | F.col(k).isNull()
     sp = sp.withColumn(_BKT, F.when(lost, F.xxhash64("__dw_row")).otherwise(F.col(_BKT)))
 
-    # Level 1: running last feature inside each (key, bucket), features before spine on equal time.
+    # Level 1: running last feature inside each range, features before spine on equal time.
     unioned = (feat.select(*key_cols, _BKT, _T, F.lit(0).alias(_SIDE), _PAYLOAD,
                            F.lit(None).cast(sp.schema["__dw_row"].dataType).alias("__dw_row"))
                .unionByName(sp.select(*key_cols, _BKT, _T, F.lit(1).alias(_SIDE),
                                       F.lit(None).cast(feat.schema[_PAYLOAD].dataType).alias(_PAYLOAD),
                                       "__dw_row")))
-    w1 = (Window.partitionBy(*key_cols, _BKT).orderBy(F.col(_T), F.col(_SIDE), F.col(_PAYLOAD))  # equal times: the greatest row
+    ready = spine_bucket and feature_bucket
+    unioned = unioned.withColumn(_PART, F.lit(0)) if ready else cut_busy_buckets(unioned, key_cols, _BKT, _T)
+    ranges = [*key_cols, _BKT, _PART]
+    w1 = (Window.partitionBy(*ranges).orderBy(F.col(_T), F.col(_SIDE), F.col(_PAYLOAD))  # equal times: the greatest row
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = (unioned.withColumn("__dw_local", F.last(_PAYLOAD, ignorenulls=True).over(w1))
              .where(F.col(_SIDE) == 1)
-             .select(*key_cols, _BKT, "__dw_row", "__dw_local"))
-
-    # Level 2: per (key, bucket) last feature (partial aggregation, small), carried across buckets.
-    bucket_last = (feat.groupBy(*key_cols, _BKT)
-                   .agg(F.max_by(_PAYLOAD, F.struct(_T, _PAYLOAD)).alias(_PAYLOAD))
-                   .withColumn(_SIDE, F.lit(1)))
-    spine_buckets = (sp.where(~lost).select(*key_cols, _BKT).distinct()
-                     .withColumn(_SIDE, F.lit(0))
-                     .withColumn(_PAYLOAD, F.lit(None).cast(feat.schema[_PAYLOAD].dataType)))
-    w2 = (Window.partitionBy(*key_cols).orderBy(F.col(_BKT), F.col(_SIDE))
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    carry = (bucket_last.unionByName(spine_buckets)
-             .withColumn("__dw_carry", F.last(_PAYLOAD, ignorenulls=True).over(w2))
-             .where(F.col(_SIDE) == 0)
-             .select(*key_cols, _BKT, "__dw_carry"))
+             .select(*ranges, "__dw_row", "__dw_local"))
+
+    # Level 2: last feature of each range (partial aggregation, small), carried to the later ranges of the key.
+    w2 = Window.partitionBy(*key_cols).orderBy(_BKT, _PART).rowsBetween(Window.unboundedPreceding, -1)
+    known = F.col(_T).isNotNull()
+    for k in key_cols:
+        known = known & F.col(k).isNotNull()
+    newest = F.max_by(_PAYLOAD, F.when(F.col(_SIDE) == 0, F.struct(_T, _PAYLOAD)))
+    carry = (unioned.where(known).groupBy(*ranges).agg(newest.alias(_PAYLOAD))
+             .withColumn("__dw_carry", F.last(_PAYLOAD, ignorenulls=True).over(w2)).where(F.col("__dw_carry").isNotNull())
+             .select(*ranges, "__dw_carry"))
 
-    joined = local.join(carry, on=[*key_cols, _BKT], how="left")
+    joined = local.join(carry, on=ranges, how="left")
     best = F.coalesce(F.col("__dw_local"), F.col("__dw_carry"))
     return joined.select(*[F.col("__dw_row")[c].alias(c) for c in spine_cols],
                          *[best[o].alias(o) for o in out_names])
