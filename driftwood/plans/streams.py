@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
-from ..sources.feature_store import FeatureStore
+from ..session import new_table_path
 from ..streaming.monitor import stream_profile as run_stream_profile
-from ..streaming.publish import publish_stream
+from ..streaming.publish import publish_stream_to, read_published
 from .registry import Tables, query
 
 
@@ -23,9 +21,9 @@ FROM events GROUP BY user_id
 def publish_latest(spark, sf_dir):
     """Triggered publish: stream the events into a serving table holding the latest row per user."""
     src_dir, glob, schema = _events_source(spark, sf_dir)
-    table = f"online_user_latest_{uuid.uuid4().hex[:8]}"
-    out = publish_stream(spark, src_dir, glob, schema, ["user_id"], "ts", table, FeatureStore(spark))
-    return out.select("user_id", "ts", "event_type", "value")
+    path = new_table_path(spark, "serving_user_latest")
+    publish_stream_to(spark, src_dir, glob, schema, ["user_id"], "ts", path, f"{path}-checkpoint", buckets=16)
+    return read_published(spark, path).select("user_id", "ts", "event_type", "value")
 
 
 @query("stream_profile", """
