@@ -11,9 +11,11 @@ then read by what the trees have learned.
 
 Decoding is hierarchical: the accepted elements are those with the largest sum of log-odds, where an element can be
 accepted only if none above it is rejected; a rejected element is opened, at the cost of its log-odds, when what is
-accepted below outweighs it. Elements that the page itself marks as main text (``labels``) count as accepted.
+accepted below outweighs it. Parts that the page itself names (``labels``) are decided by their names: article and main are
+accepted, navigation, headers, footers, asides, forms, notices, adverts and comments rejected with all below them. On such pages
+the trees decide only what lies outside the named parts; on pages that name nothing they decide all.
 
-Defined results: null html is empty; a page without main text gives an empty text; repeated pages are
+Defined results: null html is empty; very long pages take time in proportion to their length, whatever is left open; a page without main text gives an empty text; repeated pages are
 treated alike; a page that is one text without tags is one block; an empty table gives an empty result.
 """
 
@@ -31,10 +33,12 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, hash_share
 
-SAMPLE_PAGES, TREES, DEPTH, BINS, RATE = 400, 24, 4, 16, 0.3
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|textarea)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
-                    r"|<[!?][^>]*>|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-                    r"|(?P<text>[^<]+|<)", re.S | re.I)
+SAMPLE_PAGES, ELEMENTS, TREES, DEPTH, BINS, RATE = 400, 30, 24, 4, 16, 0.3
+#: A tag whose quoted values hold no angle brackets; others are read quote by quote in ``_tokens``.
+_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^<>\"']*(?:(?:\"[^\"<>]*\"|'[^'<>]*')[^<>\"']*)*)>")
+_NAME = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+_MARK = re.compile(r"[<>\"']")
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in ("script", "style", "textarea")}
 _ATTR = re.compile(r"([^\s\"'=/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?|\"[^\"]*\"|'[^']*'")
 #: Fixed values of HTML: empty elements, elements that make a block of their own, and what ends an open paragraph or item.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -50,6 +54,79 @@ OTHER = frozenset("nav header footer aside form dialog menu button".split())
 OTHER_WORDS = frozenset("ad ads advert advertisement banner breadcrumb comment comments cookie cookies consent footer header menu "
                         "nav navbar navigation newsletter notice popup promo related share sidebar social sponsor sponsored "
                         "subscribe widget".split())
+#: Attribute tokens that tell of a layout: such an element, or a form, may stand around a whole page.
+AROUND = frozenset("banner header footer menu nav navbar navigation sidebar widget".split())
+
+
+def _tokens(page: str) -> Iterator[tuple[str, str, str, str]]:
+    """Texts as ("", "", "", text) and tags as (slash, name, attributes, ""), in one pass forward: what was looked at is consumed, so
+    time is in proportion to the page whatever is left open in it.
+
+    Comments, declarations and the contents of script, style and textarea are left out, to the end of the page if need be. A tag
+    that is never closed ends before the next tag; what looks like a tag up to the end of the page is text.
+    """
+    at, size = 0, len(page)
+    last = {c: page.rfind(c) for c in ">\"'"}
+    while at < size:
+        start = page.find("<", at)
+        if start != at:
+            yield "", "", "", page[at:start if start >= 0 else size]
+            if start < 0:
+                return
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 4)
+            at = end + 3 if end >= 0 else size
+            continue
+        if page.startswith(("<!", "<?"), start) and start < last[">"]:
+            at = page.find(">", start) + 1
+            continue
+        m = _TAG.match(page, start)
+        if m:
+            slash, name, attrs = m.groups()
+            at = m.end()
+        else:
+            m = _NAME.match(page, start)
+            if not m:
+                yield "", "", "", "<"
+                at = start + 1
+                continue
+            slash, name = m.groups()
+            p = m.end()
+            while True:
+                mark = _MARK.search(page, p)
+                if mark is None:
+                    yield "", "", "", page[start:]
+                    return
+                p, c = mark.start(), mark.group()
+                if c in "<>":
+                    break
+                p = page.find(c, p + 1) + 1 if p < last[c] and page[m.end():p].rstrip().endswith("=") else p + 1
+            attrs, at = page[m.end():p], p + (c == ">")
+        yield slash, name, attrs, ""
+        if not slash and name.lower() in _RAW_END and (not attrs or attrs[0] in " \t\n\r\f\x0b/"):
+            end = _RAW_END[name.lower()].search(page, at)
+            at = page.find(">", end.end()) + 1 or size if end else size
+
+
+class _Open:
+    """Open elements from the root down, with the places of each tag among them."""
+
+    def __init__(self):
+        self.nodes, self.tags, self.places = [0], [""], {}
+
+    def push(self, node: int, tag: str) -> None:
+        self.places.setdefault(tag, []).append(len(self.nodes))
+        self.nodes.append(node)
+        self.tags.append(tag)
+
+    def cut(self, place: int) -> None:
+        while len(self.nodes) > place:
+            self.nodes.pop()
+            self.places[self.tags.pop()].pop()
+
+    def last(self, *tags: str) -> int:
+        """Deepest place of any of these tags, or 0."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
 
 
 class Node:
@@ -68,70 +145,64 @@ def parse(page: str | None) -> tuple[list[Node], list[tuple[int, str]]]:
     UNSEEN elements leave neither nodes nor texts.
     """
     nodes, texts = [Node("", [], -1, 0, 0, False)], []
-    open_, links, unseen = [0], 0, False
-    for m in _TOKEN.finditer(page or ""):
-        tag = m["tag"]
-        if m["text"] is not None:
-            texts.append((open_[-1], m["text"]))
-            nodes[open_[-1]].chars += len(m["text"])
-            nodes[open_[-1]].links += len(m["text"]) if links > 0 else 0
-            continue
-        if tag is None:
+    open_, links, unseen = _Open(), 0, False
+    for slash, tag, attrs, text in _tokens(page or ""):
+        if not tag:
+            here = open_.nodes[-1]
+            texts.append((here, text))
+            nodes[here].chars += len(text)
+            nodes[here].links += len(text) if links > 0 else 0
             continue
         tag = tag.lower()
+        if tag in _RAW_END:
+            continue
         if tag in INLINE:
             if tag == "a":
-                links = max(0, links + (-1 if m["close"] else 1))
+                links = max(0, links + (-1 if slash else 1))
             continue
         if tag in VOID:
-            texts.append((open_[-1], " "))
+            texts.append((open_.nodes[-1], " "))
             continue
-        if m["close"]:
-            at = next((i for i in range(len(open_) - 1, 0, -1) if nodes[open_[i]].tag == tag), None)
-            if at is not None:
+        if slash:
+            at = open_.last(tag)
+            if at:
                 if tag in UNSEEN:
-                    nodes[open_[at]].unseen = unseen = True
-                del open_[at:]
+                    nodes[open_.nodes[at]].unseen = unseen = True
+                open_.cut(at)
             links = 0
             if tag not in UNSEEN:
-                texts.append((open_[-1], ""))
+                texts.append((open_.nodes[-1], ""))
             continue
         # a new block ends an open paragraph, a new item the item before it in its list
-        t = [nodes[i].tag for i in open_]
-        if "select" in t and tag not in ("option", "optgroup", "template"):  # a block ends an open select
-            del open_[t.index("select"):]
-            t = t[:len(open_)]
-        cut = len(t) - 1 - t[::-1].index("p") if "p" in t else None
-        if cut is not None and tag not in UNSEEN and UNSEEN.isdisjoint(t[cut:]):
-            del open_[cut:]
+        in_select = open_.last("select") > 0
+        if in_select and tag not in ("option", "optgroup", "template"):  # a block ends an open select
+            open_.cut(open_.places["select"][0])
+        cut = open_.last("p")
+        if cut and tag not in UNSEEN and open_.last(*UNSEEN) < cut:
+            open_.cut(cut)
         elif tag in ITEMS:
-            t = [nodes[i].tag for i in open_]
-            stop = ITEMS[tag].split()
-            for k in range(len(t) - 1, 0, -1):
-                if t[k] in stop:
-                    break
-                if t[k] == tag or tag in ("dt", "dd") and t[k] in ("dt", "dd") or tag in ("td", "th") and t[k] in ("td", "th"):
-                    del open_[k:]
-                    break
+            same = open_.last(*(("dt", "dd") if tag in ("dt", "dd") else ("td", "th") if tag in ("td", "th") else (tag,)))
+            if same > open_.last(*ITEMS[tag].split()):
+                open_.cut(same)
         words, hidden = [], False
-        for name, a, b, c in _ATTR.findall(m["attrs"]) if m["attrs"] else ():
+        for name, a, b, c in _ATTR.findall(attrs) if attrs else ():
             value, name = (a or b or c).lower(), name.lower()
             hidden |= (name == "hidden" or name == "aria-hidden" and value.strip() == "true"
                        or name == "style" and "display:none" in value.replace(" ", ""))
             if name in ("class", "id", "role"):
                 words += re.findall(r"[a-z]+", value)
-        up = nodes[open_[-1]]
-        nodes.append(Node(tag, words, open_[-1], up.depth + 1, up.children, hidden))
+        up = nodes[open_.nodes[-1]]
+        nodes.append(Node(tag, words, open_.nodes[-1], up.depth + 1, up.children, hidden))
         up.children += 1
         links = 0
-        if tag == "option" and "select" in t:
+        if tag == "option" and in_select:
             nodes[-1].unseen = unseen = True
-        if not m["attrs"].endswith("/"):
-            open_.append(len(nodes) - 1)
+        if not attrs.endswith("/"):
+            open_.push(len(nodes) - 1, tag)
         elif tag in UNSEEN:
             nodes[-1].unseen = unseen = True
             continue
-        texts.append((open_[-1], ""))
+        texts.append((open_.nodes[-1], ""))
     return _seen(nodes, texts) if unseen else (nodes, texts)
 
 
@@ -150,14 +221,15 @@ def _seen(nodes: list[Node], texts: list[tuple[int, str]]) -> tuple[list[Node],
     return out, [(int(new[at]), text) for at, text in texts if new[at] >= 0]
 
 
-def features(nodes: list[Node]) -> np.ndarray:
-    """One row for each element."""
+def features(nodes: list[Node], named: bool = True) -> np.ndarray:
+    """One row for each element; without names the landmarks and paragraphs are plain divisions and have no attribute tokens."""
     own = np.zeros((len(nodes), 10), np.float32)
     total = np.array([[n.chars, n.links, 1] for n in nodes], np.float64)
     for i in range(len(nodes) - 1, 0, -1):  # children come after their parents
         total[nodes[i].parent] += total[i]
     for i, n in enumerate(nodes):
-        own[i] = (_code(n.tag), _code(n.words[0]) if n.words else -1, _code(n.words[-1]) if n.words else -1,
+        tag, words = (n.tag, n.words) if named else ("div" if n.tag in MAIN or n.tag in OTHER or n.tag == "p" else n.tag, ())
+        own[i] = (_code(tag), _code(words[0]) if words else -1, _code(words[-1]) if words else -1,
                   n.depth, np.log1p(total[i, 0]), total[i, 1] / max(total[i, 0], 1), np.log1p(total[i, 2]),
                   total[i, 0] / total[i, 2], n.place, n.children)
     up = np.array([max(n.parent, 0) for n in nodes])
@@ -176,14 +248,32 @@ _CODED = np.array([0, 1, 2, 10, 11, 12])
 
 
 def labels(nodes: list[Node]) -> np.ndarray:
-    """1 inside article or main, -1 inside other named parts, 0 unknown; the nearest named ancestor decides."""
+    """1 inside article or main, -1 inside other named parts, 0 unknown; the nearest named ancestor decides.
+
+    What is inside another named part stays there, an article too (a comment, a teaser), but where the page has no article or main
+    elsewhere and nothing but a form or AROUND stands around it: then it is main text.
+    """
+    away = np.zeros(len(nodes), np.int8)  # 1 a part that may be around main text, 2 another named part
+    for i, n in enumerate(nodes):
+        said = OTHER_WORDS.intersection(n.words) if n.words and n.tag not in ("html", "body") else ()
+        if n.tag in HEAD or n.hidden or n.tag in OTHER and n.tag != "form" or not AROUND.issuperset(said):
+            away[i] = 2
+        elif n.tag in OTHER or said:
+            away[i] = 1
+    above = np.zeros(len(nodes), np.int8)  # the worst of an element and those above it
+    for i, n in enumerate(nodes):
+        above[i] = max(away[i], above[n.parent]) if i else away[i]
+    mains = [i for i, n in enumerate(nodes) if n.tag in MAIN and not away[i]]
+    elsewhere = any(above[i] == 0 for i in mains)
     out = np.zeros(len(nodes), np.int8)
     for i, n in enumerate(nodes):
         up = out[n.parent] if i else 0
-        if n.tag in OTHER or n.tag in HEAD or n.hidden or any(w in OTHER_WORDS for w in n.words):
+        if away[i]:
             out[i] = -1
+        elif n.tag in MAIN and (up >= 0 or not elsewhere and above[i] < 2):
+            out[i] = 1
         else:
-            out[i] = 1 if n.tag in MAIN and up >= 0 else up
+            out[i] = up
     return out
 
 
@@ -252,21 +342,38 @@ _SPACE = re.compile(r"\s+")
 MARKED = 1.0
 
 
-def decode(nodes: list[Node], texts: list[tuple[int, str]], odds: np.ndarray) -> str:
-    """Blocks of accepted elements in page order."""
-    odds = np.where(labels(nodes) > 0, np.maximum(odds, MARKED), odds)
+def choose(nodes: list[Node], odds: np.ndarray) -> np.ndarray:
+    """1 for accepted elements, 0 for opened ones (rejected, but something below is accepted), -1 for rejected with all below.
+
+    Of all choices in which nothing is accepted or opened below a rejected element, the one with the largest sum of log-odds over
+    accepted and opened elements; the root, html and body are open. Named parts go first: elements marked as main text
+    are accepted, other named parts rejected, and opened only around an article or main that counts.
+    """
+    named = labels(nodes)
+    odds = np.where(named > 0, np.maximum(odds, MARKED), odds)
+    around = named > 0
+    for i in range(len(nodes) - 1, 0, -1):
+        around[nodes[i].parent] |= around[i]
     total = odds.copy()  # of the best choice in the subtree
     for i in range(len(nodes) - 1, 0, -1):
-        if total[i] > 0 and nodes[i].tag not in HEAD and not nodes[i].hidden:
+        if total[i] > 0 and named[i] >= 0:
             total[nodes[i].parent] += total[i]
-    state = np.zeros(len(nodes), np.int8)  # 1 accepted, 0 opened, -1 rejected with all below
+    state = np.zeros(len(nodes), np.int8)
     for i, n in enumerate(nodes):
-        if i and state[n.parent] < 0 or n.tag in HEAD or n.hidden:
+        if i and state[n.parent] < 0:
             state[i] = -1
+        elif named[i] < 0:
+            state[i] = 0 if around[i] and i else -1
         elif odds[i] > 0:
             state[i] = 1
         else:
-            state[i] = 0 if i == 0 or n.tag in ("html", "body") or total[i] > 0 else -1
+            state[i] = 0 if i == 0 or n.tag in ("html", "body") or around[i] or total[i] > 0 else -1
+    return state
+
+
+def decode(nodes: list[Node], texts: list[tuple[int, str]], odds: np.ndarray) -> str:
+    """Blocks of accepted elements in page order."""
+    state = choose(nodes, odds)
     blocks, parts, last = [], [], None
 
     def close():
@@ -292,14 +399,16 @@ def _samples(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             nodes, _ = parse(page)
             y = labels(nodes)
             keep = np.flatnonzero(y) if (y > 0).any() else np.empty(0, int)
-            keep = keep[np.unique(np.linspace(0, len(keep) - 1, 60).astype(int))] if len(keep) > 60 else keep
-            xs.append(features(nodes)[keep].astype(np.float32).tobytes())
-            ys.append(y[keep].tobytes())
+            keep = keep[np.unique(np.linspace(0, len(keep) - 1, ELEMENTS).astype(int))] if len(keep) > ELEMENTS else keep
+            for named in (True, False):
+                xs.append(features(nodes, named)[keep].astype(np.float32).tobytes())
+                ys.append(y[keep].tobytes())
         yield pd.DataFrame({"x": xs, "y": ys})
 
 
 def train(pages: DataFrame, html_col: str = "html", key_col: str = "page_id", sample_pages: int = SAMPLE_PAGES) -> Trees | None:
-    """Trees from at most about ``sample_pages`` pages, chosen by hash, and 60 elements of each."""
+    """Trees from at most about ``sample_pages`` pages, chosen by hash, and ELEMENTS elements of each, once as they
+    are and once without their names: so the trees learn from density and place as well, for pages that name nothing."""
     n = pages.count()
     if not n:
         return None
