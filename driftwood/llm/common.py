@@ -114,14 +114,22 @@ def hash_share(key: Column, seed: int) -> Column:
     return (F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 30)) / F.lit(1 << 30)).cast("double")
 
 
+#: Labels up to which their counts are broadcast.
+MOST_LABELS = 10_000
+
+
 def bounded_sample(df: DataFrame, label: str, key: str, per_label: int, seed: int = 11) -> DataFrame:
     """At most ``per_label`` rows of each label, chosen by a hash of the key, spread over the whole table.
 
     The share kept is set per label from its count, so the final ranking only sees about
-    ``2 * per_label`` rows of a label however many it has.
+    ``2 * per_label`` rows of a label however many it has: the counts, a row a label, are broadcast where there are at most
+    MOST_LABELS (checked), and no row moves before the share is taken. Rows without a label are left out.
     """
     share = hash_share(F.col(key), seed)
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
+    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
+    few = counts.limit(MOST_LABELS + 1).collect()
+    if len(few) <= MOST_LABELS:
+        counts = F.broadcast(df.sparkSession.createDataFrame(few, counts.schema))
     near = (df.join(counts, label)
             .where(share < F.lit(2.0 * per_label) / F.col("__n"))
             .withColumn("__share", share))
