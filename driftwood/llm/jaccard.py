@@ -9,7 +9,7 @@ texts that share a few lines with others end here.
 1. Within a list the smallest node is asked first: its answers are computed against the full sets, a star in place of pairs. A set
    that links with it takes it as its leader and remembers its slack, the number of its shingles that the leader lacks.
 2. The entries of a list with one leader are a block with ranges of size and position, and blocks skip each other as wholes: by
-   size, by the shingles left after the position, or because their sets are already in one component. What remains
+   size, or by the shingles left after the position. What remains
    is a pair of leaders, whose overlap is computed once, whatever the lists and members that meet there.
 3. A member's overlap with a member of another leader is at most that of their leaders plus both slacks. Where this falls short,
    all members are answered at once. The others are compared in blocks, each overlap derived from the leader's
@@ -194,11 +194,11 @@ def _overlaps(k: int):
 
 def _meeting_leaders(percent: int):
     """Tiles of lists, one row a block of entries with one leader -> pairs of leaders whose members may be linked."""
-    columns = ["least_n", "most_n", "left", "component", "leader", "own"]
+    columns = ["least_n", "most_n", "left", "leader", "own"]
 
     def meet(rows: pd.DataFrame, ends: np.ndarray) -> Iterator[pd.DataFrame]:
         """Pairs of rows of one tile; ``ends``: for each row, where its tile ends. Some millions of pairs at a time."""
-        low, high, left, group, leader, own = (rows[c].to_numpy() for c in columns)
+        low, high, left, leader, own = (rows[c].to_numpy() for c in columns)
         diagonal = (rows["i"] == rows["j"]).to_numpy()
         after = ends - np.arange(len(rows)) - 1
         total = np.cumsum(after)
@@ -208,7 +208,7 @@ def _meeting_leaders(percent: int):
             many = after[start:stop]
             x = np.repeat(np.arange(start, stop), many)
             y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(many) - many, many)
-            ok = (group[x] != group[y]) & (diagonal[x] | (own[x] != own[y]))
+            ok = diagonal[x] | (own[x] != own[y])
             x, y = x[ok], y[ok]
             ok = (100 * high[x] >= percent * low[y]) & (100 * high[y] >= percent * low[x])
             ok &= np.minimum(left[x], left[y]) >= _needed(low[x], low[y], percent)
@@ -307,19 +307,21 @@ def _frequent_order(base: DataFrame, k: int):
 
 
 def _pruned(nodes: DataFrame, percent: int) -> DataFrame:
-    """code, node, n, pos: index entries of the sets that can have a link, of codes that two of them share."""
+    """code, node, n, pos: index entries of the sets that can have a link, of codes that two of them share.
+
+    ``nodes``, the largest table of all, is deleted as soon as it has been read.
+    """
     entries = nodes.select("node", "n", F.posexplode("head").alias("pos", "code"))
     shared = entries.groupBy("code").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("code")
     left = materialize(entries.join(shared.hint("merge"), "code"), "jj-shared")
-    for _ in range(2):  # sets that fall out take others with them
-        able = left.groupBy("node").agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n")).where(
-            F.col("c") >= _least_shared(F.col("n"), percent)).select("node")
-        stay = left.join(able.hint("merge"), "node")
-        shared = stay.groupBy("code").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("code")
-        nxt = materialize(stay.join(shared.hint("merge"), "code"), "jj-left")
-        release(left)
-        left = nxt
-    return left
+    release(nodes)
+    able = left.groupBy("node").agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n")).where(
+        F.col("c") >= _least_shared(F.col("n"), percent)).select("node")
+    stay = left.join(able.hint("merge"), "node")  # sets that fall out take codes with them
+    shared = stay.groupBy("code").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("code")
+    out = materialize(stay.join(shared.hint("merge"), "code"), "jj-left")
+    release(left)
+    return out
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
@@ -328,13 +330,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     bounded_batches(spark)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("tid", F.xxhash64("text"))
     often = _frequent_order(base, k)
-    sketched = materialize(base.mapInPandas(_sketches(k, percent, often),
-                                            "doc_id long, tid long, n long, hi long, lo long, head array<long>"), "jj-sketch")
-    nodes = materialize(sketched.where("n > 0 and doc_id is not null").groupBy("hi", "lo", "n")
-                        .agg(F.min(F.struct("doc_id", "tid")).alias("first"), F.first("head", ignorenulls=True).alias("head"))
-                        .select(F.xxhash64("hi", "lo", "n").alias("node"), "n", "first.doc_id", "first.tid", "head"), "jj-nodes")
-    sketched = sketched.drop("head")
-    index = _pruned(nodes, percent)
+    heads = materialize(base.mapInPandas(_sketches(k, percent, often),
+                                         "doc_id long, tid long, n long, hi long, lo long, head array<long>"), "jj-heads")
+    sketched = materialize(heads.drop("head"), "jj-sketch")
+    full = materialize(heads.where("n > 0 and doc_id is not null").groupBy("hi", "lo", "n")
+                       .agg(F.min(F.struct("doc_id", "tid")).alias("first"), F.first("head", ignorenulls=True).alias("head"))
+                       .select(F.xxhash64("hi", "lo", "n").alias("node"), "n", "first.doc_id", "first.tid", "head"), "jj-full")
+    nodes = materialize(full.drop("head"), "jj-nodes")
+    release(heads)
+    index = _pruned(full, percent)
     index = index.where(F.col("pos") < F.col("n") - F.ceil(F.col("n") * percent / 100.0) + 1)
     wanted = nodes.select("node", "n", "doc_id", "tid").join(index.select("node").distinct().hint("merge"), "node", "left_semi")
     # a null text has no shingles, so nodes always have one; a null id has no node
@@ -353,23 +357,18 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
              .where(F.least("n", "hub.n") * 100 >= F.greatest("n", "hub.n") * percent)
              .select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct())
     asked = overlaps(stars, "jj-stars")
-    links = asked.where(linked).select("a", "b")
-    groups = materialize(components(links, "jj-comp"), "jj-groups")
     heads = asked.where(linked).select(F.col("a").alias("node")).distinct()
     follow = (asked.where(linked).groupBy(F.col("b").alias("node"))
               .agg(F.min(F.struct("a", (F.col("n_b") - F.col("common")).alias("slack"))).alias("to"))
               .join(heads.hint("merge"), "node", "left_anti").select("node", F.col("to.a").alias("leader"), "to.slack"))
-    members = (have.select("node", "n").join(follow, "node", "left").join(groups, "node", "left")
-               .select("node", "n", F.coalesce("leader", "node").alias("leader"), F.coalesce("slack", F.lit(0)).alias("slack"),
-                       F.coalesce("component", "node").alias("component")))
-    members = materialize(members, "jj-members")
+    members = materialize(have.select("node", "n").join(follow, "node", "left").select(
+        "node", "n", F.coalesce("leader", "node").alias("leader"), F.coalesce("slack", F.lit(0)).alias("slack")), "jj-members")
 
-    # 2. blocks of the lists that hold more than one component; their leaders' overlaps
+    # 2. blocks of the lists that hold more than one leader; the leaders' overlaps
     marked = index.join(members.drop("n"), "node")
-    mixed = (marked.groupBy("code").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("code"))
+    mixed = marked.groupBy("code").agg(F.min("leader").alias("x"), F.max("leader").alias("y")).where("x < y").select("code")
     blocks = (marked.join(mixed.hint("merge"), "code").groupBy("code", "leader")
-              .agg(F.min("n").alias("least_n"), F.max("n").alias("most_n"), F.max(F.col("n") - F.col("pos")).alias("left"),
-                   F.first("component").alias("component")))
+              .agg(F.min("n").alias("least_n"), F.max("n").alias("most_n"), F.max(F.col("n") - F.col("pos")).alias("left")))
     meet = (_tiled(materialize(blocks, "jj-blocks"), "code", "leader").repartition("code", "i", "j").sortWithinPartitions("code", "i", "j")
             .mapInPandas(_meeting_leaders(percent), "a long, b long").distinct())
     known = asked.select("a", "b")
@@ -380,7 +379,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     groups = materialize(components(links, "jj-comp"), "jj-groups")
 
     # 3. pairs of leaders whose members may still be linked: derived overlaps, block against block
-    now = members.drop("component").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    now = members.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     now = materialize(now, "jj-now")
     teams = now.groupBy("leader").agg(F.max("slack").alias("slack"), F.min("n").alias("least"), F.count(F.lit(1)).alias("size"),
                                       F.first("component").alias("component"))
