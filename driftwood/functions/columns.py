@@ -82,6 +82,12 @@ def label_map(c: Column | str, mapping: Mapping[str, int]) -> Column:
     return out.cast("int")
 
 
+def unmapped(df: DataFrame, col: str, mapping: Mapping[str, int]) -> DataFrame:
+    """(value, n) of the non-NULL labels that ``label_map`` turns to NULL."""
+    return (df.where(F.col(col).isNotNull() & ~F.col(col).isin(*mapping)).groupBy(F.col(col).alias("value"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
 def parse_timestamp(c: Column | str, fmt: str = "MM/dd/yyyy") -> Column:
     """Zone-less timestamp from text; independent of the session time zone."""
     return F.to_timestamp_ntz(F.col(c) if isinstance(c, str) else c, F.lit(fmt))

@@ -115,4 +115,5 @@ def score_batch(model, spec: FeatureSpec, df: DataFrame, prediction_col: str = "
     enriched = spec.apply(df)
     if hasattr(model, "score"):
         return model.score(enriched, prediction_col)
-    return model.transform(enriched)
+    scored = model.transform(enriched)
+    return scored if prediction_col == "prediction" else scored.withColumnRenamed("prediction", prediction_col)

@@ -5,7 +5,7 @@ feature pair and with the target, means, ``var_pop`` of the target, count) - mer
 numerically stable sums, p*p numbers per group. A batched numpy pseudo-inverse then solves
 each group's small system inside ``mapInPandas`` (no extra shuffle, never on the driver).
 Models stay a table (group, intercept, coef[], feature_names[], metrics); scoring is a join
-plus a native dot product (``zip_with`` + ``aggregate``), inside whole-stage codegen.
+plus a flat native sum, inside whole-stage codegen.
 """
 
 from __future__ import annotations
@@ -143,24 +143,32 @@ def fit_grouped_ols(df: DataFrame, group_cols: Sequence[str], features: Sequence
     return stats.mapInPandas(solve_batches, out_schema)
 
 
-def linear_dot(coef: Column, feature_names: Column, features: Sequence[str]) -> Column:
-    """intercept-free dot product of a coef array with the row's values picked by name."""
-    values = F.map_from_arrays(F.array(*[F.lit(f) for f in features]),
-                               F.array(*[F.col(f).cast("double") for f in features]))
-    picked = F.transform(feature_names, lambda n: F.element_at(values, n))
-    return F.aggregate(F.zip_with(coef, picked, lambda c, x: c * x), F.lit(0.0), lambda acc, v: acc + v)
-
-
 def score_grouped(df: DataFrame, models: DataFrame, group_cols: Sequence[str], features: Sequence[str],
-                  output: str = "prediction") -> DataFrame:
-    """Per-key model lookup (equi-join on the group) and native dot product.
-    Rows whose group has no model get NULL; list them with ``missing_models``."""
-    g = list(group_cols)
-    m = models.select(*g, F.col("intercept").alias("__dw_b0"), F.col("coef").alias("__dw_coef"),
-                      F.col("feature_names").alias("__dw_fn"))
+                  output: str = "prediction", strict: bool = False) -> DataFrame:
+    """Per-key model lookup (equi-join on the group) and a flat sum over the features, inside code generation.
+
+    Coefficients are put in the order of ``features`` once a model, before the join. Rows whose group has no model get
+    NULL (list them with ``missing_models``), as do rows that lack a feature of their model, and models with a feature that is not
+    in ``features``. ``strict`` raises an error from the task instead, naming the key.
+    """
+    g, features = list(group_cols), list(features)
+    coef = [F.get("coef", F.array_position("feature_names", F.lit(f)).cast("int") - 1).alias(f"__dw_c{i}") for i, f in enumerate(features)]
+    other = F.size(F.array_except("feature_names", F.array(*[F.lit(f) for f in features]))) > 0
+    m = models.select(*g, F.col("intercept").alias("__dw_b0"), other.alias("__dw_other"), *coef)
     j = df.join(m, on=g, how="left")
-    pred = F.col("__dw_b0") + linear_dot(F.col("__dw_coef"), F.col("__dw_fn"), features)
-    return j.withColumn(output, pred).drop("__dw_b0", "__dw_coef", "__dw_fn")
+    total, lacks = F.col("__dw_b0"), F.lit(False)
+    for i, f in enumerate(features):
+        c, x = F.col(f"__dw_c{i}"), F.col(f).cast("double")
+        total = total + F.when(c.isNull(), 0.0).otherwise(c * x)
+        lacks = lacks | (c.isNotNull() & (x.isNull() | F.isnan(x)))
+    if strict:
+        key = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in g])
+        stop = lambda why: F.raise_error(F.concat(F.lit(f"{why} "), key)).cast("double")
+        pred = (F.when(F.col("__dw_b0").isNull(), stop("no model for")).when(F.col("__dw_other"), stop("unknown model feature for"))
+                .when(lacks, stop("missing feature for")).otherwise(total))
+    else:
+        pred = F.when(~F.col("__dw_other"), total)
+    return j.withColumn(output, pred).drop("__dw_b0", "__dw_other", *[f"__dw_c{i}" for i in range(len(features))])
 
 
 def missing_models(df: DataFrame, models: DataFrame, group_cols: Sequence[str]) -> DataFrame:

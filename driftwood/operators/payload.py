@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,3 +94,24 @@ def decode_inputs(df: DataFrame, payload_col: str, schema: T.StructType, keep: S
     p = df.select(*keep, F.from_json(payload_col, js)["inputs"].alias("p"))
     zipped = F.arrays_zip(*[F.col("p")[f.name].alias(f.name) for f in schema.fields])
     return p.select(*keep, F.inline(zipped))
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """A stored log of requests, a JSON text a line: ``request`` as VARIANT (NULL where the line is no JSON) and the line itself."""
+    return spark.read.text(path).select(F.col("value").alias("line"), F.try_parse_json("value").alias("request"))
+
+
+def decode_log(log: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows of the ``dataframe_split`` requests of a log, picked by column name and cast; a value that cannot be cast is NULL.
+    Lines that are no JSON or no such request give no rows: count them with ``malformed``."""
+    at = lambda path, kind: F.try_variant_get("request", f"$.dataframe_split.{path}", kind)
+    p = log.select(at("columns", "array<string>").alias("cols"), F.posexplode(at("data", "array<array<string>>")).alias("pos", "row"))
+    out = [F.expr(f"try_cast(get(row, cast(array_position(cols, '{f.name}') as int) - 1) as {f.dataType.simpleString()})").alias(f.name)
+           for f in schema.fields]
+    return p.select(*out)
+
+
+def malformed(log: DataFrame) -> DataFrame:
+    """Lines of a log that hold no ``dataframe_split`` request with columns and data."""
+    part = lambda path, kind: F.try_variant_get("request", f"$.dataframe_split.{path}", kind)
+    return log.where(part("columns", "array<string>").isNull() | part("data", "array<array<string>>").isNull()).select("line")

@@ -2,7 +2,7 @@
 
 Fitted state (medians, means, deviations, modes) is a one-row DataFrame joined back with a
 broadcast cross join - its size is one row by construction. Category vocabularies are
-fitted like MLlib's StringIndexer (distinct values of one column).
+distinct values of one column: a list for an encoder that makes a column each, a table for sparse vectors.
 """
 
 from __future__ import annotations
@@ -120,9 +120,45 @@ def standard_scale(df: DataFrame, stats: DataFrame, cols: Sequence[str]) -> Data
 
 # -- one-hot ----------------------------------------------------------------------------------
 
-def fit_vocabulary(df: DataFrame, col: str) -> list[str]:
-    """Sorted distinct non-NULL categories (the encoder's fitted state; one value per output column)."""
-    return sorted(r[0] for r in df.where(F.col(col).isNotNull()).select(col).distinct().collect())
+#: Categories up to which an encoder makes a column each.
+MOST_COLUMNS = 10_000
+
+
+def fit_vocabulary(df: DataFrame, col: str, most: int = MOST_COLUMNS) -> list[str]:
+    """Sorted distinct non-NULL categories (the encoder's fitted state; one value per output column). More than ``most``
+    are refused, before they are collected: such a column wants ``vocabulary`` and ``one_hot_sparse``."""
+    rows = df.where(F.col(col).isNotNull()).select(col).distinct().limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"{col} has more than {most} categories: use one_hot_sparse")
+    return sorted(r[0] for r in rows)
+
+
+def number_rows(df: DataFrame, order_cols: Sequence[str], name: str = "index") -> DataFrame:
+    """Adds 0, 1, 2, ... without gaps, in order of (first 12 bits of the MD5 of the columns, the columns): unique by
+    construction. Rows are ranked inside 4,096 ranges of the digest, whose sizes are prefixed on a table of as many rows."""
+    digest = F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in order_cols]))
+    d = df.withColumn("__dw_r", F.substring(digest, 1, 3))
+    before = Window.partitionBy(F.lit(0)).orderBy("__dw_r").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (d.groupBy("__dw_r").agg(F.count(F.lit(1)).alias("__dw_n"))
+              .select("__dw_r", F.coalesce(F.sum("__dw_n").over(before), F.lit(0)).alias("__dw_s")))
+    inside = Window.partitionBy("__dw_r").orderBy(*order_cols)
+    return (d.withColumn("__dw_i", F.row_number().over(inside) - 1).join(F.broadcast(starts), "__dw_r")
+            .withColumn(name, F.col("__dw_s") + F.col("__dw_i")).drop("__dw_r", "__dw_i", "__dw_s"))
+
+
+def vocabulary(df: DataFrame, col: str) -> DataFrame:
+    """(category, index) of the distinct non-NULL values of a column, as a table: any number of them."""
+    return number_rows(df.where(F.col(col).isNotNull()).select(F.col(col).alias("category")).distinct(), ["category"])
+
+
+def one_hot_sparse(df: DataFrame, col: str, vocab: DataFrame, out: str | None = None) -> DataFrame:
+    """One-hot vectors as (indices, values) arrays against a vocabulary table; unknown or NULL gives empty arrays."""
+    at = vocab.select(F.col("category").alias(col), F.col("index").alias("__dw_i"))
+    name, none = out or f"{col}_vector", F.array().cast("array<double>")
+    known = F.col("__dw_i").isNotNull()
+    pair = F.struct(F.when(known, F.array("__dw_i")).otherwise(F.array().cast("array<bigint>")).alias("indices"),
+                    F.when(known, F.array(F.lit(1.0))).otherwise(none).alias("values"))
+    return df.join(at, col, "left").withColumn(name, pair).select(*df.columns, name)
 
 
 def one_hot(df: DataFrame, col: str, vocabulary: Sequence[str], drop_input: bool = True) -> DataFrame:
@@ -166,3 +202,42 @@ def fit_preprocessor(df: DataFrame, numeric: Sequence[str], categorical: Sequenc
     filled = impute(df.select(*categorical), modes, categorical) if categorical else None
     vocab = {c: fit_vocabulary(filled, c) for c in categorical}
     return Preprocessor(numeric, categorical, medians, scale, modes, vocab)
+
+
+@dataclass
+class SparsePreprocessor:
+    """As ``Preprocessor``, with vocabularies of any size: rows become (indices, values) of their non-zero features. Numeric
+    features come first, then the categories of each column in turn (``offsets``)."""
+    numeric: list[str]
+    categorical: list[str]
+    medians: DataFrame
+    scale: DataFrame
+    modes: DataFrame | None
+    vocabs: dict[str, DataFrame]
+    offsets: dict[str, int]
+    size: int
+
+    def transform(self, df: DataFrame, out: str = "features") -> DataFrame:
+        """``df`` with imputed, scaled and encoded columns in one sparse vector; its other columns stay."""
+        d = standard_scale(impute(df, self.medians, self.numeric), self.scale, self.numeric)
+        if self.categorical:
+            d = impute(d, self.modes, self.categorical)
+        for c in self.categorical:
+            d = one_hot_sparse(d, c, self.vocabs[c], f"__dw_{c}")
+        at = [F.array(*[F.lit(i).cast("long") for i in range(len(self.numeric))])]
+        at += [F.transform(F.col(f"__dw_{c}.indices"), lambda i, o=self.offsets[c]: i + F.lit(o)) for c in self.categorical]
+        values = [F.array(*[F.col(c).cast("double") for c in self.numeric]), *[F.col(f"__dw_{c}.values") for c in self.categorical]]
+        keep = [c for c in df.columns if c not in self.numeric and c not in self.categorical]
+        return d.select(*keep, F.struct(F.lit(self.size).alias("size"), F.concat(*at).alias("indices"), F.concat(*values).alias("values")).alias(out))
+
+
+def fit_sparse_preprocessor(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> SparsePreprocessor:
+    numeric, categorical = list(numeric), list(categorical)
+    medians = median_values(df, numeric)
+    scale = scaler_stats(impute(df, medians, numeric), numeric)
+    modes = mode_values(df, categorical) if categorical else None
+    vocabs = {c: vocabulary(impute(df.select(*categorical), modes, categorical), c) for c in categorical}
+    offsets, size = {}, len(numeric)
+    for c in categorical:
+        offsets[c], size = size, size + vocabs[c].count()
+    return SparsePreprocessor(numeric, categorical, medians, scale, modes, vocabs, offsets, size)

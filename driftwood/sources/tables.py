@@ -49,6 +49,14 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     return reader.csv(path)
 
 
+def read_csv_permissive(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", header: bool = True,
+                        corrupt_col: str = "_corrupt_record") -> DataFrame:
+    """CSV scan that keeps every line: one that does not fit the schema has what could be read, and its text in ``corrupt_col``."""
+    full = T.StructType([*schema.fields, T.StructField(corrupt_col, T.StringType())])
+    return (spark.read.schema(full).option("header", header).option("sep", sep).option("nullValue", "")
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_col).csv(path))
+
+
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> str:
     """CSV sink. Complex columns (arrays, maps, structs) are serialised as JSON text first."""
     cols = []
