@@ -225,7 +225,7 @@ class SparsePreprocessor:
         for c in self.categorical:
             d = one_hot_sparse(d, c, self.vocabs[c], f"__dw_{c}")
         at = [F.array(*[F.lit(i).cast("long") for i in range(len(self.numeric))])]
-        at += [F.transform(F.col(f"__dw_{c}.indices"), lambda i, o=self.offsets[c]: i + F.lit(o)) for c in self.categorical]
+        at += [F.transform(F.col(f"__dw_{c}.indices"), lambda i: i + F.lit(self.offsets[c])) for c in self.categorical]  # noqa: B023
         values = [F.array(*[F.col(c).cast("double") for c in self.numeric]), *[F.col(f"__dw_{c}.values") for c in self.categorical]]
         keep = [c for c in df.columns if c not in self.numeric and c not in self.categorical]
         return d.select(*keep, F.struct(F.lit(self.size).alias("size"), F.concat(*at).alias("indices"), F.concat(*values).alias("values")).alias(out))
