@@ -7,11 +7,12 @@ compared, and an alignment counts when some WINDOW neighbouring tokens (all, whe
 agree in at least SHARE of the places.
 
 The benchmark's seeds are broadcast only when they are counted to be at most BROADCAST_ROWS; above that the join is
-an ordinary shuffled one.
+an ordinary shuffled one. Likewise the ids of documents with hits, written once: no other document's tokens are shuffled.
 
 Defined results: null or empty text has no tokens and no hits; items or overlaps of fewer than SPAN tokens are too
 short to count; repeated items each count; an empty benchmark leaves all documents clean; documents are told apart
-by (id, text); an empty table gives an empty result. Columns other than id and text are ignored.
+by (id, text); an empty table gives an empty result. Columns other than id and text are ignored. A very long text is held
+in one row as its tokens and SPAN shifted copies of them.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialize
+
 MASKS = ((0, 1, 2, 4, 7), (0, 1, 3, 5, 6), (0, 2, 3, 4, 6), (0, 1, 2, 3, 4))
 SPAN, WINDOW, SHARE = 8, 16, 0.6
 BROADCAST_ROWS = 200_000
@@ -44,8 +47,13 @@ def alignments(docs: DataFrame, items: DataFrame) -> DataFrame:
     n_seeds = wanted.count()
     if n_seeds <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
-    hits = (seeds(docs, ["rid"]).join(wanted, "seed")
-            .select("rid", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct())
+    hits = materialize(seeds(docs, ["rid"]).join(wanted, "seed")
+                       .select("rid", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct(), "dc-hits")
+    # only documents with a hit go on: their ids are broadcast where they are counted to be few
+    found = hits.select("rid").distinct()
+    if found.count() <= BROADCAST_ROWS:
+        found = F.broadcast(found)
+    docs = docs.join(found, "rid", "left_semi")
     pairs = (hits.join(docs.dropDuplicates(["rid"]).hint("merge"), "rid")
              .join(items.select("item_id", F.col("words").alias("item_words")), "item_id"))
     a, b = F.greatest(F.col("shift"), F.lit(0)), F.greatest(-F.col("shift"), F.lit(0))
