@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ship_package
 from .common import materialize, n_partitions
 
 
@@ -37,6 +38,7 @@ def shard_by_bytes(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_
 
     A row goes to the shard in which its middle byte lies; slot counts from 0 inside the shard.
     """
+    ship_package(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"),
                        (F.octet_length(text) + F.lit(overhead)).cast("long").alias("size"),

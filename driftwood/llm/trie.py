@@ -31,6 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ship_package
 from .common import materialize, n_partitions, release
 
 #: Turns of a sequence that one window holds.
@@ -143,6 +144,7 @@ def prefix_trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
 
     Returns conv_id (smallest member), depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256.
     """
+    ship_package(turns.sparkSession)
     turns = materialize(turns.select("conv", "pos", F.xxhash64("pos", "mark").alias("x1"),
                                      F.xxhash64("mark", F.lit("second"), "pos").alias("x2"), "words"), "trie-rebuilt")
     whole = turns.groupBy("conv").agg(F.bit_xor("x1").alias("k1"), F.bit_xor("x2").alias("k2"), F.count(F.lit(1)).alias("len"))
