@@ -26,6 +26,8 @@ PSI_FLOOR = 1e-4
 # Fixed severity bounds for the population stability index.
 PSI_MODERATE = 0.1
 PSI_SIGNIFICANT = 0.25
+# Fixed alert thresholds: p-value below, KS statistic above, Wasserstein distance at least.
+ALERT_P, ALERT_KS, ALERT_W1 = 0.05, 0.2, 0.1
 
 
 def ks_pvalue(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
@@ -152,9 +154,9 @@ def psi_severity(psi: Column) -> Column:
             .when(psi <= PSI_SIGNIFICANT, F.lit("moderate")).otherwise(F.lit("significant")))
 
 
-def drift_alerts(drift: DataFrame, p_threshold: float = 0.05, ks_threshold: float = 0.2,
-                 w1_threshold: float = 0.1, drift_type: str = "BASELINE") -> DataFrame:
-    """Newest window only, one drift type: (p < 0.05 and KS > 0.2) or W1 >= 0.1."""
+def drift_alerts(drift: DataFrame, p_threshold: float = ALERT_P, ks_threshold: float = ALERT_KS,
+                 w1_threshold: float = ALERT_W1, drift_type: str = "BASELINE") -> DataFrame:
+    """Rows of the newest window, of one drift type, that pass the thresholds: p and KS together, or W1."""
     latest = drift.where(F.col("drift_type") == drift_type).agg(F.max("window.end").alias("__dw_end"))
     d = drift.where(F.col("drift_type") == drift_type).join(F.broadcast(latest),
                                                             F.col("window.end") == F.col("__dw_end"))

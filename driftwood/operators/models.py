@@ -10,6 +10,7 @@ plus a flat native sum, inside whole-stage codegen.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -90,13 +91,14 @@ def fit_linear(df: DataFrame, features: Sequence[str], target: str) -> LinearMod
 
 
 def feature_subset(group_key: Column, features: Sequence[str], fraction: float | None, seed: int = 42) -> Column:
-    """Per group, the first max(1, int(p*fraction)) features ordered by md5(seed|group|feature)."""
+    """Each group's own part of the features: so many of them, rounded down but one at least, as ``fraction`` says, in order of
+    md5(seed|group|feature). Without a fraction every group has all."""
     names = F.array(*[F.lit(f) for f in features])
     if fraction is None:
         return names
-    if not 0 < fraction <= 1:
-        raise ValueError("fraction must be in (0, 1]")
-    k = max(1, int(len(features) * fraction))
+    if fraction <= 0 or fraction > 1:
+        raise ValueError(f"a fraction of {fraction} of the features: it must be over 0 and up to 1")
+    k = max(math.floor(fraction * len(features)), 1)
     keyed = F.transform(names, lambda n: F.struct(F.md5(F.concat_ws("|", F.lit(str(seed)), group_key.cast("string"), n)).alias("h"),
                                                   n.alias("n")))
     return F.slice(F.transform(F.array_sort(keyed), lambda s: s["n"]), 1, k)

@@ -25,30 +25,32 @@ def stratified_split(df: DataFrame, label_col: str, id_col: str, test_fraction:
                      seed: int = 42, split_col: str = "split") -> DataFrame:
     """Per label, rows ordered by md5(seed|id); the first round(test_fraction * n_label) are 'test'.
 
-    Skew-safe: a histogram of the first 16 hash bits per label (small table) locates the bucket
-    that holds each label's cut; only rows of that one bucket per label are ranked by a window.
+    A histogram of the first 16 hash bits per label (small) finds the bucket of each label's cut, and only the rows of that bucket
+    are ranked, to find the last test row. The table itself is then split in one pass against one cut a label: it is never
+    shuffled. Rows of one label and id fall on one side of the cut; rows without a label are a label of their own.
     """
     h = hash_text(seed, id_col)
     d = df.withColumn("__dw_h", h).withColumn(
         "__dw_b", F.conv(F.substring("__dw_h", 1, _HIST_HEX), 16, 10).cast("int"))
-    hist = d.groupBy(label_col, "__dw_b").agg(F.count(F.lit(1)).alias("__dw_c"))
-    w = Window.partitionBy(label_col).orderBy("__dw_b")
+    label = F.struct(F.col(label_col)).alias("__dw_l")  # a struct is never NULL, so a NULL label can be joined
+    hist = d.groupBy(label, "__dw_b").agg(F.count(F.lit(1)).alias("__dw_c"))
+    w = Window.partitionBy("__dw_l").orderBy("__dw_b")
     hist = (hist.withColumn("__dw_cum", F.sum("__dw_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-            .withColumn("__dw_n", F.sum("__dw_c").over(Window.partitionBy(label_col)))
-            .withColumn("__dw_k", F.floor(F.lit(float(test_fraction)) * F.col("__dw_n") + F.lit(0.5)))
-            .select(label_col, "__dw_b", (F.col("__dw_cum") - F.col("__dw_c")).alias("__dw_before"),
-                    "__dw_cum", "__dw_k"))
-    j = d.join(hist, on=[label_col, "__dw_b"], how="inner")
-    whole_test = F.col("__dw_cum") <= F.col("__dw_k")
-    whole_train = F.col("__dw_before") >= F.col("__dw_k")
-    easy = (j.where(whole_test | whole_train)
-            .withColumn(split_col, F.when(whole_test, F.lit("test")).otherwise(F.lit("train"))))
-    wc = Window.partitionBy(label_col, "__dw_b").orderBy("__dw_h", id_col)
-    cut = (j.where(~(whole_test | whole_train))
-           .withColumn(split_col, F.when(F.col("__dw_before") + F.row_number().over(wc) <= F.col("__dw_k"),
-                                         F.lit("test")).otherwise(F.lit("train"))))
-    cols = [*df.columns, split_col]
-    return easy.select(*cols).unionByName(cut.select(*cols))
+            .withColumn("__dw_n", F.sum("__dw_c").over(Window.partitionBy("__dw_l")))
+            .withColumn("__dw_k", F.floor(F.lit(float(test_fraction)) * F.col("__dw_n") + F.lit(0.5))))
+    before = F.col("__dw_cum") - F.col("__dw_c")
+    whole = hist.groupBy("__dw_l").agg(F.max(F.when(F.col("__dw_cum") <= F.col("__dw_k"), F.col("__dw_b"))).alias("__dw_whole"))
+    part = hist.where((before < F.col("__dw_k")) & (F.col("__dw_cum") > F.col("__dw_k"))).select(
+        "__dw_l", "__dw_b", (F.col("__dw_k") - before).alias("__dw_need"))
+    wc = Window.partitionBy("__dw_l").orderBy("__dw_h", id_col)
+    last = (d.select(label, "__dw_b", "__dw_h", id_col).join(part, ["__dw_l", "__dw_b"])
+            .withColumn("__dw_r", F.row_number().over(wc)).where(F.col("__dw_r") == F.col("__dw_need"))
+            .select("__dw_l", F.col("__dw_h").alias("__dw_last"), F.col(id_col).alias("__dw_id")))
+    cuts = whole.join(last, "__dw_l", "left")  # a row a label
+    j = d.withColumn("__dw_l", label).join(cuts, "__dw_l")
+    up_to = (F.col("__dw_h") < F.col("__dw_last")) | ((F.col("__dw_h") == F.col("__dw_last")) & (F.col(id_col) <= F.col("__dw_id")))
+    test = F.coalesce(F.col("__dw_b") <= F.col("__dw_whole"), F.lit(False)) | F.coalesce(up_to, F.lit(False))
+    return j.select(*df.columns, F.when(test, F.lit("test")).otherwise(F.lit("train")).alias(split_col))
 
 
 def random_split(df: DataFrame, id_col: str, test_fraction: float = 0.2, seed: int = 42,

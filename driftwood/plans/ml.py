@@ -62,12 +62,25 @@ def rf_score(spark, sf_dir):
     return scored.select("l_orderkey", "l_linenumber", "y", F.round("prediction", 6).alias("prediction"))
 
 
-@query("permutation_importance")
+@query("permutation_importance", """
+WITH d AS (SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id, l_quantity AS a, l_discount AS b,
+                  l_extendedprice / 1000.0 AS y FROM lineitem),
+s AS (SELECT avg(a) AS ma, avg(b) AS mb, avg(y) AS my, var_pop(a) AS caa, covar_pop(a, b) AS cab, var_pop(b) AS cbb,
+             covar_pop(a, y) AS cay, covar_pop(b, y) AS cby FROM d),
+k AS (SELECT *, (cbb * cay - cab * cby) / (caa * cbb - cab * cab) AS b1, (caa * cby - cab * cay) / (caa * cbb - cab * cab) AS b2 FROM s),
+r AS (SELECT *, row_number() OVER (ORDER BY md5('7|' || id || '|row'), id) AS rr,
+             row_number() OVER (ORDER BY md5('7|' || id || '|val'), id) AS rv FROM d),
+p AS (SELECT r.y, r.a, r.b, v.a AS pa, v.b AS pb FROM r JOIN r v ON v.rv = r.rr),
+e AS (SELECT avg(pow(y - my - b1 * (a - ma) - b2 * (b - mb), 2)) AS base_mse,
+             avg(pow(y - my - b1 * (pa - ma) - b2 * (b - mb), 2)) AS e1, avg(pow(y - my - b1 * (a - ma) - b2 * (pb - mb), 2)) AS e2 FROM p, k)
+SELECT f AS feature, round(base_mse, 6) AS base_mse, round(m, 6) AS permuted_mse, round(m - base_mse, 6) AS importance
+FROM (SELECT 'l_quantity' AS f, base_mse, e1 AS m FROM e UNION ALL SELECT 'l_discount', base_mse, e2 FROM e)
+""")
 def permutation_importance(spark, sf_dir):
     """MSE increase when one feature's values are permuted across rows (seeded, bucketed shuffle)."""
     t = Tables(spark, sf_dir)
     li = (t.lineitem.withColumn("y", F.col("l_extendedprice") / F.lit(1000.0))
-          .withColumn("row_id", F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey")))
+          .withColumn("row_id", F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")))
     feats = ["l_quantity", "l_discount"]
     model = M.fit_linear(li, feats, "y")
     base = regression_report(model.score(li, "pred"), "y", "pred").select(F.col("metric_mse").alias("base_mse"))

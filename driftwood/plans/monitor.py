@@ -243,16 +243,9 @@ WHERE window_start = (SELECT max(window_start) FROM res)
   AND ((ks_pvalue < 0.05 AND ks_statistic > 0.2) OR wasserstein_distance >= 0.1)
 """)
 def drift_alerts(spark, sf_dir):
-    """The alert query as SQL over the drift table (scalar subquery on the newest window end)."""
-    d = _drift(Tables(spark, sf_dir))
-    d.createOrReplaceTempView("dw_drift_metrics")
-    a = spark.sql("""
-        SELECT window.start AS window_start, column_name, ks_test.statistic AS ks_statistic,
-               ks_test.pvalue AS ks_pvalue, wasserstein_distance
-        FROM dw_drift_metrics
-        WHERE window.end = (SELECT MAX(window.end) FROM dw_drift_metrics WHERE drift_type = 'BASELINE')
-          AND drift_type = 'BASELINE'
-          AND ((ks_test.pvalue < 0.05 AND ks_test.statistic > 0.2) OR wasserstein_distance >= 0.1)""")
+    a = D.drift_alerts(_drift(Tables(spark, sf_dir))).select(
+        F.col("window.start").alias("window_start"), "column_name", F.col("ks_test.statistic").alias("ks_statistic"),
+        F.col("ks_test.pvalue").alias("ks_pvalue"), "wasserstein_distance")
     return a.select("window_start", "column_name", *[_r6(F.col(c)).alias(c) for c in
                                                      ("ks_statistic", "ks_pvalue", "wasserstein_distance")])
 

@@ -10,9 +10,8 @@ from .registry import Tables, query
 SEED = 42
 N_FEATURES_GROUPS = 10
 N_FEATURES_BLOBS = 20
-DRIFT_TIMESTAMPS = ["2026-02-02 00:00:00", "2026-02-03 00:00:00", "2026-02-04 00:00:00",
-                    "2026-02-05 00:00:00", "2026-02-06 00:00:00"]
-DRIFT_COLUMNS = ["feature_0", "feature_1", "feature_2"]
+DRIFT_TIMESTAMPS = [f"2024-03-{day:02d} 12:00:00" for day in (4, 11, 18, 25)]
+DRIFT_COLUMNS = ["feature_5", "feature_7"]
 
 
 def _u(parts: str, first: int = 1) -> str:

@@ -66,3 +66,16 @@ def test_payload_roundtrip_nan_as_null(spark):
     assert got == [(1, "a", None), (2, "b", 2.5), (3, None, 1.0)]
     rec = PL.decode_records(PL.encode_records(df, "b", "id", ["id", "s", "x"]), "request", schema)
     assert sorted(tuple(r) for r in rec.collect()) == got
+
+
+def test_stratified_split_keeps_rows_without_a_label(spark):
+    from driftwood.operators.prep import stratified_split
+    rows = [(i, "ab"[i % 2] if i % 5 else None) for i in range(500)]
+    got = stratified_split(spark.createDataFrame(rows, "id int, label string"), "label", "id", 0.3)
+    assert got.count() == 500
+    for label in ("a", "b", None):
+        own = [r for r in got.collect() if r.label == label]
+        assert sum(r.split == "test" for r in own) == int(0.3 * len(own) + 0.5)
+    assert stratified_split(spark.createDataFrame([], "id int, label string"), "label", "id").count() == 0
+    few = spark.createDataFrame([(1, "x"), (2, "y"), (3, "y")], "id int, label string")
+    assert [stratified_split(few, "label", "id", f).where("split = 'test'").count() for f in (0.0, 0.5, 1.0)] == [0, 2, 3]
