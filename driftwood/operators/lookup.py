@@ -27,7 +27,8 @@ def _as_list(x) -> list[str]:
 @dataclass(frozen=True)
 class FeatureLookup:
     """Join spec. ``lookup_key`` names spine columns; ``table_keys`` the table's primary key(s)
-    (defaults to the same names). ``feature_names`` None means every non-key column."""
+    (defaults to the same names). ``feature_names`` None means every non-key column. A key that the table holds twice
+    doubles spine rows; with ``unique_keys`` it stops the job instead (an aggregation by key, which shares the join's exchange)."""
     table: DataFrame
     lookup_key: str | Sequence[str]
     table_keys: str | Sequence[str] | None = None
@@ -35,6 +36,7 @@ class FeatureLookup:
     timestamp_key: str | None = None
     timestamp_lookup_key: str | None = None
     rename: dict[str, str] | None = None
+    unique_keys: bool = False
 
     def output_names(self) -> list[str]:
         names = self._features()
@@ -61,6 +63,12 @@ class FeatureLookup:
                              self.timestamp_key, [ren.get(c, c) for c in feats])
         table = self.table.select(*[F.col(t).alias(s) for t, s in zip(tkeys, skeys)],
                                   *[F.col(c).alias(ren.get(c, c)) for c in feats])
+        if self.unique_keys:
+            held = table.groupBy(*skeys).agg(F.count(F.lit(1)).alias("__dw_n"), F.first(F.struct(*self.output_names())).alias("__dw_f"))
+            key = F.concat_ws("|", *[F.col(k).cast("string") for k in skeys])
+            twice = F.raise_error(F.concat(F.lit("feature table holds twice the key "), key)).cast(held.schema["__dw_f"].dataType)
+            held = held.withColumn("__dw_f", F.when(F.col("__dw_n") > 1, twice).otherwise(F.col("__dw_f")))
+            table = held.select(*skeys, "__dw_f.*")
         clash = set(self.output_names()) & set(spine.columns)
         if clash:
             raise ValueError(f"lookup would duplicate spine columns {sorted(clash)}")

@@ -58,6 +58,31 @@ def payload_log(spark, sf_dir):
     return PL.decode_log(log, PAYLOAD_SCHEMA).crossJoin(F.broadcast(bad))
 
 
+@query("metrics_csv", """
+SELECT o_custkey, count(*) AS n, CASE WHEN o_custkey % 3 = 0 THEN '' WHEN o_custkey % 3 = 1 THEN NULL ELSE 'x, "y"' END AS note,
+       max(o_totalprice) AS top, min(o_orderpriority) AS first_priority
+FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey
+""")
+def metrics_csv(spark, sf_dir):
+    """Metrics with an array column, empty and NULL text written as CSV and read back unchanged."""
+    k = F.col("o_custkey") % 3
+    m = (Tables(spark, sf_dir).orders.where("o_custkey is not null").groupBy("o_custkey")
+         .agg(F.count(F.lit(1)).alias("n"), F.max("o_totalprice").alias("top"), F.array(F.min("o_orderpriority"), F.lit("-")).alias("priorities"))
+         .withColumn("note", F.when(k == 0, "").when(k == 2, 'x, "y"')))
+    path = write_csv(m, new_table_path(spark, "metrics_csv"), null_value="\\N")
+    kinds = schema_from_pairs([("o_custkey", "long"), ("n", "long"), ("top", "double"), ("priorities", "string"), ("note", "string")])
+    d = read_csv(spark, path, kinds, null_value="\\N")
+    return d.select("o_custkey", "n", "note", "top", F.from_json("priorities", "array<string>")[0].alias("first_priority"))
+
+
+@query("rename_spaces", """
+SELECT c_custkey AS "customer_key", c_name AS "customer__name", c_acctbal AS acctbal FROM customer
+""")
+def rename_spaces(spark, sf_dir):
+    raw = Tables(spark, sf_dir).customer.select("c_custkey", "c_name", "c_acctbal").toDF("customer key", "customer  name", "acctbal")
+    return C.replace_spaces(raw)
+
+
 @query("unmapped_labels", """
 SELECT o_orderstatus AS value, count(*) AS n FROM orders WHERE o_orderstatus NOT IN ('F', 'O') GROUP BY 1
 """)

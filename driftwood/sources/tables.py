@@ -39,9 +39,10 @@ def schema_from_pairs(pairs: Iterable[tuple[str, str | T.DataType]],
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-             sep: str = ",", header: bool = True) -> DataFrame:
-    """CSV scan. With a schema: declared types, empty field -> NULL. Without: inferred types."""
-    reader = spark.read.option("header", header).option("sep", sep).option("nullValue", "")
+             sep: str = ",", header: bool = True, null_value: str = "") -> DataFrame:
+    """CSV scan. With a schema: declared types, empty field -> NULL. Without: inferred types. Where ``null_value`` is a mark
+    of its own, empty text stays empty text."""
+    reader = spark.read.option("header", header).option("sep", sep).option("nullValue", null_value).option("escape", '"')
     if schema is None:
         reader = reader.option("inferSchema", True)
     else:
@@ -57,15 +58,16 @@ def read_csv_permissive(spark: SparkSession, path: str, schema: T.StructType, se
             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_col).csv(path))
 
 
-def write_csv(df: DataFrame, path: str, sep: str = ",") -> str:
-    """CSV sink. Complex columns (arrays, maps, structs) are serialised as JSON text first."""
+def write_csv(df: DataFrame, path: str, sep: str = ",", null_value: str = "") -> str:
+    """CSV sink. Complex columns (arrays, maps, structs) are serialised as JSON text first (read them with ``from_json``)."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
             cols.append(F.to_json(F.col(f.name)).alias(f.name))
         else:
             cols.append(F.col(f.name))
-    df.select(*cols).write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
+    (df.select(*cols).write.mode("overwrite").option("header", True).option("sep", sep).option("nullValue", null_value)
+     .option("escape", '"').csv(path))
     return path
 
 

@@ -144,3 +144,14 @@ print(sorted(round(r.coef[0], 6) for r in fit_grouped_ols(df, ["g"], ["x"], "y")
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "[2.0, 2.0]" in done.stdout, done.stderr[-2000:]
+
+
+def test_lookup_refuses_a_key_held_twice(spark):
+    from driftwood.operators.lookup import FeatureLookup
+    spine = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    table = spark.createDataFrame([(1, "a", None), (1, "b", 1.0), (2, "c", 2.0)], "k int, f string, g double")
+    assert FeatureLookup(table, "k").apply(spine).count() == 4
+    with pytest.raises(PySparkException, match="twice the key 1"):
+        FeatureLookup(table, "k", unique_keys=True).apply(spine).collect()
+    good = FeatureLookup(table.where("f != 'b'"), "k", unique_keys=True, rename={"f": "h"}).apply(spine)
+    assert sorted(map(tuple, good.collect()), key=repr) == sorted([(1, "a", None), (2, "c", 2.0), (None, None, None)], key=repr)
