@@ -45,7 +45,7 @@ def edited(r, words, times):
     return w
 
 
-@pytest.mark.parametrize("block", [16, 512])
+@pytest.mark.parametrize("block", [16])
 def test_matches_all_pairs(spark, docs_of, monkeypatch, block):
     """Large groups of edited copies around the threshold, chains, shared lines, short texts and sets of shared parts only."""
     monkeypatch.setattr(jaccard, "BLOCK", block)
