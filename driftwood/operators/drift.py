@@ -77,7 +77,7 @@ def ecdf_distances(cur: DataFrame, ref: DataFrame, cur_keys: Sequence[str], ref_
     a subset of cur_keys. Returns cur_keys + n_cur, n_ref, ks_statistic, wasserstein_distance (NULL without reference rows).
     """
     C, K = list(cur_keys), list(ref_keys)
-    rows = with_reference(cur, ref, C, K)
+    rows = with_reference(cur, ref, C, K).persist()  # read by both passes and the lookup; nothing runs yet
     w = running(rows.where("c > 0"), C, "v", {"c": "c"}, totals=True, ahead=["v", "f_lt", "g"])
     w = w.withColumnRenamed("all_c", "n_cur").withColumn("a", F.col("cum_c") / F.col("n_cur"))
     p, a, last = F.col("v"), F.col("a"), F.col("next_v").isNull()

@@ -128,9 +128,9 @@ def drift_metrics(df: DataFrame, baseline: DataFrame | None, numeric: Sequence[s
         raise ValueError(drift_type)
 
     def sides(cols: Sequence[str], cast: str) -> tuple[DataFrame, DataFrame]:
-        cur = value_table(df, cols, ts_col, granularity, cast)
+        cur = value_table(df, cols, ts_col, granularity, cast).persist()  # lazy: filled when a drift table is first read
         if drift_type == "BASELINE":
-            return cur, value_table(baseline, cols, None, granularity, cast).drop(_WK)
+            return cur, value_table(baseline, cols, None, granularity, cast).drop(_WK).persist()
         order = Window.orderBy(_WK)  # over the distinct window list only (one row per window)
         cur = cur.where(F.col(_WK) != _no_time())
         nxt = cur.select(_WK).distinct().select(F.col(_WK).alias("__dw_prev"), F.lead(_WK).over(order).alias("__dw_next"))
