@@ -10,8 +10,8 @@ from .registry import Tables, query
 SEED = 42
 N_FEATURES_GROUPS = 10
 N_FEATURES_BLOBS = 20
-DRIFT_TIMESTAMPS = [f"2024-03-{day:02d} 12:00:00" for day in (4, 11, 18, 25)]
-DRIFT_COLUMNS = ["feature_5", "feature_7"]
+DRIFT_TIMESTAMPS = [f"2024-{day} 12:00:00" for day in ("03-04", "03-11", "03-18", "03-25", "04-01")]
+DRIFT_COLUMNS = ["feature_5", "feature_7", "feature_9"]
 
 
 def _u(parts: str, first: int = 1) -> str:
