@@ -2,8 +2,8 @@
 
 Grouped OLS: one shuffle. Per group the JVM aggregates the co-moments (``covar_pop`` of every
 feature pair and with the target, means, ``var_pop`` of the target, count) - mergeable,
-numerically stable sums, p*p numbers per group. A batched numpy pseudo-inverse then solves
-each group's small system inside ``mapInPandas`` (no extra shuffle, never on the driver).
+numerically stable sums, p*p numbers per group. A numpy pseudo-inverse of all small systems of
+an Arrow batch then solves them inside ``mapInArrow`` (no extra shuffle, never on the driver, no Python step a group).
 Models stay a table (group, intercept, coef[], feature_names[], metrics); scoring is a join
 plus a flat native sum, inside whole-stage codegen.
 """
@@ -15,7 +15,8 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,6 +53,30 @@ def _solve(cxx: np.ndarray, cxy: np.ndarray, mx: np.ndarray, my: float, vy: floa
     return intercept, beta, mse, r2
 
 
+def _solve_groups(b: pa.RecordBatch, keys: Sequence[str], features: Sequence[str], names: Sequence[str]) -> pa.RecordBatch:
+    """The models of a batch of groups, a row of moments each; all have equally many features."""
+    n, p = b.num_rows, len(features)
+
+    def numbers(c: str, *shape: int) -> np.ndarray:
+        col = b.column(c).flatten() if shape else b.column(c)
+        return col.to_numpy(zero_copy_only=False).astype(float).reshape(n, *shape)
+
+    def rows(values: np.ndarray) -> pa.Array:
+        return pa.array(values, pa.float64(), from_pandas=True)
+
+    idx = pc.index_in(b.column("feature_names").flatten(), pa.array(features)).to_numpy().reshape(n, -1)
+    cxx = numbers("__dw_cxx", p, p)[np.arange(n)[:, None, None], idx[:, :, None], idx[:, None, :]]
+    cxy, mx = (np.take_along_axis(numbers(c, p), idx, axis=1) for c in ("__dw_cxy", "__dw_mx"))
+    my, vy = numbers("__dw_my"), numbers("__dw_vy")
+    beta = (np.linalg.pinv(cxx) @ cxy[:, :, None])[:, :, 0]
+    mse = np.maximum(vy - (beta * cxy).sum(axis=1), 0.0)
+    r2 = 1.0 - np.divide(mse, vy, out=np.full(n, np.nan), where=vy > 0)
+    ends = pa.array(np.arange(n + 1) * idx.shape[1], pa.int32())
+    return pa.RecordBatch.from_arrays(
+        [*[b.column(k) for k in keys], rows(my - (beta * mx).sum(axis=1)), pa.ListArray.from_arrays(ends, rows(beta.ravel())),
+         b.column("feature_names"), b.column("__dw_n"), rows(mse), rows(np.sqrt(mse)), rows(r2)], names=list(names))
+
+
 @dataclass
 class LinearModel:
     """y = intercept + sum(coef_i * x_i) over named feature columns."""
@@ -124,25 +149,15 @@ def fit_grouped_ols(df: DataFrame, group_cols: Sequence[str], features: Sequence
                                T.StructField("metric_mse", T.DoubleType()),
                                T.StructField("metric_rmse", T.DoubleType()),
                                T.StructField("metric_r2", T.DoubleType())])
-    pos = {f: i for i, f in enumerate(features)}
     ship_package(df.sparkSession)
+    own = [f.name for f in key_fields]
 
     def solve_batches(batches):
         for b in batches:
-            rows = []
-            for rec in b.to_dict("records"):
-                names = list(rec["feature_names"])
-                idx = np.array([pos[x] for x in names], dtype=int)
-                cxx = np.asarray(rec["__dw_cxx"], dtype=float).reshape(p, p)
-                intercept, beta, mse, r2 = _solve(cxx, np.asarray(rec["__dw_cxy"], dtype=float),
-                                                  np.asarray(rec["__dw_mx"], dtype=float),
-                                                  float(rec["__dw_my"]), float(rec["__dw_vy"]), idx)
-                rows.append({**{k: rec[k] for k in g}, "intercept": intercept, "coef": [float(x) for x in beta],
-                             "feature_names": names, "n": int(rec["__dw_n"]), "metric_mse": mse,
-                             "metric_rmse": float(np.sqrt(mse)), "metric_r2": r2})
-            yield pd.DataFrame(rows, columns=[f.name for f in out_schema.fields])
-
-    return stats.mapInPandas(solve_batches, out_schema)
+            if b.num_rows:
+                yield _solve_groups(b, own, features, out_schema.names)
+
+    return stats.mapInArrow(solve_batches, out_schema)
 
 
 def score_grouped(df: DataFrame, models: DataFrame, group_cols: Sequence[str], features: Sequence[str],
