@@ -39,6 +39,17 @@ SLACK, RAISE = 1e-5, 1 + 1e-4
 _INDEX = "ids binary, lens binary, terms binary, ends binary, docs binary, counts binary"
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers from 0 on in the fewest bytes that hold the greatest, after a byte with their size: a shard is one row, of which
+    Spark and Arrow hold several copies at once."""
+    kind = np.min_scalar_type(int(numbers.max(initial=0)))
+    return bytes([kind.itemsize]) + numbers.astype(kind).tobytes()
+
+
+def _numbers(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, f"u{packed[0]}", offset=1).astype(np.int64)
+
+
 def _shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     cache = WordHashes(CACHE)
     held: list[tuple[int, np.ndarray, np.ndarray]] = []
@@ -54,9 +65,9 @@ def _shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         by = np.argsort(terms, kind="stable")
         known, first = np.unique(terms[by], return_index=True)
         return pd.DataFrame({
-            "ids": [np.array([held[i][0] for i in order], np.int64).tobytes()], "lens": [lens[order].tobytes()],
-            "terms": [known.tobytes()], "ends": [np.append(first, len(terms)).astype(np.int64).tobytes()],
-            "docs": [docs[by].tobytes()], "counts": [counts[by].tobytes()]})
+            "ids": [np.array([held[i][0] for i in order], np.int64).tobytes()], "lens": [_packed(lens[order])],
+            "terms": [known.tobytes()], "ends": [_packed(np.append(first, len(terms)))],
+            "docs": [_packed(docs[by])], "counts": [_packed(counts[by])]})
 
     for pdf in batches:
         for doc, text in zip(pdf["doc_id"], pdf["text"]):
@@ -73,7 +84,7 @@ def _shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _document_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         for terms, ends in zip(pdf["terms"], pdf["ends"]):
-            yield pd.DataFrame({"term": np.frombuffer(terms, np.int64), "df": np.diff(np.frombuffer(ends, np.int64))})
+            yield pd.DataFrame({"term": np.frombuffer(terms, np.int64), "df": np.diff(_numbers(ends))})
 
 
 def _terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -87,10 +98,10 @@ class Shard:
     """One shard's postings, ready for queries."""
 
     def __init__(self, row, mean: float):
-        self.ids, lens = np.frombuffer(row.ids, np.int64), np.frombuffer(row.lens, np.int64)
-        self.terms, self.ends = np.frombuffer(row.terms, np.uint64), np.frombuffer(row.ends, np.int64)
-        self.docs = np.frombuffer(row.docs, np.int32)
-        tf = np.frombuffer(row.counts, np.int32).astype(np.float64)
+        self.ids, lens = np.frombuffer(row.ids, np.int64), _numbers(row.lens)
+        self.terms, self.ends = np.frombuffer(row.terms, np.uint64), _numbers(row.ends)
+        self.docs = _numbers(row.docs).astype(np.int32)
+        tf = _numbers(row.counts).astype(np.float64)
         self.weight = tf * (K1 + 1) / (tf + (K1 * (1 - B + B * lens / mean))[self.docs])
         # parts: the postings of one term in one block
         block = self.docs // BLOCK
@@ -190,7 +201,7 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_
 
     def lengths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame({"words": [int(np.frombuffer(b, np.int64).sum()) for b in pdf["lens"]]})
+            yield pd.DataFrame({"words": [int(_numbers(b).sum()) for b in pdf["lens"]]})
 
     total = index.select("lens").mapInPandas(lengths, "words long").agg(F.sum("words")).first()[0] or 0
     one = queries.where("query_id is not null").groupBy("query_id").agg(F.max("text").alias("text"))
