@@ -1,11 +1,12 @@
 """Gated recurrent language model with class-factored output, scored over whole documents.
 
 Counts of all training tokens are taken on Spark. The most frequent tokens form the model's words, VOCAB at least and
-WORDS_ROOT times the root of the number of distinct tokens (``model_words``), in classes of ``class_size`` by frequency;
-all others share one unknown word, whose mass is spread over them by their
+WORDS_ROOT times the root of the number of distinct tokens (``model_words``), in classes by frequency that grow with the rank
+(``class_cuts``: frequent words, most of the tokens, meet small ones); all others share one unknown word, whose mass is spread over them by their
 counts: (c + 1) / (N' + V' + 1). P(word | past) = P(class | state) P(word | class, state).
 
-Training: numpy, truncated backpropagation over STEPS tokens, Adam. Each round every task starts from the
+Training: numpy, truncated backpropagation over STEPS tokens, Adam, taken over the weights in blocks that stay in
+the processor's cache. Each round every task starts from the
 same weights and trains on its part of the round's documents; weights are then averaged by tokens, block by block
 and at most FAN_IN tasks at a time.
 The rounds are disjoint parts of the training documents, by hash, that add up to TRAIN_SHARE: all of them, once each.
@@ -23,6 +24,7 @@ text all counts are zero; repeated rows are scored alike, each for itself; an em
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -36,16 +38,26 @@ TRAIN_SHARE, ROUNDS, HEAD = 1.0, 2, 1 << 17
 GROUP_TOKENS = 4_000_000
 END = np.uint64(1)
 PART, FAN_IN = 8192, 64
+#: Weights that Adam takes at once, and windows for which one look at the greatest outputs holds.
+BLOCK, LOOK = 16_384, 8
 
 
 def class_size(vocab: int) -> int:
-    """Words of a class: CLASS_SIZE, doubled while there are more than twice as many classes as words in one."""
+    """Words of a class on average: CLASS_SIZE, doubled while there are more than half as many classes as words in one."""
     size = CLASS_SIZE
-    while 2 * size * size < vocab:
+    while size * size < 2 * vocab:
         size *= 2
     return size
 
 
+@lru_cache(maxsize=4)
+def class_cuts(vocab: int) -> np.ndarray:
+    """First word of each class, and the end. Classes grow linearly with their number, by which a token whose frequency falls
+    with the rank meets the fewest classes and words together."""
+    n = max(1, vocab // class_size(vocab))
+    return np.unique(np.round(vocab * (np.arange(n + 1) / n) ** 2).astype(np.int64))
+
+
 def model_words(distinct: int) -> int:
     """Number of the model's words for so many distinct training tokens, in whole classes."""
     n = max(VOCAB, int(np.ceil(WORDS_ROOT * np.sqrt(distinct))))
@@ -56,7 +68,8 @@ class Weights:
     """Named float32 arrays in one flat vector."""
 
     def __init__(self, vocab: int, flat: np.ndarray | None = None):
-        h, c = HIDDEN, vocab // class_size(vocab)
+        h, self.cuts = HIDDEN, class_cuts(vocab)
+        c = len(self.cuts) - 1
         self.shapes = {"emb": (vocab, h), "wx": (h, 3 * h), "wh": (h, 3 * h), "b": (3 * h,), "wc": (h, c), "bc": (c,),
                        "wo": (vocab, h), "bo": (vocab,)}
         size = sum(int(np.prod(s)) for s in self.shapes.values())
@@ -66,16 +79,17 @@ class Weights:
             n = int(np.prod(s))
             setattr(self, name, self.flat[at:at + n].reshape(s))
             at += n
-        self.vocab, self.per_class = vocab, class_size(vocab)
+        self.vocab, self.class_of = vocab, np.repeat(np.arange(c, dtype=np.int16), np.diff(self.cuts))
 
     @classmethod
     def start(cls, counts: np.ndarray) -> Weights:
         w, r = cls(len(counts)), np.random.default_rng(7)
         for a, scale in ((w.emb, 0.1), (w.wx, 0.2), (w.wh, 0.2)):
             a[...] = r.normal(0, scale, a.shape)
-        mass = (counts + 1.0).reshape(-1, w.per_class)
-        w.bc[...] = np.log(mass.sum(axis=1) / mass.sum())
-        w.bo[...] = np.log(mass / mass.sum(axis=1, keepdims=True)).ravel()
+        mass = counts + 1.0
+        by_class = np.add.reduceat(mass, w.cuts[:-1])
+        w.bc[...] = np.log(by_class / mass.sum())
+        w.bo[...] = np.log(mass / by_class[w.class_of])
         return w
 
 
@@ -124,35 +138,62 @@ def _softmax(a: np.ndarray, y: np.ndarray, calm: bool) -> tuple[np.ndarray, np.n
 
 def _outputs(w: Weights, s: np.ndarray, y: np.ndarray, grad: Weights | None = None, calm: bool = False):
     """Log-probabilities of targets ``y`` from states ``s``; with ``grad`` also d loss / d s, adding up the rest."""
-    cls, k = y // w.per_class, w.per_class
+    cls = w.class_of[y]
     a = s @ w.wc
     a += w.bc
     lp, total = _softmax(a, cls, calm)
     if grad is not None:
-        a /= total[:, None]
-        a[np.arange(len(y)), cls] -= 1
-        grad.wc += s.T @ a
-        grad.bc += a.sum(axis=0)
-        ds = a @ w.wc.T
-    order = np.argsort(cls.astype(np.int16), kind="stable")
-    cuts = np.searchsorted(cls[order], np.arange(w.vocab // k + 1))
-    for c in range(w.vocab // k):
-        at = order[cuts[c]:cuts[c + 1]]
-        if not len(at):
-            continue
-        i, j = c * k, (c + 1) * k
-        sc, yc = s[at], y[at] - i
-        a = sc @ w.wo[i:j].T
-        a += w.bo[i:j]
-        own, total = _softmax(a, yc, calm)
-        lp[at] += own
+        ds = _back(a, cls, total, s, w.wc.T, grad.wc.T, grad.bc)
+    order = np.argsort(cls, kind="stable")
+    s, y = s[order], y[order]
+    own, cuts = np.empty(len(y), np.float32), np.searchsorted(cls[order], np.arange(len(w.cuts)))
+    d_own = np.empty_like(s) if grad is not None else None
+    for c in np.flatnonzero(np.diff(cuts)).tolist():
+        at, words = slice(cuts[c], cuts[c + 1]), slice(w.cuts[c], w.cuts[c + 1])
+        sc, yc = s[at], y[at] - w.cuts[c]
+        a = sc @ w.wo[words].T
+        a += w.bo[words]
+        own[at], total = _softmax(a, yc, calm)
         if grad is not None:
-            a /= total[:, None]
-            a[np.arange(len(at)), yc] -= 1
-            grad.wo[i:j] += a.T @ sc
-            grad.bo[i:j] += a.sum(axis=0)
-            ds[at] += a @ w.wo[i:j]
-    return lp if grad is None else (lp, ds)
+            d_own[at] = _back(a, yc, total, sc, w.wo[words], grad.wo[words], grad.bo[words])
+    lp[order] += own
+    if grad is None:
+        return lp
+    ds[order] += d_own
+    return lp, ds
+
+
+def _back(a: np.ndarray, y: np.ndarray, total: np.ndarray, s: np.ndarray, out: np.ndarray, d_out: np.ndarray, d_bias: np.ndarray):
+    """Gradients of a softmax from its exponentials ``a`` and their sums: of the states, and added to those of its weights."""
+    a[np.arange(len(y)), y] -= total
+    inv = 1 / total
+    d_out += a.T @ (s * inv[:, None])
+    d_bias += inv @ a
+    ds = a @ out
+    ds *= inv[:, None]
+    return ds
+
+
+def _adam(w: np.ndarray, g: np.ndarray, m: np.ndarray, v: np.ndarray, scale: float, step: int, rate: float) -> None:
+    """One step of Adam by ``scale`` times the gradient, whose place is used up; block by block, as all of them outgrow the cache."""
+    root = np.float32(np.sqrt(1 - 0.99 ** step))
+    least, pace = np.float32(1e-4) * root, np.float32(rate / (1 - 0.9 ** step)) * root
+    scale = np.float32(scale)
+    for i in range(0, len(w), BLOCK):
+        at = slice(i, i + BLOCK)
+        gi, mi, vi = g[at], m[at], v[at]
+        gi *= scale
+        mi *= np.float32(0.9)
+        mi += np.float32(0.1) * gi
+        gi *= gi
+        gi *= np.float32(0.01)
+        vi *= np.float32(0.99)
+        vi += gi
+        np.sqrt(vi, out=gi)
+        gi += least
+        np.divide(mi, gi, out=gi)
+        gi *= pace
+        w[at] -= gi
 
 
 def streams(docs: list[np.ndarray], end: int, most: int = STREAMS):
@@ -198,7 +239,10 @@ def train_documents(w: Weights, docs: list[np.ndarray], end: int, moments: list,
     """One pass of truncated backpropagation with Adam over the documents; ``moments`` is [step, m, v]."""
     x, y, keep, doc = streams(docs, end)
     h, k = np.zeros((x.shape[1], HIDDEN), np.float32), 2 * HIDDEN
-    g, room = Weights(w.vocab), np.empty_like(w.flat)
+    if len(moments) == 3:
+        moments.append(np.zeros(w.vocab, np.int64))  # the step at which each input was met last
+    g, look, calm, n_emb = Weights(w.vocab), 0, False, w.emb.size
+    rest, second = g.flat[n_emb:], Weights(w.vocab, moments[2]).emb
     shape = (STEPS, x.shape[1], 3 * HIDDEN)
     dg, du, before = np.empty(shape, np.float32), np.empty(shape, np.float32), np.empty((*shape[:2], HIDDEN), np.float32)
     for t0 in range(0, len(x), STEPS):
@@ -216,8 +260,11 @@ def train_documents(w: Weights, docs: list[np.ndarray], end: int, moments: list,
         place[by] = np.cumsum(new) - 1
         cache = []
         s, h_next = _states(w, w.emb[rows] @ w.wx + w.b, place.reshape(STEPS, -1), keep[at], h, cache)
-        g.flat.fill(0)
-        _, ds = _outputs(w, s.reshape(-1, HIDDEN)[ok], y[at].ravel()[ok], g, _is_calm(w))
+        rest.fill(0)
+        if look % LOOK == 0:
+            calm = _is_calm(w)
+        look += 1
+        _, ds = _outputs(w, s.reshape(-1, HIDDEN)[ok], y[at].ravel()[ok], g, calm)
         d_out = np.zeros((s.shape[0] * s.shape[1], HIDDEN), np.float32)
         d_out[ok] = ds
         d_out = d_out.reshape(s.shape)
@@ -240,24 +287,17 @@ def train_documents(w: Weights, docs: list[np.ndarray], end: int, moments: list,
         g.b += flat.sum(axis=0)
         sums = np.add.reduceat(flat[by], first)
         g.wx += w.emb[rows].T @ sums
-        g.emb[rows] += sums @ w.wx.T
-        g.flat /= len(ok) / 32
-        g.flat *= min(1.0, 20 / max(float(np.sqrt(g.flat @ g.flat)), 1e-9))
-        moments[0] += 1
-        _, m, v = moments
-        np.subtract(g.flat, m, out=room)
-        room *= 0.1
-        m += room
-        np.multiply(g.flat, g.flat, out=room)
-        room -= v
-        room *= 0.01
-        v += room
-        np.divide(v, 1 - 0.99 ** moments[0], out=room)
-        np.sqrt(room, out=room)
-        room += 1e-4
-        np.divide(m, room, out=room)
-        room *= rate / (1 - 0.9 ** moments[0])
-        w.flat -= room
+        g_emb = sums @ w.wx.T
+        scale = 32 / len(ok)
+        scale *= min(1.0, 20 / max(scale * float(np.sqrt(rest @ rest + g_emb.ravel() @ g_emb.ravel())), 1e-9))
+        step = moments[0] = moments[0] + 1
+        _adam(w.flat[n_emb:], rest, moments[1][n_emb:], moments[2][n_emb:], scale, step, rate)
+        # inputs: only the rows met, without the first moment; the second has faded since the row was met last
+        g_emb *= np.float32(scale)
+        fade = (0.99 ** (step - moments[3][rows])).astype(np.float32)
+        second[rows] = v = second[rows] * fade[:, None] + np.float32(0.01) * g_emb * g_emb
+        w.emb[rows] -= np.float32(rate) * g_emb / (np.sqrt(v / np.float32(1 - 0.99 ** step)) + np.float32(1e-4))
+        moments[3][rows] = step
         h = h_next
 
 

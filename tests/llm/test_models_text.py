@@ -83,6 +83,50 @@ def test_gradient_matches_differences():
     assert loss(w) < 0.8 * before
 
 
+def test_gradient_of_outputs_matches_finite_differences():
+    r = np.random.default_rng(2)
+    w, g = Weights.start(np.arange(300)[::-1]), Weights(300)
+    w.wo[...], w.wc[...] = r.normal(0, 0.3, w.wo.shape), r.normal(0, 0.3, w.wc.shape)
+    s, y = r.normal(size=(40, rnnlm.HIDDEN)).astype(np.float32), r.integers(0, 300, 40)
+    _, ds = _outputs(w, s, y, g)
+
+    def loss():
+        return -float(_outputs(w, s, y).astype(np.float64).sum())
+    for a, d in ((w.wo, g.wo), (w.bo, g.bo), (w.wc, g.wc), (w.bc, g.bc), (s, ds)):
+        at = np.unravel_index(np.abs(d).argmax(), d.shape)
+        old, h = a[at], 1e-2
+        a[at] = old + h
+        up = loss()
+        a[at] = old - h
+        down = loss()
+        a[at] = old
+        assert abs((up - down) / (2 * h) - d[at]) < 0.02 * abs(d[at]) + 1e-3
+
+
+def test_frequent_words_lie_in_small_classes():
+    for n in (128, 4096, rnnlm.model_words(3_000_000)):
+        cuts = rnnlm.class_cuts(n)
+        sizes = np.diff(cuts)
+        assert cuts[0] == 0 and cuts[-1] == n and (sizes > 0).all() and sizes[0] < sizes[-1]
+        if n >= 4096:
+            p = 1 / np.arange(1, n + 1)
+            met = len(sizes) + (np.repeat(sizes, sizes) * p).sum() / p.sum()
+            assert met < 0.8 * 2 * np.sqrt(n)  # even classes meet twice the root at best
+
+
+def test_adam_in_blocks_is_adam():
+    r = np.random.default_rng(3)
+    n = rnnlm.BLOCK + 77
+    w, m, v = r.normal(size=n).astype(np.float32), np.zeros(n, np.float32), np.zeros(n, np.float32)
+    want, m1, v1 = w.astype(float), np.zeros(n), np.zeros(n)
+    for step in (1, 2, 3):
+        g = r.normal(size=n).astype(np.float32)
+        m1, v1 = 0.9 * m1 + 0.05 * g, 0.99 * v1 + 0.01 * (0.5 * g.astype(float)) ** 2
+        want -= 0.01 / (1 - 0.9 ** step) * m1 / (np.sqrt(v1 / (1 - 0.99 ** step)) + 1e-4)
+        rnnlm._adam(w, g, m, v, 0.5, step, 0.01)
+    assert np.allclose(w, want, atol=1e-5)
+
+
 def test_class_factored_probabilities_sum_to_one():
     w = Weights.start(np.arange(128))
     s, _ = _states(w, w.emb @ w.wx + w.b, np.zeros((1, 1), int), np.ones((1, 1), np.float32), np.zeros((1, rnnlm.HIDDEN), np.float32))
@@ -175,6 +219,18 @@ def test_search_matches_brute_force_on_edges(spark, docs_of, edge_rows):
     assert search(docs_of([]), q).count() == 0
 
 
+def test_index_rows_are_packed():
+    import pandas as pd
+
+    from driftwood.llm import search as module
+    texts = [" ".join(f"w{(i * 7 + j) % 400}" for j in range(300)) for i in range(250)] + ["same " * 70_000, None]
+    row = next(module._shards(iter([pd.DataFrame({"doc_id": range(len(texts)), "text": texts})]))).iloc[0]
+    docs, counts, ends = (module._numbers(row[c]) for c in ("docs", "counts", "ends"))
+    assert sum(len(row[c]) for c in ("docs", "counts", "ends", "lens")) < 7 * len(docs)  # was 8 and the ends and lengths
+    assert counts.max() == 70_000 and counts.sum() == module._numbers(row["lens"]).sum() == 250 * 300 + 70_000
+    assert ends[-1] == len(docs) and docs.max() < len(texts) and len(ends) == len(row["terms"]) // 8 + 1
+
+
 def test_search_equals_brute_force_over_many_shards(spark, docs_of, monkeypatch):
     import math
     from collections import Counter
