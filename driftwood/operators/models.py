@@ -54,7 +54,8 @@ def _solve(cxx: np.ndarray, cxy: np.ndarray, mx: np.ndarray, my: float, vy: floa
 
 
 def _solve_groups(b: pa.RecordBatch, keys: Sequence[str], features: Sequence[str], names: Sequence[str]) -> pa.RecordBatch:
-    """The models of a batch of groups, a row of moments each; all have equally many features."""
+    """The models of a batch of groups, a row of moments each; all have equally many features. A group without a complete row has
+    a row without coefficients."""
     n, p = b.num_rows, len(features)
 
     def numbers(c: str, *shape: int) -> np.ndarray:
@@ -68,6 +69,8 @@ def _solve_groups(b: pa.RecordBatch, keys: Sequence[str], features: Sequence[str
     cxx = numbers("__dw_cxx", p, p)[np.arange(n)[:, None, None], idx[:, :, None], idx[:, None, :]]
     cxy, mx = (np.take_along_axis(numbers(c, p), idx, axis=1) for c in ("__dw_cxy", "__dw_mx"))
     my, vy = numbers("__dw_my"), numbers("__dw_vy")
+    none = numbers("__dw_n") == 0
+    cxx[none] = 0
     beta = (np.linalg.pinv(cxx) @ cxy[:, :, None])[:, :, 0]
     mse = np.maximum(vy - (beta * cxy).sum(axis=1), 0.0)
     r2 = 1.0 - np.divide(mse, vy, out=np.full(n, np.nan), where=vy > 0)

@@ -59,3 +59,11 @@ def test_group_keys_stay_exact_beside_a_null_key(spark):
     models = M.fit_grouped_ols(df, ["g"], ["x"], "y")
     assert {r["g"] for r in models.collect()} == {big, None}
     assert [r["g"] for r in M.missing_models(df, models, ["g"]).collect()] == [None, None]
+
+
+def test_group_without_a_complete_row_has_no_coefficients(spark):
+    df = spark.createDataFrame([("a", None, 2.0), ("b", 1.0, 1.0), ("b", 2.0, 3.0)], "g string, x double, y double")
+    models = M.fit_grouped_ols(df, ["g"], ["x"], "y")
+    by = {r["g"]: r for r in models.collect()}
+    assert by["a"]["n"] == 0 and by["a"]["intercept"] is None and by["a"]["coef"] == [None] and abs(by["b"]["coef"][0] - 2.0) < 1e-9
+    assert M.missing_models(df, models, ["g"]).count() == 0
