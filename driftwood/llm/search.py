@@ -2,9 +2,10 @@
 
 Each task indexes its documents into shards: terms, postings in document order, term counts and lengths.
 Documents of a shard are ordered by their most frequent term and length, so that neighbours are alike; BLOCK of them
-form a block. For a query the greatest term weights of each block are summed to the block's bound, for the terms of many
-blocks as one product of matrices over several queries; blocks are scored in the order of their bounds until the next bound is
-below the k-th best score, which a task takes from shard to shard. Weights use the counts and mean length of all
+form a block. A shard takes queries in batches. Postings of terms of few documents are added up for all queries of a batch at
+once; a block's bound is the greatest of these sums and of the other terms' weights in the block, as products of matrices over
+the queries. The FIRST blocks of the greatest bounds are scored, then all whose bound comes to the k-th best score, which a task
+takes from shard to shard. Weights use the counts and mean length of all
 documents, so scores of different shards compare, and the best k of each task's best k are the best of all.
 
 A term is a word (A-Z lowered, parted by ASCII white space), known by its 64-bit hash. score = sum over the distinct
@@ -18,6 +19,7 @@ and one query, of the greatest text; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -30,10 +32,12 @@ K1, B = 1.2, 0.75
 BLOCK, SHARD_DOCS, SHARD_POSTINGS = 16, 12_288, 600_000
 #: Words whose hashes a task keeps.
 CACHE = 60_000
-#: About how many query terms, of 16 bytes each, and queries, of k results each, are broadcast at once.
+#: About how many query terms, of 4 bytes each and 16 for each distinct one, and queries, of k results each, are broadcast at once.
 QUERY_TERMS, QUERIES = 1_000_000, 50_000
-#: Query terms that a shard takes at once.
-BATCH_TERMS = 30_000
+#: Postings, and pairs of a query and a document, that a shard takes at once; blocks of each query that it scores first.
+BATCH_POSTINGS, BATCH_CELLS, FIRST = 600_000, 3_000_000, 8
+#: Terms in more than one of OFTEN documents of a shard have tables, of TABLE_CELLS numbers at most.
+OFTEN, TABLE_CELLS = 24, 4_000_000
 #: A bound this far below a score cannot come to it by rounding; bounds are raised by the error of their single-precision sums.
 SLACK, RAISE = 1e-5, 1 + 1e-4
 _INDEX = "ids binary, lens binary, terms binary, ends binary, docs binary, counts binary"
@@ -94,6 +98,23 @@ def _terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                             "terms": [np.unique(word_hashes(t, cache)).view(np.int64) for t in pdf["text"]]})
 
 
+class Queries(NamedTuple):
+    """Queries of one broadcast: query ``i`` asks for ``terms[index[ends[i]:ends[i + 1]]]``."""
+
+    ids: np.ndarray
+    ends: np.ndarray
+    index: np.ndarray
+    terms: np.ndarray
+    idf: np.ndarray
+
+    @classmethod
+    def of(cls, rows: pd.DataFrame) -> Queries:
+        asked, idf = (np.concatenate([np.empty(0, kind), *rows[c]]).astype(kind) for c, kind in (("terms", np.int64), ("idf", np.float64)))
+        terms, first, index = np.unique(asked.view(np.uint64), return_index=True, return_inverse=True)
+        return cls(rows["query_id"].to_numpy(np.int64), np.append(0, np.cumsum([len(t) for t in rows["terms"]], dtype=np.int64)),
+                   index.astype(np.int32), terms, idf[first])
+
+
 class Shard:
     """One shard's postings, ready for queries."""
 
@@ -103,85 +124,69 @@ class Shard:
         self.docs = _numbers(row.docs).astype(np.int32)
         tf = _numbers(row.counts).astype(np.float64)
         self.weight = tf * (K1 + 1) / (tf + (K1 * (1 - B + B * lens / mean))[self.docs])
-        # parts: the postings of one term in one block
-        block = self.docs // BLOCK
-        new = np.ones(len(block), bool)
-        new[1:] = block[1:] != block[:-1]
-        new[self.ends[:-1]] = True
-        self.part = np.flatnonzero(new)
-        self.part_end = np.append(self.part[1:], len(block))
-        self.part_block = block[self.part]
-        self.part_max = np.maximum.reduceat(self.weight, self.part) if len(self.part) else np.empty(0)
-        self.term_part = np.searchsorted(self.part, self.ends)
         self.n_blocks = -(-len(self.ids) // BLOCK)
-        # terms of many blocks: tables of their parts by block
-        often = np.flatnonzero(np.diff(self.term_part) > max(4, self.n_blocks // 8))
+        # terms of many documents: tables of their weights by block, term and document, and of the greatest by term and block
+        df = np.diff(self.ends)
+        often = np.flatnonzero(df > max(4, len(self.ids) // OFTEN))
+        often = often[np.argsort(-df[often], kind="stable")][:TABLE_CELLS // max(1, BLOCK * self.n_blocks)]
         self.row = np.full(len(self.terms), -1, np.int32)
         self.row[often] = np.arange(len(often))
-        parts, n = _ranges(self.term_part[often], self.term_part[often + 1])
-        place = np.repeat(np.arange(len(often)), n), self.part_block[parts]
-        self.part_at = np.full((len(often), self.n_blocks), -1, np.int32)
-        self.part_at[place] = parts
-        self.max_at = np.zeros((len(often), self.n_blocks), np.float32)
-        self.max_at[place] = self.part_max[parts]
-
-    def top(self, terms: list[np.ndarray], idfs: list[np.ndarray], best: list[tuple], k: int) -> list[tuple]:
-        """(ids, scores) of the k best of this shard's documents and the given results, for each query."""
+        posts, n = _ranges(self.ends[often], self.ends[often + 1])
+        docs = self.docs[posts]
+        self.table = np.zeros((self.n_blocks, len(often), BLOCK))
+        self.table[docs // BLOCK, np.repeat(np.arange(len(often)), n), docs % BLOCK] = self.weight[posts]
+        self.max_at = self.table.max(axis=2, initial=0).T.astype(np.float32)
+
+    def top(self, asked: Queries, ids: np.ndarray, scores: np.ndarray) -> None:
+        """Put this shard's documents among the best of each query: a row of ids and scores (-1: none), the best first."""
         if not len(self.terms):
-            return best
-        of = np.repeat(np.arange(len(terms)), [len(t) for t in terms])
-        asked, idf = np.concatenate(terms), np.concatenate(idfs)
-        at = np.searchsorted(self.terms, asked)
-        at[at == len(self.terms)] = 0
-        hit = self.terms[at] == asked
-        of, at, idf = of[hit], at[hit], idf[hit]
-        row = self.row[at]
-        often = row >= 0
-        some = np.zeros((len(terms), len(self.max_at)), np.float32)
-        some[of[often], row[often]] = idf[often]
-        few = np.flatnonzero(~often)
-        parts, n = _ranges(self.term_part[at[few]], self.term_part[at[few] + 1])
-        part_of, part_idf, blocks = np.repeat(of[few], n), np.repeat(idf[few], n), self.part_block[parts]
-        bounds = np.bincount(part_of * self.n_blocks + blocks, part_idf * self.part_max[parts], len(terms) * self.n_blocks)
-        bounds = (bounds.reshape(len(terms), -1) + some @ self.max_at) * RAISE
-        row, idf = row[often], idf[often]
-        row_cuts = np.searchsorted(of[often], np.arange(len(terms) + 1))
-        part_cuts = np.searchsorted(part_of, np.arange(len(terms) + 1))
-        out = []
-        for i, (ids, scores) in enumerate(best):
-            rows, parts_in = slice(*row_cuts[i:i + 2]), slice(*part_cuts[i:i + 2])
-            out.append(self._scored(bounds[i], row[rows], idf[rows], parts[parts_in], part_idf[parts_in], blocks[parts_in], ids, scores, k))
-        return out
-
-    def _scored(self, bound, rows, idf, parts, part_idf, blocks, ids, scores, k) -> tuple[np.ndarray, np.ndarray]:
-        """One query's results with those of its blocks, from the greatest bound on; ``rows`` are its terms of many blocks."""
-        least = scores[-1] if len(ids) >= k else 0.0
-        order = np.flatnonzero(bound >= max(least - SLACK, 1e-300))
-        order = order[np.argsort(-bound[order], kind="stable")]
-        done, step = 0, 4
-        while done < len(order) and bound[order[done]] >= least - SLACK:
-            some = order[done:done + step]
-            some = some[bound[some] >= least - SLACK]
-            done, step = done + step, step * 2
-            p = self.part_at[rows[:, None], some]
-            there = p >= 0
-            chosen = np.zeros(self.n_blocks, bool)
-            chosen[some] = True
-            use = chosen[blocks]
-            w = np.append(np.repeat(idf, there.sum(axis=1)), part_idf[use])
-            p = np.append(p[there], parts[use])
-            posts, n = _ranges(self.part[p], self.part_end[p])
-            base = int(some.min()) * BLOCK
-            score = np.bincount(self.docs[posts] - base, np.repeat(w, n) * self.weight[posts])
-            found = np.flatnonzero(score)
-            ids = np.append(ids, self.ids[found + base])
-            scores = np.append(scores, np.round(score[found], 6))
-            if len(ids) >= k:
-                by = np.lexsort([ids, -scores])[:k]
-                ids, scores = ids[by], scores[by]
-                least = scores[-1]
-        by = np.lexsort([ids, -scores])[:k]
-        return ids[by], scores[by]
+            return
+        at = np.minimum(np.searchsorted(self.terms, asked.terms), len(self.terms) - 1)
+        hit = self.terms[at] == asked.terms
+        row = np.where(hit, self.row[at], -1)
+        few = np.where(hit & (row < 0), self.ends[at + 1] - self.ends[at], 0)
+        # batches of queries, bounded by their postings and by the documents
+        work = np.append(0, np.cumsum(few[asked.index]))[asked.ends]
+        most, a = max(1, BATCH_CELLS // (BLOCK * self.n_blocks)), 0
+        while a < len(ids):
+            b = min(a + most, max(a + 1, int(np.searchsorted(work, work[a] + BATCH_POSTINGS, "right")) - 1), len(ids))
+            t = asked.index[asked.ends[a]:asked.ends[b]]
+            of = np.repeat(np.arange(b - a), np.diff(asked.ends[a:b + 1]))
+            there, rest = np.flatnonzero(row[t] >= 0), np.flatnonzero(few[t])
+            share = np.zeros((b - a, len(self.max_at)))
+            share[of[there], row[t[there]]] = asked.idf[t[there]]
+            of, t = of[rest], t[rest]
+            posts, n = _ranges(self.ends[at[t]], self.ends[at[t] + 1])
+            cell = np.repeat(of * (self.n_blocks * BLOCK), n)
+            cell += self.docs[posts]
+            score = np.repeat(asked.idf[t], n)
+            score *= self.weight[posts]
+            score = np.bincount(cell, score, (b - a) * self.n_blocks * BLOCK).astype(np.float64, copy=False)  # whole numbers if none
+            self._best(share, score.reshape(b - a, self.n_blocks, BLOCK), ids[a:b], scores[a:b])
+            a = b
+
+    def _best(self, share, few, ids, scores) -> None:
+        """``share`` has each query's weights of the terms of many documents, ``few`` the scores by the others, by block and document."""
+        bounds = few.max(axis=2)
+        bounds += share.astype(np.float32) @ self.max_at
+        bounds *= RAISE
+        # the blocks of the greatest bounds first, then all that can still hold a result
+        first, some = np.zeros(bounds.shape, bool), min(FIRST, self.n_blocks)
+        np.put_along_axis(first, np.argpartition(bounds, self.n_blocks - some, axis=1)[:, self.n_blocks - some:], True, axis=1)
+        for now in (first, ~first):
+            of_block, of = np.nonzero((now & (bounds >= np.maximum(scores[:, -1:] - SLACK, 1e-300))).T)
+            score = few[of, of_block]
+            cuts = np.searchsorted(of_block, np.arange(self.n_blocks + 1)).tolist()
+            for j in np.unique(of_block).tolist():
+                at = slice(cuts[j], cuts[j + 1])
+                score[at] += share[of[at]] @ self.table[j]
+            new, slot = np.nonzero((score > 0) & (score >= scores[of, -1:] - SLACK))
+            own = np.append(np.repeat(np.arange(len(ids)), ids.shape[1]), of[new])
+            all_ids = np.append(ids.ravel(), self.ids[of_block[new] * BLOCK + slot])
+            all_scores = np.append(scores.ravel(), np.round(score[new, slot], 6))
+            by = np.lexsort([all_ids, -all_scores, own])
+            by = by[np.searchsorted(own[by], np.arange(len(ids)))[:, None] + np.arange(ids.shape[1])]
+            ids[...], scores[...] = all_ids[by], all_scores[by]
 
 
 def _ranges(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -214,9 +219,7 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_
     results = None
     for i in range(n_blocks):
         rows = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == i).toPandas()
-        block = spark.sparkContext.broadcast((
-            rows["query_id"].to_numpy(np.int64), [np.asarray(t, np.int64).view(np.uint64) for t in rows["terms"]],
-            [np.asarray(t, np.float64) for t in rows["idf"]]))
+        block = spark.sparkContext.broadcast(Queries.of(rows))
         best = index.mapInPandas(_answers(block, max(total, 1) / max(n_docs, 1), k), "query_id long, doc_id long, score double")
         best = materialize(best, "bm25-best") if n_blocks > 1 else best
         results = best if results is None else results.unionByName(best)
@@ -229,16 +232,12 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_
 
 def _answers(block, mean: float, k: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        queries, terms, idf = block.value
-        best = [(np.empty(0, np.int64), np.empty(0))] * len(queries)
-        lot = np.cumsum([len(t) for t in terms]) // BATCH_TERMS
-        cuts = [0, *(np.flatnonzero(np.diff(lot)) + 1).tolist(), len(queries)] if len(queries) else [0]
+        asked = block.value
+        ids, scores = np.zeros((len(asked.ids), k), np.int64), np.full((len(asked.ids), k), -1.0)
         for pdf in batches:
             for row in pdf.itertuples():
-                shard = Shard(row, mean)
-                for a, b in zip(cuts, cuts[1:]):
-                    best[a:b] = shard.top(terms[a:b], idf[a:b], best[a:b], k)
-        if best:
-            yield pd.DataFrame({"query_id": np.repeat(queries, [len(i) for i, _ in best]),
-                                "doc_id": np.concatenate([i for i, _ in best]), "score": np.concatenate([s for _, s in best])})
+                Shard(row, mean).top(asked, ids, scores)
+        of, rank = np.nonzero(scores >= 0)
+        if len(of):
+            yield pd.DataFrame({"query_id": asked.ids[of], "doc_id": ids[of, rank], "score": scores[of, rank]})
     return run

@@ -258,3 +258,34 @@ def test_search_equals_brute_force_over_many_shards(spark, docs_of, monkeypatch)
         want = sorted(want)[:4]
         assert [i for _, i in sorted(got[q])] == [i for _, i in want]
         assert np.allclose([s for s, _ in sorted(got[q])], [s for s, _ in want], atol=2e-6)
+
+
+def test_a_shard_takes_queries_in_batches(monkeypatch):
+    import pandas as pd
+
+    from driftwood.llm import search as module
+    r = np.random.default_rng(4)
+    texts = [" ".join(f"w{w}" for w in r.zipf(1.3, r.integers(0, 90)) % 700) for _ in range(500)] + ["w1 w2"] * 3 + [None]
+    shard = module.Shard(next(module._shards(iter([pd.DataFrame({"doc_id": range(len(texts)), "text": texts})]))).iloc[0], 40.0)
+    rows = next(module._terms(iter([pd.DataFrame({"query_id": range(300), "text": texts[:300]})])))
+    rows["idf"] = [1 / (1 + (t % 997)) for t in rows["terms"]]
+    want = []
+    for terms, idf in zip(rows["terms"], rows["idf"]):
+        score = np.zeros(len(texts))
+        for t, x in zip(terms.view(np.uint64), idf):
+            at = slice(*shard.ends[(i := np.searchsorted(shard.terms, t)):i + 2])
+            score[shard.docs[at]] += x * shard.weight[at]
+        best = sorted((-round(v, 6), int(i)) for v, i in zip(score, shard.ids) if v)[:5]
+        want.append([i for _, i in best] + [0] * (5 - len(best)))
+    calls, plain = [], module.Shard._best
+    monkeypatch.setattr(module.Shard, "_best", lambda self, *a: (calls.append(len(a[2])), plain(self, *a))[1])
+    for limits, at_most in (({}, 2), ({"BATCH_POSTINGS": 700}, 300), ({"BATCH_CELLS": 1}, 300), ({"TABLE_CELLS": 0}, 2), ({"OFTEN": 600}, 2)):
+        with monkeypatch.context() as m:
+            for name, value in limits.items():
+                m.setattr(module, name, value)
+            own = module.Shard(next(module._shards(iter([pd.DataFrame({"doc_id": range(len(texts)), "text": texts})]))).iloc[0], 40.0)
+            calls.clear()
+            ids, scores = np.zeros((300, 5), np.int64), np.full((300, 5), -1.0)
+            own.top(module.Queries.of(rows), ids, scores)
+        assert len(calls) <= at_most and sum(calls) == 300  # was one call a query and more
+        assert ids.tolist() == want
