@@ -40,6 +40,8 @@ END = np.uint64(1)
 PART, FAN_IN = 8192, 64
 #: Weights that Adam takes at once, and windows for which one look at the greatest outputs holds.
 BLOCK, LOOK = 16_384, 8
+#: Tokens whose outputs are taken together, of all classes (few enough to stay in the cache) and in scoring.
+NEAR_TOKENS, FAR_TOKENS = 1024, 65_536
 
 
 def class_size(vocab: int) -> int:
@@ -70,8 +72,8 @@ class Weights:
     def __init__(self, vocab: int, flat: np.ndarray | None = None):
         h, self.cuts = HIDDEN, class_cuts(vocab)
         c = len(self.cuts) - 1
-        self.shapes = {"emb": (vocab, h), "wx": (h, 3 * h), "wh": (h, 3 * h), "b": (3 * h,), "wc": (h, c), "bc": (c,),
-                       "wo": (vocab, h), "bo": (vocab,)}
+        self.shapes = {"emb": (vocab, h), "wx": (h, 3 * h), "wh": (h, 3 * h), "b": (3 * h,), "wcb": (h + 1, c),
+                       "wob": (vocab, h + 1)}
         size = sum(int(np.prod(s)) for s in self.shapes.values())
         self.flat = np.zeros(size, np.float32) if flat is None else flat
         at = 0
@@ -79,6 +81,8 @@ class Weights:
             n = int(np.prod(s))
             setattr(self, name, self.flat[at:at + n].reshape(s))
             at += n
+        # outputs lie beside their biases, which a state followed by a one meets in the same product
+        self.wc, self.bc, self.wo, self.bo = self.wcb[:h], self.wcb[h], self.wob[:, :h], self.wob[:, h]
         self.vocab, self.class_of = vocab, np.repeat(np.arange(c, dtype=np.int16), np.diff(self.cuts))
 
     @classmethod
@@ -94,28 +98,31 @@ class Weights:
 
 
 def _states(w: Weights, table: np.ndarray, x: np.ndarray, keep: np.ndarray, h: np.ndarray, cache: list | None = None):
-    """States after each step; ``x`` rows of ``table`` and ``keep`` (0 where a document starts) are (steps, streams)."""
-    out = np.empty((len(x), len(h), HIDDEN), np.float32)
+    """States after each step; ``x`` rows of ``table`` and ``keep`` (0 where a document starts) are (steps, streams).
+    Inside, the streams are the last axis, so that a gate of all streams is one piece of memory."""
     k = 2 * HIDDEN
+    g = np.ascontiguousarray(table[x].transpose(0, 2, 1))
+    out = np.empty((len(x), HIDDEN, len(h)), np.float32)
+    wh, h = np.ascontiguousarray(w.wh.T), h.T
     for t in range(len(x)):
-        h = h * keep[t][:, None]
-        g, u = table[x[t]], h @ w.wh
-        zr = g[:, :k] + u[:, :k]
+        h = h * keep[t]
+        u, zr = wh @ h, g[t, :k]
+        zr += u[:k]
         zr *= 0.5
         np.tanh(zr, out=zr)
         zr *= 0.5
         zr += 0.5
-        z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-        n = r * u[:, k:]
-        n += g[:, k:]
+        z, r = zr[:HIDDEN], zr[HIDDEN:]
+        n = r * u[k:]
+        n += g[t, k:]
         np.tanh(n, out=n)
         if cache is not None:
-            cache.append((h, z, r, n, u[:, k:]))
-        h = h - n
+            cache.append((h, z, r, n, u[k:]))
+        np.subtract(h, n, out=out[t])
+        h = out[t]
         h *= z
         h += n
-        out[t] = h
-    return out, h
+    return out.transpose(0, 2, 1), h.T
 
 
 def _is_calm(w: Weights) -> bool:
@@ -138,39 +145,39 @@ def _softmax(a: np.ndarray, y: np.ndarray, calm: bool) -> tuple[np.ndarray, np.n
 
 def _outputs(w: Weights, s: np.ndarray, y: np.ndarray, grad: Weights | None = None, calm: bool = False):
     """Log-probabilities of targets ``y`` from states ``s``; with ``grad`` also d loss / d s, adding up the rest."""
-    cls = w.class_of[y]
-    a = s @ w.wc
-    a += w.bc
-    lp, total = _softmax(a, cls, calm)
-    if grad is not None:
-        ds = _back(a, cls, total, s, w.wc.T, grad.wc.T, grad.bc)
-    order = np.argsort(cls, kind="stable")
-    s, y = s[order], y[order]
-    own, cuts = np.empty(len(y), np.float32), np.searchsorted(cls[order], np.arange(len(w.cuts)))
-    d_own = np.empty_like(s) if grad is not None else None
-    for c in np.flatnonzero(np.diff(cuts)).tolist():
-        at, words = slice(cuts[c], cuts[c + 1]), slice(w.cuts[c], w.cuts[c + 1])
-        sc, yc = s[at], y[at] - w.cuts[c]
-        a = sc @ w.wo[words].T
-        a += w.bo[words]
-        own[at], total = _softmax(a, yc, calm)
+    order = np.argsort(w.class_of[y], kind="stable")
+    y, one = y[order], np.ones((len(y), HIDDEN + 1), np.float32)
+    cls, one[:, :HIDDEN] = w.class_of[y], s[order]
+    lp, ds = np.empty(len(y), np.float32), np.empty((len(y), HIDDEN), np.float32) if grad is not None else None
+    for i in range(0, len(y), NEAR_TOKENS):
+        at = slice(i, i + NEAR_TOKENS)
+        a = one[at] @ w.wcb
+        lp[at], total = _softmax(a, cls[at], calm)
         if grad is not None:
-            d_own[at] = _back(a, yc, total, sc, w.wo[words], grad.wo[words], grad.bo[words])
-    lp[order] += own
-    if grad is None:
-        return lp
-    ds[order] += d_own
-    return lp, ds
-
-
-def _back(a: np.ndarray, y: np.ndarray, total: np.ndarray, s: np.ndarray, out: np.ndarray, d_out: np.ndarray, d_bias: np.ndarray):
+            ds[at] = _back(a, cls[at], total, one[at], w.wc.T, grad.wcb.T)
+    cuts = np.searchsorted(cls, np.arange(len(w.cuts)))
+    within = y - w.cuts[cls]
+    for c in np.flatnonzero(np.diff(cuts)).tolist():
+        words = slice(w.cuts[c], w.cuts[c + 1])
+        for i in range(cuts[c], cuts[c + 1], NEAR_TOKENS):
+            at = slice(i, min(i + NEAR_TOKENS, cuts[c + 1]))
+            a = one[at] @ w.wob[words].T
+            own, total = _softmax(a, within[at], calm)
+            lp[at] += own
+            if grad is not None:
+                ds[at] += _back(a, within[at], total, one[at], w.wo[words], grad.wob[words])
+    back = np.empty_like(order)
+    back[order] = np.arange(len(order))
+    return lp[back] if grad is None else (lp[back], ds[back])
+
+
+def _back(a: np.ndarray, y: np.ndarray, total: np.ndarray, one: np.ndarray, out: np.ndarray, d_out: np.ndarray):
     """Gradients of a softmax from its exponentials ``a`` and their sums: of the states, and added to those of its weights."""
     a[np.arange(len(y)), y] -= total
-    inv = 1 / total
-    d_out += a.T @ (s * inv[:, None])
-    d_bias += inv @ a
+    inv = (1 / total)[:, None]
+    d_out += a.T @ (one * inv)
     ds = a @ out
-    ds *= inv[:, None]
+    ds *= inv
     return ds
 
 
@@ -196,17 +203,19 @@ def _adam(w: np.ndarray, g: np.ndarray, m: np.ndarray, v: np.ndarray, scale: flo
         w[at] -= gi
 
 
-def streams(docs: list[np.ndarray], end: int, most: int = STREAMS):
-    """Documents laid into parallel streams: inputs, targets, keep, and document of each place (-1: none)."""
+def streams(docs: list[np.ndarray], end: int, most: int = STREAMS, idle: int = 64):
+    """Documents laid into parallel streams, the longest stream first: inputs, targets, keep, and document of each place
+    (-1: none). ``idle``: streams that are taken even if some end early."""
     lens = np.array([len(d) for d in docs])
     longest = max(int(lens.max(initial=1)), 1)
-    # as many as keep all streams busy, or 64 that are partly idle, as long as the table stays small
-    n = int(np.clip(max(lens.sum() // longest, min(64, len(docs), GROUP_TOKENS // longest)), 1, most))
+    # as many as keep all streams busy, or ``idle``, as long as the table stays small
+    n = int(np.clip(max(lens.sum() // longest, min(idle, len(docs), GROUP_TOKENS // longest)), 1, most))
     order, load, parts = np.argsort(-lens, kind="stable"), np.zeros(n, np.int64), [[] for _ in range(n)]
     for i in order.tolist():  # the longest first, each to the shortest stream
         j = int(load.argmin())
         parts[j].append(i)
         load[j] += lens[i]
+    parts = [parts[j] for j in np.argsort(-load, kind="stable").tolist()]  # streams that end first come last
     steps = -(-int(load.max(initial=0)) // STEPS) * STEPS
     y, doc = np.full((n, steps), end, np.int32), np.full((n, steps), -1, np.int32)
     x, keep = np.full((n, steps), end, np.int32), np.ones((n, steps), np.float32)
@@ -220,18 +229,34 @@ def streams(docs: list[np.ndarray], end: int, most: int = STREAMS):
     return x.T.copy(), y.T.copy(), keep.T.copy(), doc.T.copy()
 
 
+def _busy(doc: np.ndarray, window: int) -> list[int]:
+    """Streams that still hold a document in each window; they are the first ones."""
+    return [int((doc[t] >= 0).sum()) for t in range(0, len(doc), window)]
+
+
 def score_documents(w: Weights, docs: list[np.ndarray], end: int) -> np.ndarray:
     """log10 probability of each document's tokens."""
-    x, y, keep, doc = streams(docs, end)
+    x, y, keep, doc = streams(docs, end, idle=STREAMS)
     table, h, total = w.emb @ w.wx + w.b, np.zeros((x.shape[1], HIDDEN), np.float32), np.zeros(len(docs))
-    calm = _is_calm(w)
-    for t in range(0, len(x), 2 * STEPS):
-        at = slice(t, t + 2 * STEPS)
-        s, h = _states(w, table, x[at], keep[at], h)
-        own = doc[at].ravel()
-        ok = np.flatnonzero(own >= 0)
-        lp = _outputs(w, s.reshape(-1, HIDDEN)[ok], y[at].ravel()[ok], calm=calm)
-        total += np.bincount(own[ok], lp.astype(np.float64), len(docs))
+    calm, held, size = _is_calm(w), [], 0
+
+    def flush() -> np.ndarray:
+        s, ys, own = (np.concatenate(c) for c in zip(*held))
+        return np.bincount(own, _outputs(w, s, ys, calm=calm).astype(np.float64), len(docs))
+
+    for i, n in enumerate(_busy(doc, 2 * STEPS)):
+        at = slice(2 * STEPS * i, 2 * STEPS * (i + 1)), slice(n)
+        if n:
+            s, h = _states(w, table, x[at], keep[at], h[:n])
+            own = doc[at].ravel()
+            ok = np.flatnonzero(own >= 0)
+            held.append((s.reshape(-1, HIDDEN)[ok], y[at].ravel()[ok], own[ok]))
+            size += len(ok)
+        if size >= FAR_TOKENS:
+            total += flush()
+            held, size = [], 0
+    if held:
+        total += flush()
     return total / np.log(10)
 
 
@@ -243,51 +268,44 @@ def train_documents(w: Weights, docs: list[np.ndarray], end: int, moments: list,
         moments.append(np.zeros(w.vocab, np.int64))  # the step at which each input was met last
     g, look, calm, n_emb = Weights(w.vocab), 0, False, w.emb.size
     rest, second = g.flat[n_emb:], Weights(w.vocab, moments[2]).emb
-    shape = (STEPS, x.shape[1], 3 * HIDDEN)
-    dg, du, before = np.empty(shape, np.float32), np.empty(shape, np.float32), np.empty((*shape[:2], HIDDEN), np.float32)
-    for t0 in range(0, len(x), STEPS):
-        at = slice(t0, t0 + STEPS)
+    for i, n in enumerate(_busy(doc, STEPS)):
+        at = slice(i * STEPS, (i + 1) * STEPS), slice(n)
         own = doc[at].ravel()
         ok = np.flatnonzero(own >= 0)
         if not len(ok):
             continue
+        h = h[:n]
         # the window's distinct inputs, and the place of each input among them
-        xs = x[at].ravel()
-        by = np.argsort(xs, kind="stable")
-        new = np.append(True, np.diff(xs[by]) != 0)
-        first = np.flatnonzero(new)
-        rows, place = xs[by][first], np.empty(len(xs), np.int64)
-        place[by] = np.cumsum(new) - 1
-        cache = []
-        s, h_next = _states(w, w.emb[rows] @ w.wx + w.b, place.reshape(STEPS, -1), keep[at], h, cache)
+        rows, place = np.unique(x[at], return_inverse=True)
+        cache, inputs = [], w.emb[rows]
+        place = place.reshape(STEPS, n)
+        s, h_next = _states(w, inputs @ w.wx + w.b, place, keep[at], h, cache)
         rest.fill(0)
         if look % LOOK == 0:
             calm = _is_calm(w)
         look += 1
         _, ds = _outputs(w, s.reshape(-1, HIDDEN)[ok], y[at].ravel()[ok], g, calm)
-        d_out = np.zeros((s.shape[0] * s.shape[1], HIDDEN), np.float32)
+        d_out = np.zeros((STEPS * n, HIDDEN), np.float32)
         d_out[ok] = ds
-        d_out = d_out.reshape(s.shape)
-        dh, wh_t = np.zeros_like(h), w.wh.T.copy()
+        d_out = np.ascontiguousarray(d_out.reshape(STEPS, n, HIDDEN).transpose(0, 2, 1))
+        dg, du, dh = np.empty((STEPS, 3 * HIDDEN, n), np.float32), np.empty((3 * HIDDEN, n), np.float32), np.zeros((HIDDEN, n), np.float32)
         for t in range(STEPS - 1, -1, -1):
-            hp, z, r, n, un = cache[t]
+            hp, z, r, m, un = cache[t]
             dh += d_out[t]
-            dz, dr, dn = dg[t, :, :HIDDEN], dg[t, :, HIDDEN:k], dg[t, :, k:]
-            np.multiply(dh * (1 - z), 1 - n * n, out=dn)
-            np.multiply(dh * (hp - n), z * (1 - z), out=dz)
+            dz, dr, dn = dg[t, :HIDDEN], dg[t, HIDDEN:k], dg[t, k:]
+            np.multiply(dh * (1 - z), 1 - m * m, out=dn)
+            np.multiply(dh * (hp - m), z * (1 - z), out=dz)
             np.multiply(dn * un, r * (1 - r), out=dr)
-            du[t, :, :k] = dg[t, :, :k]
-            np.multiply(dn, r, out=du[t, :, k:])
-            before[t] = hp
-            dh = dh * z
-            dh += du[t] @ wh_t
-            dh *= keep[t0 + t][:, None]
-        g.wh += before.reshape(-1, HIDDEN).T @ du.reshape(-1, 3 * HIDDEN)
-        flat = dg.reshape(-1, 3 * HIDDEN)
-        g.b += flat.sum(axis=0)
-        sums = np.add.reduceat(flat[by], first)
-        g.wx += w.emb[rows].T @ sums
-        g_emb = sums @ w.wx.T
+            du[:k] = dg[t, :k]
+            np.multiply(dn, r, out=du[k:])
+            g.wh += hp @ du.T
+            dh *= z
+            dh += w.wh @ du
+            dh *= keep[i * STEPS + t, :n]
+        g.b += dg.sum(axis=(0, 2))
+        g.wx += np.matmul(inputs[place].transpose(0, 2, 1), dg.transpose(0, 2, 1)).sum(axis=0)
+        d_in, place = np.matmul(w.wx, dg), place.ravel()
+        g_emb = np.stack([np.bincount(place, d_in[:, j].ravel(), len(rows)) for j in range(HIDDEN)], axis=1).astype(np.float32)
         scale = 32 / len(ok)
         scale *= min(1.0, 20 / max(scale * float(np.sqrt(rest @ rest + g_emb.ravel() @ g_emb.ravel())), 1e-9))
         step = moments[0] = moments[0] + 1

@@ -127,6 +127,27 @@ def test_adam_in_blocks_is_adam():
     assert np.allclose(w, want, atol=1e-5)
 
 
+def test_streams_that_have_ended_take_no_steps(monkeypatch):
+    r = np.random.default_rng(5)
+    docs = [r.integers(0, 128, n).astype(np.int32) for n in [100 * rnnlm.STEPS] + [rnnlm.STEPS] * 63]
+    w, met, states = Weights.start(np.arange(128)), [], rnnlm._states
+    monkeypatch.setattr(rnnlm, "_states", lambda w, table, x, *more: met.append(x.size) or states(w, table, x, *more))
+    train_documents(w, docs, 1, [0, np.zeros_like(w.flat), np.zeros_like(w.flat)])
+    assert sum(met) == sum(map(len, docs))
+    met.clear()
+    rnnlm.score_documents(w, docs, 1)
+    assert sum(met) <= sum(map(len, docs)) + 63 * rnnlm.STEPS
+
+
+def test_scores_do_not_depend_on_the_documents_beside():
+    r = np.random.default_rng(6)
+    w = Weights.start(np.arange(8192)[::-1])
+    w.wo[...], w.wc[...] = r.normal(0, 0.3, w.wo.shape), r.normal(0, 0.3, w.wc.shape)
+    docs = [r.integers(0, 8192, n).astype(np.int32) for n in (1, 700, 33, 64, 5, 130)]
+    alone = [rnnlm.score_documents(w, [d], 1)[0] for d in docs]
+    assert np.allclose(rnnlm.score_documents(w, docs, 1), alone, rtol=1e-5)
+
+
 def test_class_factored_probabilities_sum_to_one():
     w = Weights.start(np.arange(128))
     s, _ = _states(w, w.emb @ w.wx + w.b, np.zeros((1, 1), int), np.ones((1, 1), np.float32), np.zeros((1, rnnlm.HIDDEN), np.float32))
