@@ -12,6 +12,8 @@ and at most FAN_IN tasks at a time.
 The rounds are disjoint parts of the training documents, by hash, that add up to TRAIN_SHARE: all of them, once each.
 The output biases start at the token frequencies.
 
+Words are hashed from running sums over the bytes of many texts (``token_hashes``), by the same function in all three passes.
+
 Scoring: documents are laid one after the other into parallel streams; a document starts with the zero state,
 which is carried over all windows to its end.
 
@@ -23,7 +25,8 @@ text all counts are zero; repeated rows are scored alike, each for itself; an em
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -31,17 +34,20 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, bounded_batches, hash_share, materialize, release, word_hashes
+from .common import bounded_batches, hash_share, materialize, mix64, release
 
 VOCAB, WORDS_ROOT, CLASS_SIZE, HIDDEN, STEPS, STREAMS = 4096, 32, 64, 24, 32, 256
 TRAIN_SHARE, ROUNDS, HEAD = 1.0, 2, 1 << 17
 GROUP_TOKENS = 4_000_000
 END = np.uint64(1)
 PART, FAN_IN = 8192, 64
+LOG2E = np.float32(np.log2(np.e))
+#: Bytes of text that are hashed at once, and the number whose powers tell a word's bytes apart by their places.
+HASH_BYTES, RADIX = 1 << 16, 0x9E3779B97F4A7C15
 #: Weights that Adam takes at once, and windows for which one look at the greatest outputs holds.
-BLOCK, LOOK = 16_384, 8
-#: Tokens whose outputs are taken together, of all classes (few enough to stay in the cache) and in scoring.
-NEAR_TOKENS, FAR_TOKENS = 1024, 65_536
+BLOCK, LOOK = 32_768, 8
+#: Tokens of one product, outputs that stay in the cache, and tokens whose outputs are taken together in scoring.
+NEAR_TOKENS, NEAR_OUTPUTS, FAR_TOKENS = 512, 65_536, 65_536
 
 
 def class_size(vocab: int) -> int:
@@ -73,7 +79,7 @@ class Weights:
         h, self.cuts = HIDDEN, class_cuts(vocab)
         c = len(self.cuts) - 1
         self.shapes = {"emb": (vocab, h), "wx": (h, 3 * h), "wh": (h, 3 * h), "b": (3 * h,), "wcb": (h + 1, c),
-                       "wob": (vocab, h + 1)}
+                       "wob": (h + 1, vocab)}
         size = sum(int(np.prod(s)) for s in self.shapes.values())
         self.flat = np.zeros(size, np.float32) if flat is None else flat
         at = 0
@@ -81,8 +87,8 @@ class Weights:
             n = int(np.prod(s))
             setattr(self, name, self.flat[at:at + n].reshape(s))
             at += n
-        # outputs lie beside their biases, which a state followed by a one meets in the same product
-        self.wc, self.bc, self.wo, self.bo = self.wcb[:h], self.wcb[h], self.wob[:, :h], self.wob[:, h]
+        # outputs lie above their biases, which a state followed by a one meets in the same product
+        self.wc, self.bc, self.wo, self.bo = self.wcb[:h], self.wcb[h], self.wob[:h].T, self.wob[h]
         self.vocab, self.class_of = vocab, np.repeat(np.arange(c, dtype=np.int16), np.diff(self.cuts))
 
     @classmethod
@@ -99,108 +105,173 @@ class Weights:
 
 def _states(w: Weights, table: np.ndarray, x: np.ndarray, keep: np.ndarray, h: np.ndarray, cache: list | None = None):
     """States after each step; ``x`` rows of ``table`` and ``keep`` (0 where a document starts) are (steps, streams).
-    Inside, the streams are the last axis, so that a gate of all streams is one piece of memory."""
-    k = 2 * HIDDEN
+    Inside, the streams are the last axis, so that a gate of all streams is one piece of memory. ``cache`` gets what the way
+    back needs of all steps: states before, gates and what the states give to the gates."""
+    k, steps, n = 2 * HIDDEN, len(x), len(h)
     g = np.ascontiguousarray(table[x].transpose(0, 2, 1))
-    out = np.empty((len(x), HIDDEN, len(h)), np.float32)
-    wh, h = np.ascontiguousarray(w.wh.T), h.T
-    for t in range(len(x)):
-        h = h * keep[t]
-        u, zr = wh @ h, g[t, :k]
-        zr += u[:k]
-        zr *= 0.5
+    out = np.empty((steps, HIDDEN, n), np.float32)
+    before = np.empty((steps if cache is not None else 1, HIDDEN, n), np.float32)
+    u = np.empty((len(before), 3 * HIDDEN, n), np.float32)
+    wh, last = np.ascontiguousarray(w.wh.T), len(before) - 1
+    g[:, :k] *= 0.5  # the logistic function as a hyperbolic tangent of the half
+    wh[:k] *= 0.5
+    h = h.T
+    for t in range(steps):
+        hp, ut = before[min(t, last)], u[min(t, last)]
+        np.multiply(h, keep[t], out=hp)
+        np.matmul(wh, hp, out=ut)
+        zr, m = g[t, :k], g[t, k:]
+        zr += ut[:k]
         np.tanh(zr, out=zr)
         zr *= 0.5
         zr += 0.5
-        z, r = zr[:HIDDEN], zr[HIDDEN:]
-        n = r * u[k:]
-        n += g[t, k:]
-        np.tanh(n, out=n)
-        if cache is not None:
-            cache.append((h, z, r, n, u[k:]))
-        np.subtract(h, n, out=out[t])
         h = out[t]
-        h *= z
-        h += n
+        np.multiply(zr[HIDDEN:], ut[k:], out=h)
+        m += h
+        np.tanh(m, out=m)
+        np.subtract(hp, m, out=h)
+        h *= zr[:HIDDEN]
+        h += m
+    if cache is not None:
+        cache.extend((before, g, u[:, k:]))
     return out.transpose(0, 2, 1), h.T
 
 
+def _states_back(w: Weights, cache: list, d_out: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradients of the gates, (steps, gates, streams), and of ``wh``, from those of the states, (steps, streams, places)."""
+    k, (hp, g, un) = 2 * HIDDEN, cache
+    z, r, m = g[:, :HIDDEN], g[:, HIDDEN:k], g[:, k:]
+    d_out = np.ascontiguousarray(d_out.transpose(0, 2, 1))
+    # what turns the gradient of a state into those of its gates, for all steps at once
+    far = 1 - z
+    by_z = hp - m
+    by_z *= z
+    by_z *= far
+    by_n = m * m
+    np.subtract(1, by_n, out=by_n)
+    by_n *= far
+    by_r = 1 - r
+    by_r *= r
+    by_r *= un
+    dg, du = np.empty_like(g), np.empty_like(g)
+    dh = np.zeros(d_out.shape[1:], np.float32)
+    for t in range(len(g) - 1, -1, -1):
+        dh += d_out[t]
+        own, rec = dg[t], du[t]
+        np.multiply(dh, by_n[t], out=own[k:])
+        np.multiply(dh, by_z[t], out=own[:HIDDEN])
+        np.multiply(own[k:], by_r[t], out=own[HIDDEN:k])
+        rec[:k] = own[:k]
+        np.multiply(own[k:], r[t], out=rec[k:])
+        dh *= z[t]
+        dh += w.wh @ rec
+        dh *= keep[t]
+    return dg, np.matmul(du, hp.transpose(0, 2, 1)).sum(axis=0).T
+
+
 def _is_calm(w: Weights) -> bool:
     """Whether no output of a state (all within -1 and 1) is so large that its exponential needs scaling."""
-    words = np.abs(w.wo).sum(axis=1) + np.abs(w.bo)
-    classes = np.abs(w.wc).sum(axis=0) + np.abs(w.bc)
-    return bool(words.max() < 60 and classes.max() < 60)
-
-
-def _softmax(a: np.ndarray, y: np.ndarray, calm: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Log-probabilities of ``y`` and the sums of the rows of ``a``, whose exponentials take its place."""
-    if not calm:
-        a -= a.max(axis=1, keepdims=True)
-    lp = a[np.arange(len(y)), y]
-    np.exp(a, out=a)
-    total = a @ np.ones(a.shape[1], np.float32)
-    lp -= np.log(total)
-    return lp, total
-
-
-def _outputs(w: Weights, s: np.ndarray, y: np.ndarray, grad: Weights | None = None, calm: bool = False):
-    """Log-probabilities of targets ``y`` from states ``s``; with ``grad`` also d loss / d s, adding up the rest."""
-    order = np.argsort(w.class_of[y], kind="stable")
-    y, one = y[order], np.ones((len(y), HIDDEN + 1), np.float32)
-    cls, one[:, :HIDDEN] = w.class_of[y], s[order]
-    lp, ds = np.empty(len(y), np.float32), np.empty((len(y), HIDDEN), np.float32) if grad is not None else None
-    for i in range(0, len(y), NEAR_TOKENS):
-        at = slice(i, i + NEAR_TOKENS)
-        a = one[at] @ w.wcb
-        lp[at], total = _softmax(a, cls[at], calm)
-        if grad is not None:
-            ds[at] = _back(a, cls[at], total, one[at], w.wc.T, grad.wcb.T)
-    cuts = np.searchsorted(cls, np.arange(len(w.cuts)))
-    within = y - w.cuts[cls]
-    for c in np.flatnonzero(np.diff(cuts)).tolist():
-        words = slice(w.cuts[c], w.cuts[c + 1])
-        for i in range(cuts[c], cuts[c + 1], NEAR_TOKENS):
-            at = slice(i, min(i + NEAR_TOKENS, cuts[c + 1]))
-            a = one[at] @ w.wob[words].T
-            own, total = _softmax(a, within[at], calm)
-            lp[at] += own
-            if grad is not None:
-                ds[at] += _back(a, within[at], total, one[at], w.wo[words], grad.wob[words])
-    back = np.empty_like(order)
+    def most(out: np.ndarray) -> float:
+        return float(np.maximum(out.max(axis=1), -out.min(axis=1)).sum())  # the largest weight of each place, and their sum
+    return all(most(out) < 60 or np.abs(out).sum(axis=0).max() < 60 for out in (w.wob, w.wcb))
+
+
+def _level(out: np.ndarray, pieces: list[tuple[int, int, int, int]], one: np.ndarray, y: np.ndarray, lp: np.ndarray | None,
+           ds: np.ndarray | None, d_out: np.ndarray | None, calm: bool, scale: float) -> None:
+    """Softmaxes of one level: a piece (first token, end, first output, end) holds tokens that meet the same outputs, columns of
+    ``out``. Adds the log-probabilities of ``y``, places within the outputs met, to ``lp``, or adds ``scale`` times the
+    gradients of the states to ``ds`` and writes those of the outputs met to ``d_out``. The pieces are all tokens in order; as
+    many as stay in the cache lie one after the other in one buffer."""
+    sizes = np.array([(j - i) * (d - c) for i, j, c, d in pieces])
+    batch = np.cumsum(sizes) // NEAR_OUTPUTS
+    cuts = [0, *(np.flatnonzero(np.diff(batch)) + 1).tolist(), len(pieces)]
+    width = np.repeat([d - c for _, _, c, d in pieces], [j - i for i, j, _, _ in pieces])
+    first = np.cumsum(width) - width
+    place, ones, states = first + y, np.ones(int(width.max(initial=1)), np.float32), out[:HIDDEN].T
+    bits, held, total, begun = one * LOG2E, np.empty(0, np.float32), np.empty(len(y), np.float32), -1
+    for left, right in zip(cuts, cuts[1:]):
+        of = pieces[left:right]
+        if not of:
+            continue
+        at, size = slice(of[0][0], of[-1][1]), int(sizes[left:right].sum())
+        if len(held) < size:
+            held = np.empty(size, np.float32)
+        a, own, views, k = held[:size], place[at] - first[of[0][0]], [], 0
+        for i, j, c, d in of:
+            n = (j - i) * (d - c)
+            v = a[k:k + n].reshape(j - i, d - c)
+            np.matmul(bits[i:j], out[:, c:d], out=v)
+            if not calm:
+                v -= v.max(axis=1, keepdims=True)
+            views.append(v)
+            k += n
+        if lp is not None:
+            lp[at] += a[own] / LOG2E
+        np.exp2(a, out=a)  # takes half the time of the natural one
+        for (i, j, c, d), v in zip(of, views):
+            np.dot(v, ones[:d - c], out=total[i:j])
+        if lp is not None:
+            lp[at] -= np.log(total[at])
+            continue
+        a[own] -= total[at]
+        inv = (np.float32(scale) / total[at])[:, None]
+        scaled, part = (one[at] * inv).T, np.empty((at.stop - at.start, HIDDEN), np.float32)
+        for (i, j, c, d), v in zip(of, views):
+            i, j = i - at.start, j - at.start
+            if c != begun:
+                np.matmul(scaled[:, i:j], v, out=d_out[:, c:d])
+            else:
+                d_out[:, c:d] += scaled[:, i:j] @ v
+            np.matmul(v, states[c:d], out=part[i:j])
+            begun = c
+        part *= inv
+        ds[at] += part
+
+
+def _outputs(w: Weights, s: np.ndarray, y: np.ndarray, grad: Weights | None = None, calm: bool = False, scale: float = 1.0):
+    """Log-probabilities of targets ``y`` from states ``s``; with ``grad`` None in their place and ``scale`` times d loss / d s,
+    and in ``grad`` the gradients of the outputs."""
+    cls = w.class_of[y]
+    order = np.argsort(cls, kind="stable")
+    y, cls, one = y[order], cls[order], np.ones((len(y), HIDDEN + 1), np.float32)
+    one[:, :HIDDEN] = s[order]
+    lp, ds = (np.zeros(len(y), np.float32), None) if grad is None else (None, np.zeros((len(y), HIDDEN), np.float32))
+    n = len(w.cuts) - 1
+    pieces = [(i, min(i + NEAR_TOKENS, len(y)), 0, n) for i in range(0, len(y), NEAR_TOKENS)]
+    _level(w.wcb, pieces, one, cls, lp, ds, grad and grad.wcb, calm, scale)
+    cuts, pieces = np.searchsorted(cls, np.arange(n + 1)).tolist(), []
+    for c, (lo, hi) in enumerate(zip(w.cuts.tolist(), w.cuts[1:].tolist())):
+        if cuts[c] == cuts[c + 1] and grad is not None:
+            grad.wob[:, lo:hi] = 0
+        pieces += [(i, min(i + NEAR_TOKENS, cuts[c + 1]), lo, hi) for i in range(cuts[c], cuts[c + 1], NEAR_TOKENS)]
+    _level(w.wob, pieces, one, y - w.cuts[cls], lp, ds, grad and grad.wob, calm, scale)
+    got, back = lp if grad is None else ds, np.empty_like(order)
     back[order] = np.arange(len(order))
-    return lp[back] if grad is None else (lp[back], ds[back])
-
-
-def _back(a: np.ndarray, y: np.ndarray, total: np.ndarray, one: np.ndarray, out: np.ndarray, d_out: np.ndarray):
-    """Gradients of a softmax from its exponentials ``a`` and their sums: of the states, and added to those of its weights."""
-    a[np.arange(len(y)), y] -= total
-    inv = (1 / total)[:, None]
-    d_out += a.T @ (one * inv)
-    ds = a @ out
-    ds *= inv
-    return ds
+    return got[back] if grad is None else (None, got[back])
 
 
 def _adam(w: np.ndarray, g: np.ndarray, m: np.ndarray, v: np.ndarray, scale: float, step: int, rate: float) -> None:
-    """One step of Adam by ``scale`` times the gradient, whose place is used up; block by block, as all of them outgrow the cache."""
+    """One step of Adam by ``scale`` times the gradient; block by block, as all of them outgrow the cache.
+    ``m`` and ``v`` are ten and a hundred times the moments, so that what is added needs no factor."""
     root = np.float32(np.sqrt(1 - 0.99 ** step))
-    least, pace = np.float32(1e-4) * root, np.float32(rate / (1 - 0.9 ** step)) * root
-    scale = np.float32(scale)
+    least, pace = np.float32(1e-3) * root, np.float32(rate / (1 - 0.9 ** step)) * root
+    held = np.empty(min(BLOCK, len(w)), np.float32)
     for i in range(0, len(w), BLOCK):
         at = slice(i, i + BLOCK)
         gi, mi, vi = g[at], m[at], v[at]
-        gi *= scale
+        if scale != 1:
+            gi *= np.float32(scale)
+        by = held[:len(gi)]
         mi *= np.float32(0.9)
-        mi += np.float32(0.1) * gi
-        gi *= gi
-        gi *= np.float32(0.01)
+        mi += gi
+        np.multiply(gi, gi, out=by)
         vi *= np.float32(0.99)
-        vi += gi
-        np.sqrt(vi, out=gi)
-        gi += least
-        np.divide(mi, gi, out=gi)
-        gi *= pace
-        w[at] -= gi
+        vi += by
+        np.sqrt(vi, out=by)
+        by += least
+        np.divide(mi, by, out=by)
+        by *= pace
+        w[at] -= by
 
 
 def streams(docs: list[np.ndarray], end: int, most: int = STREAMS, idle: int = 64):
@@ -249,9 +320,9 @@ def score_documents(w: Weights, docs: list[np.ndarray], end: int) -> np.ndarray:
         if n:
             s, h = _states(w, table, x[at], keep[at], h[:n])
             own = doc[at].ravel()
-            ok = np.flatnonzero(own >= 0)
-            held.append((s.reshape(-1, HIDDEN)[ok], y[at].ravel()[ok], own[ok]))
-            size += len(ok)
+            s, ok = s.reshape(-1, HIDDEN), own >= 0
+            held.append((s, y[at].ravel(), own) if ok.all() else (s[ok], y[at].ravel()[ok], own[ok]))
+            size += len(held[-1][0])
         if size >= FAR_TOKENS:
             total += flush()
             held, size = [], 0
@@ -280,71 +351,150 @@ def train_documents(w: Weights, docs: list[np.ndarray], end: int, moments: list,
         cache, inputs = [], w.emb[rows]
         place = place.reshape(STEPS, n)
         s, h_next = _states(w, inputs @ w.wx + w.b, place, keep[at], h, cache)
-        rest.fill(0)
         if look % LOOK == 0:
             calm = _is_calm(w)
         look += 1
-        _, ds = _outputs(w, s.reshape(-1, HIDDEN)[ok], y[at].ravel()[ok], g, calm)
-        d_out = np.zeros((STEPS * n, HIDDEN), np.float32)
-        d_out[ok] = ds
-        d_out = np.ascontiguousarray(d_out.reshape(STEPS, n, HIDDEN).transpose(0, 2, 1))
-        dg, du, dh = np.empty((STEPS, 3 * HIDDEN, n), np.float32), np.empty((3 * HIDDEN, n), np.float32), np.zeros((HIDDEN, n), np.float32)
-        for t in range(STEPS - 1, -1, -1):
-            hp, z, r, m, un = cache[t]
-            dh += d_out[t]
-            dz, dr, dn = dg[t, :HIDDEN], dg[t, HIDDEN:k], dg[t, k:]
-            np.multiply(dh * (1 - z), 1 - m * m, out=dn)
-            np.multiply(dh * (hp - m), z * (1 - z), out=dz)
-            np.multiply(dn * un, r * (1 - r), out=dr)
-            du[:k] = dg[t, :k]
-            np.multiply(dn, r, out=du[k:])
-            g.wh += hp @ du.T
-            dh *= z
-            dh += w.wh @ du
-            dh *= keep[i * STEPS + t, :n]
-        g.b += dg.sum(axis=(0, 2))
-        g.wx += np.matmul(inputs[place].transpose(0, 2, 1), dg.transpose(0, 2, 1)).sum(axis=0)
-        d_in, place = np.matmul(w.wx, dg), place.ravel()
-        g_emb = np.stack([np.bincount(place, d_in[:, j].ravel(), len(rows)) for j in range(HIDDEN)], axis=1).astype(np.float32)
-        scale = 32 / len(ok)
-        scale *= min(1.0, 20 / max(scale * float(np.sqrt(rest @ rest + g_emb.ravel() @ g_emb.ravel())), 1e-9))
+        _, ds = _outputs(w, s.reshape(-1, HIDDEN)[ok], y[at].ravel()[ok], g, calm, 32 / len(ok))
+        if len(ok) < STEPS * n:
+            d_out = np.zeros((STEPS * n, HIDDEN), np.float32)
+            d_out[ok] = ds
+            ds = d_out
+        dg, g.wh[...] = _states_back(w, cache, ds.reshape(STEPS, n, HIDDEN), keep[at])
+        g.b[...] = dg.sum(axis=(0, 2))
+        g.wx[...] = np.matmul(dg, inputs[place]).sum(axis=0).T
+        d_in, place = np.matmul(w.wx, dg).transpose(1, 0, 2).astype(np.float64, order="C"), place.ravel()
+        g_emb = np.stack([np.bincount(place, d.ravel(), len(rows)) for d in d_in], axis=1).astype(np.float32)
+        scale = min(1.0, 20 / max(float(np.sqrt(rest @ rest + g_emb.ravel() @ g_emb.ravel())), 1e-9))
         step = moments[0] = moments[0] + 1
         _adam(w.flat[n_emb:], rest, moments[1][n_emb:], moments[2][n_emb:], scale, step, rate)
         # inputs: only the rows met, without the first moment; the second has faded since the row was met last
         g_emb *= np.float32(scale)
-        fade = (0.99 ** (step - moments[3][rows])).astype(np.float32)
-        second[rows] = v = second[rows] * fade[:, None] + np.float32(0.01) * g_emb * g_emb
-        w.emb[rows] -= np.float32(rate) * g_emb / (np.sqrt(v / np.float32(1 - 0.99 ** step)) + np.float32(1e-4))
+        v = second[rows]
+        v *= (0.99 ** (step - moments[3][rows])).astype(np.float32)[:, None]
+        v += np.float32(0.01) * g_emb * g_emb
+        second[rows] = v
+        v /= np.float32(1 - 0.99 ** step)
+        np.sqrt(v, out=v)
+        v += np.float32(1e-4)
+        g_emb /= v
+        g_emb *= np.float32(rate)
+        w.emb[rows] -= g_emb
         moments[3][rows] = step
         h = h_next
 
 
+@lru_cache(maxsize=1)
+def _byte_values() -> np.ndarray:
+    """A random odd number for each byte: capitals have that of their small letters, white space has none."""
+    out = np.random.default_rng(13).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
+    out[65:91] = out[97:123]
+    out[[9, 10, 11, 12, 13, 32]] = 0
+    return out
+
+
+@lru_cache(maxsize=1)
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of RADIX and of its inverse, modulo 2^64, for twice HASH_BYTES."""
+    out = []
+    for r in (RADIX, pow(RADIX, -1, 1 << 64)):
+        p = np.full(2 * HASH_BYTES, r, np.uint64)
+        p[0] = 1
+        out.append(np.cumprod(p))
+    return tuple(out)
+
+
+def _hash_words(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of ``raw``, at most twice HASH_BYTES, and the place where each begins. A word, that is bytes
+    between ASCII white space with A-Z lowered, hashes to the sum of its bytes' values times powers of RADIX, which comes
+    from running sums over all bytes."""
+    b = np.frombuffer(raw, np.uint8)
+    free = np.ones(len(b) + 2, bool)
+    np.logical_or(b == 32, (b >= 9) & (b <= 13), out=free[1:-1])
+    edges = np.flatnonzero(free[1:] != free[:-1])
+    first, end = edges[::2], edges[1::2]
+    power, inverse = _powers()
+    sums = np.zeros(len(b) + 1, np.uint64)
+    np.cumsum(_byte_values()[b] * power[:len(b)], out=sums[1:])
+    return mix64((sums[end] - sums[first]) * inverse[first]), first
+
+
+def _hash_long(raw: bytes) -> Iterator[np.ndarray]:
+    """Hashes of the words of a text of any length, part by part; no part ends within a word."""
+    space, at = re.compile(rb"[\t-\r ]"), 0
+    while at < len(raw):
+        found = space.search(raw, at + HASH_BYTES)
+        end = found.start() if found else len(raw)
+        part, at = raw[at:end], end
+        if len(part) <= 2 * HASH_BYTES:
+            yield _hash_words(part)[0]
+            continue
+        *before, word = part.rsplit(None, 1)  # a word longer than HASH_BYTES, and what stands before it
+        total = 0
+        for i in range(0, len(word), HASH_BYTES):
+            b = np.frombuffer(word[i:i + HASH_BYTES], np.uint8)
+            total += int((_byte_values()[b] * _powers()[0][:len(b)]).sum()) * pow(RADIX, i, 1 << 64)
+        yield from (_hash_words(x)[0] for x in before)
+        yield mix64(np.array([total % (1 << 64)], np.uint64))
+
+
+def token_hashes(texts: Iterable[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Hashes of the tokens of some texts after another, an end after each text, and the end of each text in them."""
+    def flush() -> tuple[np.ndarray, np.ndarray]:
+        h, first = _hash_words(b" ".join(held))
+        ends = np.searchsorted(first, np.cumsum([len(x) + 1 for x in held])) + np.arange(1, len(held) + 1)
+        out = np.full(len(h) + len(held), END)
+        own = np.ones(len(out), bool)
+        own[ends - 1] = False
+        out[own] = h
+        return out, ends
+
+    held, size = [], 0
+    for text in texts:
+        raw = text.encode("utf-8", "replace") if text else b""
+        if held and size + len(raw) > HASH_BYTES:
+            yield flush()
+            held, size = [], 0
+        if len(raw) > HASH_BYTES:
+            h = np.append(np.concatenate(list(_hash_long(raw))), END)
+            yield h, np.array([len(h)])
+            continue
+        held.append(raw)
+        size += len(raw) + 1
+    if held:
+        yield flush()
+
+
 class Coder:
-    """Token numbers of words: place in the head table by its sorted hashes, or none."""
+    """Places of hashes in the head table, sorted by them: a hash's first bits tell where to look."""
 
     def __init__(self, hashes: np.ndarray):
-        self.hashes, self.cache = hashes, WordHashes()
-
-    def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of a text's tokens, the end included, and their places in the head table (-1: not there)."""
-        h = np.append(word_hashes(text, self.cache), END)
-        if not len(self.hashes):
-            return h, np.full(len(h), -1)
-        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        return h, np.where(self.hashes[at] == h, at, -1)
+        self.shift = np.uint64(64 - max(8, (8 * len(hashes)).bit_length()))
+        self.hashes = np.append(hashes, np.uint64(2**64 - 1))
+        firsts = np.arange(1 << int(64 - int(self.shift)), dtype=np.uint64) << self.shift
+        self.first, self.size = np.searchsorted(hashes, firsts).astype(np.int32), len(hashes)
+
+    def __call__(self, h: np.ndarray) -> np.ndarray:
+        """Places of the hashes ``h``; -1: not there."""
+        at = self.first[h >> self.shift]
+        late = np.flatnonzero(self.hashes[at] < h)
+        while len(late):
+            at[late] += 1
+            late = late[self.hashes[at[late]] < h[late]]
+        at[(self.hashes[at] != h) | (at == self.size)] = -1
+        return at
 
 
 def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    cache, held, size = WordHashes(), [], 0
+    held, size = [], 0
 
     def flush() -> pd.DataFrame:
         words, n = np.unique(np.concatenate(held), return_counts=True)
         return pd.DataFrame({"word": words.view(np.int64), "c": n})
 
     for pdf in batches:
-        for text in pdf["text"]:
-            held.append(np.append(word_hashes(text, cache), END))
-            size += len(held[-1])
+        for h, _ in token_hashes(pdf["text"]):
+            held.append(h)
+            size += len(h)
             if size >= 4_000_000:
                 yield flush()
                 held, size = [], 0
@@ -386,14 +536,13 @@ def score_texts(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             from pyspark import TaskContext
             task = TaskContext.get().partitionId()
-            coder, number_ = Coder(shared.value[0]), shared.value[2]
+            coder, number0 = Coder(shared.value[0]), np.append(shared.value[2], np.int32(0))
             w = Weights(vocab, weights_b.value.copy())
             moments, held, size, total = [0, np.zeros_like(w.flat), np.zeros_like(w.flat)], [], 0, 0
             for pdf in batches:
-                for text in pdf["text"]:
-                    at = coder(text)[1]
-                    held.append(np.where(at >= 0, number_[at], 0).astype(np.int32))
-                    size += len(at)
+                for h, ends in token_hashes(pdf["text"]):
+                    held += np.split(number0[coder(h)], ends[:-1])
+                    size += len(h)
                 if size >= GROUP_TOKENS // 4:
                     train_documents(w, held, 1, moments, 0.01 / (1 + turn))
                     held, size, total = [], 0, total + size
@@ -435,7 +584,7 @@ def score_texts(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col
         (hashes_, c_, number_), w = shared.value, Weights(vocab, model.value)
         coder, row = Coder(hashes_), TaskContext.get().partitionId() << 40
         log_c = np.append(np.log10(c_ + 1.0), 0.0)  # the last place stands for words outside the head
-        number0 = np.append(number_, 0)
+        number0 = np.append(number_, np.int32(0))
         held, size = [], 0
 
         def flush() -> pd.DataFrame:
@@ -446,14 +595,18 @@ def score_texts(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col
             return out[["row", "doc_id", "n_tokens", "n_known", "base_score", "score", "tail", "times"]]
 
         for pdf in batches:
-            for doc, text in zip(pdf["doc_id"], pdf["text"]):
-                h, at = coder(text)
-                codes = number0[at].astype(np.int32)
-                logs = log_c[at]
-                tail = np.unique(h[at < 0], return_counts=True)
-                held.append((row, doc, len(h), int((at >= 0).sum()), float(logs.sum() - len(h) * base_unit),
-                             float(logs[codes == 0].sum() - (codes == 0).sum() * rest_unit), tail, codes))
-                row, size = row + 1, size + len(h)
+            ids = iter(pdf["doc_id"])
+            for h, ends in token_hashes(pdf["text"]):
+                at = coder(h)
+                codes, logs = number0[at], log_c[at]
+                for i, j in zip([0, *ends.tolist()], ends.tolist()):
+                    own, log, known = codes[i:j], logs[i:j], at[i:j] >= 0
+                    other = own == 0
+                    tail = np.unique(h[i:j][~known], return_counts=True)
+                    held.append((row, next(ids), j - i, int(known.sum()), float(log.sum() - (j - i) * base_unit),
+                                 float(log[other].sum() - other.sum() * rest_unit), tail, own))
+                    row += 1
+                size += len(h)
             if size >= GROUP_TOKENS:
                 yield flush()
                 held, size = [], 0

@@ -148,6 +148,79 @@ def test_scores_do_not_depend_on_the_documents_beside():
     assert np.allclose(rnnlm.score_documents(w, docs, 1), alone, rtol=1e-5)
 
 
+def test_classes_of_a_window_share_their_exponentials(monkeypatch):
+    r = np.random.default_rng(8)
+    w, g = Weights.start(np.arange(8192)[::-1]), Weights(8192)
+    w.wo[...], w.wc[...] = r.normal(0, 0.3, w.wo.shape), r.normal(0, 0.3, w.wc.shape)
+    s, y = r.normal(size=(3000, rnnlm.HIDDEN)).astype(np.float32), r.integers(0, 6000, 3000)
+    g.flat[...], calls, exp2 = 7, [], np.exp2
+    monkeypatch.setattr(np, "exp2", lambda a, out: calls.append(a.size) or exp2(a, out=out))
+    _, ds = _outputs(w, s, y, g, scale=0.5)
+    classes, sizes = len(w.cuts) - 1, np.diff(w.cuts)
+    assert sum(calls) == classes * len(y) + sizes[w.class_of[y]].sum()
+    assert len(calls) <= 2 + 2 * sum(calls) / rnnlm.NEAR_OUTPUTS < classes
+    # the same from whole tables
+    x = np.column_stack([s, np.ones(len(s))]).astype(float)
+    a, c = x @ w.wcb, w.class_of[y]
+    pc = np.exp(a) / np.exp(a).sum(axis=1, keepdims=True)
+    b = np.where(w.class_of == c[:, None], x @ w.wob, -np.inf)
+    pw = np.exp(b) / np.exp(b).sum(axis=1, keepdims=True)
+    at = np.arange(len(y))
+    assert np.allclose(_outputs(w, s, y), np.log(pc[at, c] * pw[at, y]), atol=1e-4)
+    pc[at, c] -= 1
+    pw[at, y] -= 1
+    assert np.allclose(g.wcb, 0.5 * x.T @ pc, atol=1e-2) and np.allclose(g.wob, 0.5 * x.T @ pw, atol=1e-2)
+    assert np.allclose(ds, 0.5 * (pc @ w.wc.T + pw @ w.wo), atol=1e-4)
+
+
+def test_gradient_through_time_matches_finite_differences():
+    r = np.random.default_rng(9)
+    w, n, steps, h = Weights.start(np.arange(128)), 3, 5, rnnlm.HIDDEN
+    w.wh[...] = r.normal(0, 0.5, w.wh.shape)
+    table, x = r.normal(size=(steps * n, 3 * h)).astype(np.float32), np.arange(steps * n).reshape(steps, n)
+    keep, out = np.ones((steps, n), np.float32), r.normal(size=(steps, n, h)).astype(np.float32)
+    keep[2, 1], start, cache = 0, r.normal(0, 0.5, (n, h)).astype(np.float32), []
+    _states(w, table, x, keep, start, cache)
+    dg, d_wh = rnnlm._states_back(w, cache, out, keep)
+
+    def loss():
+        return float((_states(w, table, x, keep, start)[0].astype(float) * out).sum())
+    for a, d in ((table, dg.transpose(0, 2, 1).reshape(table.shape)), (w.wh, d_wh)):
+        for i in np.argsort(-np.abs(d), axis=None)[:40:3].tolist():
+            at = np.unravel_index(i, d.shape)
+            old, by = a[at], 1e-2
+            a[at] = old + by
+            up = loss()
+            a[at] = old - by
+            down = loss()
+            a[at] = old
+            assert abs((up - down) / (2 * by) - d[at]) < 0.02 * abs(d[at]) + 1e-3
+
+
+def test_hashes_of_many_texts_tell_their_words_apart():
+    long = rnnlm.HASH_BYTES
+    texts = ["a B\tab AB\x0bba", None, "", " \n\r ", "É é\x0c日本", "ab " * long + "q" * (3 * long) + " ba " + "q" * (3 * long - 1),
+             "Q" * (3 * long), "x" * long + " y", "\ud800 a", " b" * long] + [f"w{i} W{i % 7}" for i in range(20_000)]
+    hashes, ends = zip(*rnnlm.token_hashes(texts))
+    got = [part for h, e in zip(hashes, ends) for part in np.split(h, e[:-1])]
+    words = [[*(t or "").encode("utf-8", "replace").lower().split(), None] for t in texts]
+    assert [len(h) for h in got] == [len(x) for x in words] and len(hashes) < 20
+    of: dict = {}
+    for h, x in zip(got, words):
+        for a, b in zip(h.tolist(), x):
+            assert of.setdefault(b, a) == a
+    assert len(set(of.values())) == len(of) and of[None] == int(rnnlm.END)
+
+
+def test_places_of_hashes():
+    r = np.random.default_rng(10)
+    some = np.unique(np.concatenate([r.integers(0, 1 << 63, 500, np.uint64), np.arange(40, dtype=np.uint64), [np.uint64(2**64 - 1)]]))
+    for held in (some, some[:1], some[:0], some[:-1]):
+        asked = np.concatenate([some, some + np.uint64(1)])
+        where = {h: i for i, h in enumerate(held.tolist())}
+        assert rnnlm.Coder(held)(asked).tolist() == [where.get(h, -1) for h in asked.tolist()]
+
+
 def test_class_factored_probabilities_sum_to_one():
     w = Weights.start(np.arange(128))
     s, _ = _states(w, w.emb @ w.wx + w.b, np.zeros((1, 1), int), np.ones((1, 1), np.float32), np.zeros((1, rnnlm.HIDDEN), np.float32))
